@@ -10,22 +10,18 @@ from evenledger.functions.identity import baseline_key
 from evenledger.functions.text import placeholder_count, statement_type
 from evenledger.operators.bindings import binding_usable
 from evenledger.operators.ranking import occurrence_index
-from evenledger.operators.skew import lookup_join
-
-CANDIDATE_COLUMNS = (
-    "sqlId baselineKey serviceName filePath className methodName sourceType sqlVariableName occurrenceIndex "
-    "lineNumber originalSql normalizedSql jdbcSql executionReportJdbcSql statementType dynamicSql "
-    "requiresManualReview manualReviewReason confidence bindingPlanPresent bindingPlanUsable bindingPlanStatus "
-    "bindingCount placeholderCount postgresValidationStatus duplicateBaselineKey"
-).split()
-
+from evenledger.operators.skew import lookup_join, spread_join
 
 def flag_duplicate_keys(df: DataFrame, key: str = "baselineKey", out: str = "duplicateBaselineKey") -> DataFrame:
-    """True where a non-blank key occurs more than once. Keys are counted first, then joined back."""
-    repeated = (
-        df.where(filled(F.col(key))).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    ).select(key, F.lit(True).alias(out))
-    return lookup_join(df, repeated, [key]).withColumn(out, F.coalesce(out, F.lit(False)))
+    """True where a non-blank key occurs more than once.
+
+    Keys are counted with map-side partial sums; only repeated ones are joined back. Blank keys are
+    spread, and a key that holds many rows is split by the adaptive skew join.
+    """
+    named = df.withColumn("_key", F.when(filled(F.col(key)), F.col(key)))
+    repeated = named.where("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    flagged = spread_join(named, repeated.select("_key", F.lit(True).alias(out)), ["_key"])
+    return flagged.select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
 
 
 def build_candidates(
@@ -39,7 +35,7 @@ def build_candidates(
     placed = occurrence_index(statements)
     if not unique_ids:
         last = placed.groupBy("sqlId").agg(F.max("occurrenceIndex").alias("_last"))
-        placed = lookup_join(placed, last, ["sqlId"]).withColumn("occurrenceIndex", F.coalesce("_last", "occurrenceIndex"))
+        placed = lookup_join(placed, last, ["sqlId"], sized_by=statements).withColumn("occurrenceIndex", F.coalesce("_last", "occurrenceIndex"))
     keyed = placed.withColumn(
         "baselineKey",
         F.coalesce(
@@ -53,10 +49,11 @@ def build_candidates(
     run = executions.select(
         "sqlId", F.col("jdbcSql").alias("executionReportJdbcSql"), F.col("executionStatus").alias("postgresValidationStatus")
     )
-    joined = lookup_join(lookup_join(keyed, plan, ["sqlId"]), run, ["sqlId"])
+    known = plan.join(run, "sqlId", "full_outer")
+    joined = lookup_join(flag_duplicate_keys(keyed), known, ["sqlId"], sized_by=statements)
     text = F.coalesce("jdbcSql", F.lit(""))
     present = F.coalesce("_plan", F.lit(False))
-    described = joined.select(
+    return joined.select(
         "sqlId",
         "baselineKey",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("serviceName", "filePath", "className", "methodName", "sourceType", "sqlVariableName")],
@@ -77,5 +74,5 @@ def build_candidates(
         F.coalesce("bindingCount", F.lit(0)).alias("bindingCount"),
         placeholder_count(text).alias("placeholderCount"),
         F.coalesce("postgresValidationStatus", F.lit("")).alias("postgresValidationStatus"),
+        "duplicateBaselineKey",
     )
-    return flag_duplicate_keys(described).select(*CANDIDATE_COLUMNS)

@@ -243,7 +243,7 @@ def join_issue_inputs(executions: DataFrame, statements: DataFrame, bindings: Da
         "sqlId", "serviceName", "filePath", "className", "methodName", "lineNumber", "sqlText",
         "normalizedSqlText", "dynamicSql", "requiresManualReview",
     )
-    joined = lookup_join(lookup_join(executions, facts, ["sqlId"]), typed, ["sqlId"])
+    joined = lookup_join(executions, facts.join(typed, "sqlId", "full_outer"), ["sqlId"])
     return joined.withColumn("stringBound", F.coalesce("stringBound", F.lit(False))).withColumn(
         "bindingRows", F.coalesce("bindingRows", F.lit(0))
     )

@@ -34,14 +34,21 @@ def result_hash(
     columns: list[str] | None = None,
     max_rows: int = MAX_ROWS,
     min_rows: int | None = None,
+    as_delivered: bool = False,
 ) -> DataFrame:
     """Per group: row count and result hash. A group above ``max_rows`` has no hash, never a cut one.
 
     Rows are sorted unless ``ordered_by`` names the result's own order; duplicates are kept.
+    ``as_delivered`` (whole results only) keeps the order in which a sorted query delivers its rows.
     """
     by = list(by)
     extra = [c for c in ordered_by or [] if c not in by]
     signature = _signature(df, by, columns)
+    if as_delivered and not by:
+        # After the limit there is one partition, in the query's own order.
+        columns = columns or df.columns
+        df = guard_max_rows(df, max_rows).withColumn("_seq", F.monotonically_increasing_id())
+        extra = ["_seq"]
     rows = _rows(df, by, columns, extra)
     item = F.struct(*[F.col(c) for c in extra], F.col("_row")) if extra else F.col("_row")
     gathered = F.sort_array(F.collect_list(item))
@@ -92,6 +99,7 @@ def summarize_result(
     max_rows: int | None = MAX_ROWS,
     ordered_by: list[str] | None = None,
     columns: list[str] | None = None,
+    as_delivered: bool = False,
 ) -> DataFrame:
     """(status, rowCount, resultHash, columnSignature) per group.
 
@@ -105,7 +113,7 @@ def summarize_result(
         return whole.select(
             *by, F.lit("SUCCESS").alias("status"), "rowCount", F.col("resultPrint").alias("resultHash"), signature
         )
-    hashed = result_hash(df, by, ordered_by, columns, max_rows)
+    hashed = result_hash(df, by, ordered_by, columns, max_rows, as_delivered=as_delivered)
     return hashed.select(
         *by,
         F.when(F.col("rowCount") > max_rows, "RESULT_TOO_LARGE").otherwise("SUCCESS").alias("status"),

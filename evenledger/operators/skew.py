@@ -25,6 +25,7 @@ def lookup_join(
     right: DataFrame,
     on: list[str],
     how: str = "left",
+    sized_by: DataFrame | None = None,
     salts: int = SALTS,
     share: int = HOT_SHARE,
     min_rows: int = HOT_ROWS,
@@ -32,9 +33,12 @@ def lookup_join(
     """Join to a table with few rows per key, whose left side may have hot or null keys.
 
     Rows of a hot key are spread over ``salts`` partitions and only that key's right rows are
-    repeated. Null keys never match, so they are spread as well.
+    repeated. Null keys never match, so they are spread as well. Hot keys are counted on the left
+    side, or on ``sized_by`` when a cheaper table has the same keys: pass the scan that a long plan
+    started from, so that the plan is not run again for its keys.
     """
-    hot = F.broadcast(heavy_keys(left, on, share, min_rows).withColumn("_hot", F.lit(True)))
+    counted = left if sized_by is None else sized_by
+    hot = F.broadcast(heavy_keys(counted, on, share, min_rows).withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(left)]), F.lit(salts)).cast("int")
     is_null = _any_null(on)
     salted_left = left.join(hot, on, "left").withColumn(
@@ -45,6 +49,17 @@ def lookup_join(
     return salted_left.drop("_hot").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Left or inner join for a left side whose only hot key can be null or blank: those rows are spread.
+
+    Other uneven keys are left to adaptive skew-join splitting.
+    """
+    lost = _any_null(on)
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(left)]), F.lit(salts)).cast("int")
+    placed = left.withColumn("_salt", F.when(lost, spread).otherwise(0))
+    return placed.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
+
+
 def _hashable(df: DataFrame) -> list[str]:
     unhashable = ("map", "variant")
     return [f.name for f in df.schema.fields if not any(w in f.dataType.simpleString() for w in unhashable)]

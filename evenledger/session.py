@@ -20,6 +20,7 @@ def session(app: str = "evenledger", master: str | None = None, shuffle_partitio
         builder = (
             builder.master(master)
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         )
     if shuffle_partitions:
