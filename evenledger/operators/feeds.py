@@ -13,7 +13,7 @@ SHOWN_AS = "EEEE hh:mm a"
 
 def string_list(c: Column) -> Column:
     """Comma-separated names, trimmed, empty ones dropped."""
-    return F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def observation_columns(df: DataFrame, body: str, city: str, zone: str = "+08:00") -> DataFrame:
