@@ -29,9 +29,17 @@ def first_verdict(names: Sequence[str], rules, default) -> Column:
     return first_match([(condition, verdict(values)) for condition, values in rules], verdict(default))
 
 
+WHITE_SPACE = " \t\n\r\f\x0b"
+
+
+def stripped(c: Column) -> Column:
+    """Without leading and trailing white space of any kind."""
+    return F.trim(c, F.lit(WHITE_SPACE))
+
+
 def blank(c: Column) -> Column:
     """Null or only white space."""
-    return F.coalesce(F.trim(c) == "", F.lit(True))
+    return F.coalesce(stripped(c) == "", F.lit(True))
 
 
 def filled(c: Column) -> Column:
@@ -40,7 +48,7 @@ def filled(c: Column) -> Column:
 
 def nonblank(c: Column) -> Column:
     """The trimmed text, null when nothing is left."""
-    return F.nullif(F.trim(c), F.lit(""))
+    return F.nullif(stripped(c), F.lit(""))
 
 
 def lowered(c: Column) -> Column:

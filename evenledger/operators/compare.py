@@ -67,13 +67,14 @@ def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.select(*keys, F.struct(*fields).alias(name))
 
 
-def compare_sides(a: DataFrame, b: DataFrame, keys: list[str], **verdict) -> DataFrame:
-    """Summaries of two sides joined on their keys, with the verdict of each sample.
+def join_sides(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Summaries of two sides as structs ``a`` and ``b``, one row per sample of either side."""
+    return _side(a, keys, "a").join(_side(b, keys, "b"), keys, "full_outer")
 
-    A sample that one side lacks counts as not executed there.
-    """
-    joined = _side(a, keys, "a").join(_side(b, keys, "b"), keys, "full_outer")
-    return compare_results(joined, **verdict)
+
+def compare_sides(a: DataFrame, b: DataFrame, keys: list[str], **verdict) -> DataFrame:
+    """Joined summaries with the verdict of each sample; one that a side lacks was not executed there."""
+    return compare_results(join_sides(a, b, keys), **verdict)
 
 
 def compare_results(df: DataFrame, **verdict) -> DataFrame:
@@ -186,7 +187,7 @@ def recheck_verdict(df: DataFrame, **verdict) -> DataFrame:
         F.col("eligibilityReason").alias(VERDICT[2]),
     )
     chosen = F.when(runs, comparison_verdict(**verdict)).otherwise(held)
-    return df.withColumn("_v", chosen).select(*df.columns, "_v.*")
+    return df.withColumn("_v", chosen).select(*[c for c in df.columns if c not in VERDICT], "_v.*")
 
 
 def assemble_baseline_rows(df: DataFrame, meta: dict[str, str]) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenledger.functions.chain import first_verdict
 from evenledger.functions.parameters import SAMPLE_VALUE
-from evenledger.operators.ranking import number_rows, top_rows
+from evenledger.operators.ranking import top_rows
 
 SAMPLE_SIZE = 3
 
@@ -85,8 +85,10 @@ def sample_tuples(
     distinct = picked.distinct()
     if by:
         return top_rows(distinct, by, names, n, out="sampleIndex").withColumn("sampleIndex", F.col("sampleIndex").cast("int"))
-    few = distinct.orderBy(*[F.col(c).asc_nulls_last() for c in names]).limit(n)
-    return number_rows(few, [], names, "sampleIndex").withColumn("sampleIndex", F.col("sampleIndex").cast("int"))
+    order = [F.col(c).asc_nulls_last() for c in names]
+    few = distinct.orderBy(*order).limit(n)
+    # At most n rows are left, so one window over all of them is fine.
+    return few.withColumn("sampleIndex", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
 
 
 def sample_index(df: DataFrame, plan: list[str], columns: list[str], n: int) -> DataFrame:

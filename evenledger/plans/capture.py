@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenledger.functions.canonical import NORMALIZATION_VERSION
@@ -12,8 +12,10 @@ from evenledger.functions.chain import says
 from evenledger.operators.compare import (
     assemble_baseline_rows,
     assemble_comparison_rows,
-    compare_sides,
+    compare_results,
+    join_sides,
     match_baseline,
+    overall_of_one,
     overall_status,
     recheck_verdict,
     saved_side,
@@ -22,7 +24,7 @@ from evenledger.operators.eligibility import capture_eligibility, compare_eligib
 from evenledger.operators.results import MAX_ROWS
 from evenledger.operators.sampling import SAMPLE_SIZE, Mapping, sample_tuples, tuple_column
 from evenledger.operators.skew import lookup_join
-from evenledger.plans.replay import pending_side, replay
+from evenledger.plans.replay import SUMMARY_SCHEMA, pending_side, replay
 from evenledger.sources.scan import scan_baseline
 from evenledger.sources.sink import baseline_run_id, protect_baseline, write_baseline, write_comparison
 
@@ -50,11 +52,11 @@ def sample_parameters(
     return merged.join(counts, "sqlId")
 
 
-def parameter_names(values) -> F.Column:
+def parameter_names(values) -> Column:
     return F.array_join(F.transform(values, lambda v: v.getField("parameterName")), "|")
 
 
-def parameter_types(values) -> F.Column:
+def parameter_types(values) -> Column:
     return F.array_join(F.transform(values, lambda v: v.getField("javaType")), "|")
 
 
@@ -79,7 +81,8 @@ def capture_baseline(
         protect_baseline(spark, path)
     decided = capture_eligibility(candidates)
     cases = lookup_join(samples, executable_later(decided), ["sqlId"], how="inner")
-    cases = cases.withColumn("executionOnly", F.col("eligibilityStatus") == "EXECUTION_ONLY")
+    # Read once per side and once for the rows, so kept; a lost block is computed again.
+    cases = cases.withColumn("executionOnly", F.col("eligibilityStatus") == "EXECUTION_ONLY").persist()
     runs = cases.select("sqlId", "sampleIndex", "jdbcSql", "values", "postgresValidationStatus")
     passed = says(F.col("postgresValidationStatus"), "PASSED")
     a = replay(spark, side_a, runs, max_rows, timeout_s)
@@ -87,10 +90,7 @@ def capture_baseline(
     b = on_b.unionByName(pending_side(runs.where(~passed)))
     keys = ["sqlId", "sampleIndex"]
     marks = cases.select(*keys, "executionOnly")
-    compared = compare_sides(a, b, keys).drop("sampleComparisonStatus", "differenceCategory", "differenceMessage")
-    from evenledger.operators.compare import compare_results
-
-    judged = compare_results(compared.join(marks, keys), execution_only=F.col("executionOnly"))
+    judged = compare_results(join_sides(a, b, keys).join(marks, keys), execution_only=F.col("executionOnly"))
     overall = overall_status(judged.withColumn("aStatus", F.col("a.status")), ["sqlId"]).drop("sampleCount")
     rows = cases.join(judged.drop("executionOnly"), keys).join(overall, "sqlId")
     meta = {
@@ -112,6 +112,7 @@ def capture_baseline(
     baseline = assemble_baseline_rows(described, meta)
     if path:
         write_baseline(baseline, path)
+        cases.unpersist()
         return scan_baseline(spark, path)
     return baseline
 
@@ -132,13 +133,11 @@ def compare_with_baseline(
 
     ``open_side_b`` is a function returning side B's session; it is called only when something runs.
     """
-    decided = compare_eligibility(match_baseline(baseline, candidates), version)
+    decided = compare_eligibility(match_baseline(baseline.drop("overallComparisonStatus"), candidates), version).persist()
     runs = decided.where(F.col("eligibilityStatus") == "AUTO_COMPARABLE").select(
         F.col("baselineKey").alias("sqlId"), "sampleIndex", F.col("current.jdbcSql").alias("jdbcSql"),
         F.col("parameterValues").alias("values"),
     )
-    from evenledger.plans.replay import SUMMARY_SCHEMA
-
     if runs.limit(1).isEmpty():
         now = spark.createDataFrame([], SUMMARY_SCHEMA)
     else:
@@ -158,14 +157,13 @@ def compare_with_baseline(
     rows = assemble_comparison_rows(judged.join(overall, "baselineKey", "left"), database, schema)
     if path:
         write_comparison(rows, path)
+        decided.unpersist()
         return spark.read.parquet(path)
     return rows
 
 
 def overall_by_key(judged: DataFrame) -> DataFrame:
     """One overall status per key; when nothing of a key ran, that of its rows as they stand."""
-    from evenledger.operators.compare import overall_of_one
-
     ran = F.col("sampleComparisonStatus").isin("NOT_EXECUTED", "CURRENT_POSTGRES_NOT_READY")
     held = F.max(F.when(ran, overall_of_one(F.col("sampleComparisonStatus"))))
     by_rows = overall_status(judged.where(~ran).withColumn("aStatus", F.col("a.status")), ["baselineKey"])

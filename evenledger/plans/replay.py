@@ -124,7 +124,7 @@ def replay(
     only their one-row summaries.
     """
     done, pending = None, []
-    for row in replay_rows(side, cases.toLocalIterator(), max_rows, timeout_s):
+    for row in replay_rows(side, cases.toLocalIterator(prefetchPartitions=True), max_rows, timeout_s):
         pending.append(row)
         if len(pending) == batch:
             done, pending = _append(spark, done, pending), []

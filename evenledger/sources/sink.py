@@ -28,7 +28,9 @@ def write_report(df: DataFrame, path: str, contract: list[str], fmt: str = "parq
     """Exactly the contract's columns in the contract's order."""
     writer = df.select(*contract).write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("escape", '"').option("emptyValue", "")
+        writer = writer.options(
+            header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.format(fmt).save(path)
 
 
