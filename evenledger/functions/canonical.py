@@ -59,9 +59,11 @@ def canonical_value(c: Column, dtype: T.DataType, scale: int = 6, nested: str =
         tag, body = "BOOL:", c.cast("string")
     elif isinstance(dtype, T.DecimalType):
         tag, body = "NUM:", plain_decimal(c) if dtype.scale > 0 else c.cast("string")
-    elif isinstance(dtype, T.FractionalType):
-        exact = c.try_cast(f"decimal(38,{scale})")
-        tag, body = "NUM:", F.coalesce(plain_decimal(exact), c.cast("string"))
+    elif isinstance(dtype, T.DoubleType):
+        tag, body = "NUM:", F.coalesce(plain_decimal(c.try_cast(f"decimal(38,{scale})")), c.cast("string"))
+    elif isinstance(dtype, T.FloatType):
+        short = c.cast("string")
+        tag, body = "NUM:", F.coalesce(plain_decimal(short.try_cast(f"decimal(38,{scale})")), short)
     elif isinstance(dtype, T.NumericType):
         tag, body = "NUM:", c.cast("string")
     elif isinstance(dtype, T.DateType):
