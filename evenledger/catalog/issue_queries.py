@@ -94,7 +94,7 @@ def _order(spark, sf_dir):
 
 @query("rank_rows", f'WITH {CLASSIFIED_SQL} SELECT "sqlId", row_number() OVER (ORDER BY {ORDER_SQL}) AS rank FROM counted')
 def _rank(spark, sf_dir):
-    return iss.detail_report(classified(spark, sf_dir)).select("sqlId", "rank")
+    return iss.detail_report(classified(spark, sf_dir).persist()).select("sqlId", "rank")
 
 
 @query(

@@ -202,16 +202,18 @@ def validate_requests(df: DataFrame) -> DataFrame:
     c = F.col
     params = F.coalesce("parameters", F.array())
     n = F.size(params)
-    read_only = lambda text: select_flags(text).getField("select") & ~select_flags(text).getField("unsafe")
-    single = lambda text: ~select_flags(text).getField("multi")
+    sides = ("_h2", "_pg")
+    all_of = lambda test: test(sides[0]) & test(sides[1])
+    read_only = lambda side: c(f"{side}.select") & ~c(f"{side}.unsafe")
+    single = lambda side: ~c(f"{side}.multi")
     writes = r"(?i)\b(?:update|delete|insert|merge|create|alter|drop|truncate|grant|revoke)\b"
     indexes = F.transform(params, lambda p: p.getField("jdbcIndex"))
     rules = [
         (F.coalesce(c("requestVersion") != REQUEST_VERSION, F.lit(True)), "REQUEST_VERSION"),
         (blank(c("caseId")), "CASE_ID"),
         (blank(c("h2JdbcSql")) | blank(c("postgresJdbcSql")), "SQL_MISSING"),
-        (~(read_only(c("h2JdbcSql")) & read_only(c("postgresJdbcSql"))), "NOT_READ_ONLY_SELECT"),
-        (~(single(c("h2JdbcSql")) & single(c("postgresJdbcSql"))), "MULTIPLE_STATEMENTS"),
+        (~all_of(read_only), "NOT_READ_ONLY_SELECT"),
+        (~all_of(single), "MULTIPLE_STATEMENTS"),
         (
             F.regexp_replace(F.concat_ws(" ", "h2JdbcSql", "postgresJdbcSql"), r"'[^']*'", "").rlike(writes),
             "WRITE_STATEMENT",
@@ -234,7 +236,8 @@ def validate_requests(df: DataFrame) -> DataFrame:
         ),
         (~F.coalesce(c("resultMatchedBeforePerformanceTest"), F.lit(False)), "RESULT_NOT_MATCHED"),
     ]
-    return df.withColumn("failedCheck", first_match(rules, "")).withColumn(
+    inspected = df.withColumn("_h2", select_flags(c("h2JdbcSql"))).withColumn("_pg", select_flags(c("postgresJdbcSql")))
+    return inspected.withColumn("failedCheck", first_match(rules, "")).drop("_h2", "_pg").withColumn(
         "requestStatus", F.when(F.col("failedCheck") == "", "READY").otherwise("INVALID_REQUEST")
     )
 

@@ -23,14 +23,15 @@ def baseline_usable(status: Column, row_count: Column, digest: Column, signature
 
 
 def _decided(df: DataFrame, verdict: Column) -> DataFrame:
-    return df.withColumn("_v", verdict).select(*[c for c in df.columns if c not in VERDICT], "_v.*")
+    return df.withColumn("_v", verdict).select(*[c for c in df.columns if c not in (*VERDICT, "_flags")], "_v.*")
 
 
 def capture_eligibility(df: DataFrame) -> DataFrame:
     """May a candidate be captured into a baseline, and on which sides?"""
     c = F.col
-    flags = select_flags(c("jdbcSql"))
-    flag = lambda name: flags.getField(name)
+    # A column of its own, so that the text is inspected once and not once per rule.
+    df = df.withColumn("_flags", select_flags(c("jdbcSql")))
+    flag = lambda name: F.col(f"_flags.{name}")
     found = lambda status: (status, flag("reason_code"), flag("reason"))
     manual_reason = F.coalesce(
         nonblank(c("manualReviewReason")), F.lit("The SQL is dynamic or still requires manual review.")
@@ -107,8 +108,8 @@ def compare_eligibility(df: DataFrame, version: str = NORMALIZATION_VERSION) ->
     """
     c = F.col
     now = lambda name: F.col(f"current.{name}")
-    flags = select_flags(now("jdbcSql"))
-    flag = lambda name: flags.getField(name)
+    df = df.withColumn("_flags", select_flags(now("jdbcSql")))
+    flag = lambda name: F.col(f"_flags.{name}")
     found = lambda status: (status, flag("reason_code"), flag("reason"))
     same_version = F.lower(F.trim(F.coalesce(c("normalizationVersion"), F.lit("")))) == version.strip().lower()
     rules = [

@@ -310,7 +310,10 @@ def inventory_order(df: DataFrame) -> DataFrame:
 
 
 def detail_report(classified: DataFrame, **split) -> DataFrame:
-    """Classified rows with their rank in report order and the texts the report shows."""
+    """Classified rows with their rank in report order and the texts the report shows.
+
+    Counting and ranking read the input several times: pass persisted or saved rows.
+    """
     keyed = report_keys(issue_type_count(classified))
     ranked = rank_rows(keyed, REPORT_ORDER, "rank", **split).drop(*REPORT_ORDER)
     return ranked.withColumn("originalSql", original_text(F.col("normalizedSqlText"), F.col("sqlText"))).withColumn(
