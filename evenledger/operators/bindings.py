@@ -221,7 +221,10 @@ def binding_report(plans: DataFrame, bindings: DataFrame) -> DataFrame:
         "confidence",
         "bindingNote",
     )
-    rows = values.join(plans.select("sqlId", "parameterMode", "note"), "sqlId", "right")
+    facts = plans.select("sqlId", "parameterMode", "note")
+    bare = facts.join(values.select("sqlId").distinct(), "sqlId", "left_anti")
+    # An inner part and the rest, not one outer join: the adaptive skew join can split the inner part.
+    rows = values.join(facts, "sqlId").unionByName(bare, allowMissingColumns=True)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     return rows.select(
         "sqlId",

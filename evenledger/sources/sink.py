@@ -52,7 +52,7 @@ def protect_baseline(spark: SparkSession, path: str, fmt: str = "parquet", fail_
 
 
 def write_baseline(df: DataFrame, path: str, fmt: str = "parquet", fail_if_exists: bool = True) -> None:
-    """Immutable artefact; clustered by key so that later comparisons read neighbouring rows."""
+    """Immutable artefact of one run. Give every run its own path."""
     protect_baseline(df.sparkSession, path, fmt, fail_if_exists)
     write_report(df, path, BASELINE, fmt, mode="overwrite")
 
