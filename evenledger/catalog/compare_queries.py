@@ -171,12 +171,12 @@ VERSIONS = [NORMALIZATION_VERSION, NORMALIZATION_VERSION.upper(), NORMALIZATION_
 def baseline_rows(spark, sf_dir):
     """Saved samples, one per line item, keyed like statements of its order's method; some keys blank or unknown."""
     li = table(spark, sf_dir, "lineitem")
-    facts = statements(spark, sf_dir).select(
-        F.col("_pos").alias("l_orderkey"), "serviceName", "className", "methodName", "sourceType", "sqlVariableName"
-    )
-    k, p = F.col("l_orderkey"), F.col("l_partkey")
     names = ("serviceName", "className", "methodName", "sourceType", "sqlVariableName")
-    key = baseline_key(*[F.col(n) for n in names], F.col("l_linenumber") % 3 + 1)
+    # The key without its position, worked out once per order.
+    stem = baseline_key(*[F.col(n) for n in names], F.lit(""))
+    facts = statements(spark, sf_dir).select(F.col("_pos").alias("l_orderkey"), stem.alias("stem"))
+    k, p = F.col("l_orderkey"), F.col("l_partkey")
+    key = F.concat("stem", F.col("l_linenumber") % 3 + 1)
     return li.join(facts, "l_orderkey").select(
         F.concat(F.lit("S"), k).alias("sqlId"),
         F.col("l_linenumber").alias("sampleIndex"),
