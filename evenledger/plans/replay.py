@@ -62,8 +62,9 @@ def run_one(session: SparkSession, text: str, args: list, max_rows: int, timeout
     """Summary of one statement; an error becomes a status, never an exception."""
     started = time.monotonic()
     tag = f"replay-{uuid.uuid4().hex}"
-    timer = threading.Timer(timeout_s, session.interruptTag, [tag]) if timeout_s else None
-    session.addTag(tag)
+    context = session.sparkContext
+    timer = threading.Timer(timeout_s, context.cancelJobsWithTag, [tag]) if timeout_s else None
+    context.addJobTag(tag)
     try:
         if timer:
             timer.start()
@@ -81,7 +82,7 @@ def run_one(session: SparkSession, text: str, args: list, max_rows: int, timeout
     finally:
         if timer:
             timer.cancel()
-        session.removeTag(tag)
+        context.removeJobTag(tag)
     return {**outcome, "executionTimeMs": int((time.monotonic() - started) * 1000)}
 
 
