@@ -48,3 +48,21 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evenledger.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+def _digest(buf, removed):
+    import hashlib
+
+    starts = int(removed[:1].sum()) + int((removed[1:] & ~removed[:-1]).sum())
+    return len(buf), int(removed.sum()), starts, hashlib.sha256(buf[~removed].tobytes()).hexdigest()
+
+
+@query()
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from functools import partial
+
+    from evenledger.llm.suffix import cut_batches, with_spans
+
+    rows = with_spans(table(spark, sf_dir, "documents"), length=400)
+    found = rows.mapInArrow(partial(cut_batches, digest=_digest), "doc_id long, c0 long, c1 long, c2 long, c3 string")
+    return found.toDF("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
