@@ -66,3 +66,25 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_spans(table(spark, sf_dir, "documents"), length=400)
     found = rows.mapInArrow(partial(cut_batches, digest=_digest), "doc_id long, c0 long, c1 long, c2 long, c3 string")
     return found.toDF("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query(
+    """
+WITH split AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+on_page AS (SELECT doc_id, source, unnest(list_distinct(list_transform(lines, lambda x: trim(x)))) AS line FROM split),
+bad AS (SELECT o.source, o.line FROM on_page o JOIN pages p ON p.source IS NOT DISTINCT FROM o.source
+  WHERE o.line <> '' GROUP BY o.source, o.line, p.pages HAVING count(*) >= 3 AND count(*) * 100 > p.pages * 10),
+listed AS (SELECT source, list(line) AS bad FROM bad GROUP BY source),
+kept AS (SELECT s.doc_id, s.lines, CASE WHEN l.bad IS NULL THEN s.lines ELSE list_filter(s.lines, lambda x: NOT list_contains(l.bad, trim(x))) END AS kept
+  FROM split s LEFT JOIN listed l ON l.source IS NOT DISTINCT FROM s.source)
+SELECT doc_id, len(lines) AS n_lines, len(lines) - len(kept) AS n_dropped, md5(array_to_string(kept, chr(10))) AS kept_md5 FROM kept
+"""
+)
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from evenledger.llm.lines import drop_boilerplate
+
+    found = drop_boilerplate(table(spark, sf_dir, "documents"), percent=10, min_pages=3)
+    return found.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
