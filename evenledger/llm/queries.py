@@ -88,3 +88,11 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = drop_boilerplate(table(spark, sf_dir, "documents"), percent=10, min_pages=3)
     return found.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
+
+
+@query()
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.common import held_out
+    from evenledger.llm.mixing import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
