@@ -23,6 +23,10 @@ from evenledger.llm.hashing import buffer_of, mix, words
 #: Minima of a signature, low bits kept of each, and bands of ROWS minima. A pair of similarity 0.8 meets in no band
 #: with a chance of (1 - 0.8**4)**32 = 5e-8.
 MINIMA, BITS, BANDS, ROWS = 256, 2, 32, 4
+#: One-bit minima of the finer signature that classes get in buckets with several components.
+FINE = 2048
+#: Classes of a bucket that are compared with one another at once.
+BLOCK = 256
 #: A pair is confirmed on full sets unless its estimate lies this many standard deviations under the bound.
 DEVIATIONS = 5.5
 BATCH_BYTES = 4 << 20
@@ -145,9 +149,10 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, key: str
     Null and empty texts and texts without words have an empty set and stand alone. Keys must be distinct.
 
     Documents with the same set are one class first, whose smallest id stands for it. In each band bucket every class
-    is compared with the bucket's hub (the class that meets most others); then only pairs that still lie in different
-    components are compared, so a large group of copies costs about one comparison for each member, and no link
-    between components is lost.
+    is compared with the bucket's hub (the class that meets most others), then classes outside the bucket's largest
+    component with another hub. What still lies outside is compared with the bucket's other components block by block
+    on a finer signature. So a large group of copies costs a few comparisons for each member, and no link between
+    components is lost.
     """
     rows = text_rows(docs, key, text)
     signed = saved(rows.mapInArrow(partial(signature_batches, size=size), SIGNED), "signed")
@@ -169,12 +174,13 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, key: str
     first = votes.groupBy("doc_id").agg(F.max(F.struct("votes", (-F.col("hub")).alias("minus"))).alias("best"))
     pairs = first.select(F.col("doc_id").alias("a"), (-F.col("best.minus")).alias("b"))
     links = saved(confirmed(likely(pairs, marked, percent), sets, percent), "links")
-    for step in range(2):
-        labels = saved(labelled(marked, links), "labels")
-        open_pairs = cross_pairs(met, labels, hubs_only=step < 1, salt=step)
-        pairs = saved(likely(open_pairs, marked, percent).distinct(), "pairs")
-        links = saved(links.unionByName(confirmed(pairs, sets, percent)), "links")
-        drop_saved(labels, pairs)
+    labels = saved(labelled(marked, links), "labels")
+    pairs = saved(likely(hub_pairs(mixed_buckets(met, labels)), marked, percent), "pairs")
+    links = saved(links.unionByName(confirmed(pairs, sets, percent)), "links")
+    labels = saved(labelled(marked, links), "labels")
+    there = saved(mixed_buckets(met, labels), "mixed")
+    pairs = saved(open_pairs(there, sets, reps, percent), "pairs")
+    links = links.unionByName(confirmed(pairs, sets, percent))
     linked = components(links)
     by_class = full.join(classes, ["n_shingles", "print_a", "print_b"]).select("doc_id", "n_shingles", "rep")
     found = by_class.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -197,21 +203,76 @@ def labelled(marked: DataFrame, links: DataFrame) -> DataFrame:
     return marked.select("doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("label"))
 
 
-def cross_pairs(met: DataFrame, labels: DataFrame, hubs_only: bool, salt: int) -> DataFrame:
-    """Candidate pairs of one bucket that lie in different components.
-
-    With ``hubs_only`` each class meets one hub of each bucket, chosen anew by ``salt``; else all remaining pairs,
-    of which each has one end outside the bucket's largest component.
-    """
-    there = met.join(labels, "doc_id").select("bucket", "doc_id", "label", "degree")
+def mixed_buckets(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, doc_id, label, main, n, outside) of buckets that hold several components; main is the largest one."""
+    there = met.join(labels, "doc_id").select("bucket", "doc_id", "label")
     groups = there.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-    mixed = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("size", "label")).alias("top")).where("labels > 1")
-    there = there.join(mixed.select("bucket", F.col("top.label").alias("main")), "bucket")
-    if hubs_only:
-        order = F.xxhash64("doc_id", F.lit(salt))
-        hubs = there.where("label = main").groupBy("bucket").agg(F.max_by("doc_id", order).alias("hub"))
-        pairs = there.where("label <> main").join(hubs, "bucket").select("doc_id", "hub")
-    else:
-        other = there.select("bucket", F.col("doc_id").alias("hub"), F.col("label").alias("hub_label"))
-        pairs = there.where("label <> main").join(other, "bucket").where("label <> hub_label").select("doc_id", "hub")
+    mixed = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.sum("size").alias("n"), F.max(F.struct("size", "label")).alias("top"))
+    mixed = mixed.where("labels > 1").select("bucket", "n", F.col("top.label").alias("main"), (F.col("n") - F.col("top.size")).alias("outside"))
+    return there.join(mixed, "bucket")
+
+
+def hub_pairs(there: DataFrame) -> DataFrame:
+    """Every class outside a bucket's main component with one class of it, chosen by hash."""
+    hubs = there.where("label = main").groupBy("bucket").agg(F.max_by("doc_id", F.xxhash64("doc_id", F.lit(1))).alias("hub"))
+    pairs = there.where("label <> main").join(hubs, "bucket")
     return pairs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
+
+
+def fine_batches(batches):
+    rng = np.random.default_rng(11)
+    factors = (rng.integers(0, 2**31, FINE) * 2 + 1).astype(np.uint32)
+    shifts = rng.integers(0, 2**32, FINE).astype(np.uint32)
+    salts = mix(rng.integers(0, 2**63, FINE, dtype=np.uint64))
+    for batch in batches:
+        fine, sizes = [], []
+        for found in batch.column("shingles"):
+            own = np.asarray(found.values).view(np.uint64)
+            bits = mix(minima(own, factors, shifts).astype(np.uint64) ^ salts) & np.uint64(1)
+            fine.append(np.packbits(bits.astype(np.uint8)).tobytes())
+            sizes.append(len(own))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(fine, pa.binary())], names=["doc_id", "size", "fine"])
+
+
+def block_pairs(batches, percent: int):
+    """Likely pairs (a, b) of the classes of two blocks of one bucket, where it is the first bucket that both share."""
+    share = percent / 100
+    equal = 0.5 + share / 2
+    least = FINE * (equal - DEVIATIONS * (equal * (1 - equal) / FINE) ** 0.5)
+    for batch in batches:
+        for r in range(batch.num_rows):
+            outside, members = (batch.column(c)[r].values for c in ("outside", "members"))
+            bucket = batch.column("bucket")[r].as_py()
+            id_a, id_b, label_a, label_b, n_a, n_b = (np.asarray(x.field(f)) for f in ("doc_id", "label", "size") for x in (outside, members))
+            bits_a, bits_b, bands_a, bands_b = (
+                np.frombuffer(b"".join(x.field("fine").to_pylist()), dtype=np.uint64).reshape(len(x), -1) if f == "fine" else np.asarray(x.field("bands").flatten()).reshape(len(x), BANDS)
+                for f in ("fine", "bands")
+                for x in (outside, members)
+            )
+            apart = np.zeros((len(id_a), len(id_b)), dtype=np.int32)
+            for k in range(bits_a.shape[1]):
+                apart += np.bitwise_count(bits_a[:, k, None] ^ bits_b[None, :, k])
+            low, high = np.minimum(n_a[:, None], n_b), np.maximum(n_a[:, None], n_b)
+            good = (FINE - apart >= least) & (label_a[:, None] != label_b) & (low * 100 >= high * percent)
+            i, j = np.nonzero(good)
+            first = np.argmax(bands_a[i] == bands_b[j], axis=1)
+            here = bands_a[i, first] == bucket
+            i, j = i[here], j[here]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(id_a[i], id_b[j])), pa.array(np.maximum(id_a[i], id_b[j]))], names=["a", "b"])
+
+
+def open_pairs(there: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """All likely pairs of one bucket in different components, of which one end lies outside the main one.
+
+    A bucket's classes are dealt into blocks, and blocks are compared with blocks on finer signatures.
+    """
+    own = there.select("doc_id").distinct()
+    fine = sets.join(own, "doc_id", "left_semi").mapInArrow(fine_batches, "doc_id long, size long, fine binary")
+    rows = saved(there.join(fine.join(reps.select("doc_id", "bands"), "doc_id"), "doc_id"), "fine")
+    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / BLOCK)).alias("part")
+    other = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("outside") / BLOCK)).alias("part")
+    entry = F.struct("doc_id", "label", "size", "fine", "bands")
+    members = rows.groupBy("bucket", part).agg(F.collect_list(entry).alias("members")).drop("part")
+    outside = rows.where("label <> main").groupBy("bucket", other).agg(F.collect_list(entry).alias("outside")).drop("part")
+    met = outside.join(members, "bucket")
+    return met.mapInArrow(partial(block_pairs, percent=percent), "a long, b long").distinct()
