@@ -96,3 +96,34 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evenledger.llm.mixing import score_texts
 
     return score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _token_digest(vocab, doc_ids, tokens, bounds):
+    import hashlib
+
+    import pyarrow as pa
+
+    from evenledger.llm.bpe import decoded
+
+    ids, texts = [], []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        ids.append(hashlib.sha256(tokens[a:b].astype("<u4").tobytes()).hexdigest())
+        texts.append(hashlib.sha256(decoded(vocab, tokens[a:b])).hexdigest())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(doc_ids, pa.int64()), pa.array(bounds[1:] - bounds[:-1]), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
+        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
+@query()
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.bpe import encode
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encode(table(spark, sf_dir, "documents"), tokenizer_path(), _token_digest, schema)
