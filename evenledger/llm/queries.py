@@ -127,3 +127,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return encode(table(spark, sf_dir, "documents"), tokenizer_path(), _token_digest, schema)
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end=0)
