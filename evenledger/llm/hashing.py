@@ -110,11 +110,14 @@ def slices(buf: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> Ite
         at = end
 
 
-def words(buf: np.ndarray, offsets: np.ndarray, seed: int = 1, size: int = SLICE_BYTES) -> Iterator[tuple]:
-    """For each slice (its lowered bytes, word starts, word ends, hashes, row of each word); starts count from the slice."""
+def words(buf: np.ndarray, offsets: np.ndarray, seed: int = 1, size: int = SLICE_BYTES, between: np.ndarray = SPACES) -> Iterator[tuple]:
+    """For each slice (its lowered bytes, word starts, word ends, hashes, row of each word); starts count from the slice.
+
+    ``between`` marks the bytes that end a word; it must hold all separators.
+    """
     for a, b in slices(buf, offsets, size):
         low = LOWER[buf[a:b]]
-        inside = ~SPACES[low]
+        inside = ~between[low]
         edges = offsets[np.searchsorted(offsets, a, side="left") : np.searchsorted(offsets, b, side="right")] - a
         first = inside.copy()
         first[1:] &= ~inside[:-1]

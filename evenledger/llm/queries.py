@@ -134,3 +134,16 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evenledger.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end=0)
+
+
+@query()
+def op3_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from evenledger.llm.common import held_out
+    from evenledger.llm.toxicity import fit, score_texts
+
+    docs = table(spark, sf_dir, "documents")
+    held = held_out("doc_id", 5, 0)
+    found = score_texts(docs, fit(docs, table(spark, sf_dir, "labels"), learn_from=~held))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
