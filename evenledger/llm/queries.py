@@ -147,3 +147,10 @@ def op3_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = held_out("doc_id", 5, 0)
     found = score_texts(docs, fit(docs, table(spark, sf_dir, "labels"), learn_from=~held))
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op2_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.htmltext import extract
+
+    return extract(table(spark, sf_dir, "pages"), keep="url").select("page_id", "url", "text", "n_chars")
