@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -28,9 +29,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: lineage ends here, and a lost executor costs no rework."""
     path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now; else they stay until the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_saved(*frames: DataFrame) -> None:
     """Removes tables of ``saved`` that nothing reads any more."""
     for df in frames:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import saved, small_batches, text_rows
+from evenledger.llm.common import drop_saved, saved, small_batches, text_rows
 from evenledger.llm.hashing import buffer_of, mix, powers, prefix_sums, span_hashes
 
 STEP_BYTES = 1 << 19
@@ -138,7 +138,8 @@ def repeated(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str
     rows = text_rows(docs, key, text)
     runs = saved(rows.mapInArrow(partial(run_batches, length=length), "doc_id long, start long, n int, bucket long, whole long"), "runs")
     shared = saved(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("bucket"), "buckets")
-    runs = saved(runs.join(shared, "bucket"), "open-runs")
+    every, runs = runs, saved(runs.join(shared, "bucket"), "open-runs")
+    drop_saved(every, shared)
     kinds = runs.groupBy("bucket", "whole").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "start", "n")).alias("one"))
     kinds = saved(kinds, "kinds")
     several = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
@@ -149,8 +150,12 @@ def repeated(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str
     starts = rows.join(listed, "doc_id").mapInArrow(partial(start_batches, length=length), "bucket long, ident long, doc_id long, start long")
     starts = saved(starts, "starts")
     met = saved(starts.groupBy("bucket", "ident").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("bucket", "ident"), "met")
+    full = saved(full, "whole-runs")
+    drop_saved(runs, kinds, copied)
     single = starts.join(met, ["bucket", "ident"]).select("doc_id", "start", (F.col("start") + F.lit(length)).alias("end"))
-    return full.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = saved(full.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    drop_saved(starts, met, full)
+    return spans
 
 
 def removed_mask(size: int, spans: pa.StructArray | None) -> np.ndarray:
