@@ -154,3 +154,19 @@ def op2_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evenledger.llm.htmltext import extract
 
     return extract(table(spark, sf_dir, "pages"), keep="url").select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.hnsw import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+@query()
+def op7_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from evenledger.llm.forest import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
