@@ -24,12 +24,13 @@ def drop_boilerplate(
     text: str = "text",
     host: str = "source",
     broadcast_lines: int = BROADCAST_LINES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped): texts without the lines that stand on too many pages of their host.
 
     A line goes if at least ``min_pages`` pages of the host have it and 100 * pages with it > ``percent`` * all pages
     of the host. Lines are compared without spaces at their ends; a page counts once however often it repeats a line.
-    Blank lines never go. Null and empty texts have one empty line; null hosts form one host. Keys must be distinct.
+    Columns named in ``keep`` come along. Blank lines never go. Null and empty texts have one empty line; null hosts form one host. Keys must be distinct.
 
     Counts are formed before the shuffle and shuffled by host and line, so a host or a line with a third of all pages
     is spread. A host has at most (distinct lines a page) * 100 / ``percent`` such lines.
@@ -38,8 +39,9 @@ def drop_boilerplate(
         F.col(f"`{key}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
         F.coalesce(F.concat(F.lit("="), F.col(f"`{host}`")), F.lit("")).alias("host"),
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("kept_columns"),
     )
-    lines = rows.select("doc_id", "host", F.split("text", "\n", -1).alias("lines"))
+    lines = rows.select("doc_id", "host", F.split("text", "\n", -1).alias("lines"), "kept_columns")
     prints = F.array_distinct(F.transform(F.filter("lines", lambda x: F.trim(x) != ""), lambda x: _print(F.trim(x))))
     on_page = lines.select("doc_id", "host", F.explode(prints).alias("line"))
     pages = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
@@ -54,6 +56,10 @@ def drop_boilerplate(
     kept = F.when(F.col("bad").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: (F.trim(x) == "") | ~F.array_contains("bad", _print(F.trim(x))))
     )
-    return marked.select("doc_id", kept.alias("kept"), F.size("lines").cast("long").alias("n_lines")).select(
-        "doc_id", F.array_join("kept", "\n").alias("text"), "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped")
+    return marked.select("doc_id", kept.alias("kept"), F.size("lines").cast("long").alias("n_lines"), "kept_columns").select(
+        "doc_id",
+        F.array_join("kept", "\n").alias("text"),
+        "n_lines",
+        (F.col("n_lines") - F.size("kept")).alias("n_dropped"),
+        *[F.col(f"kept_columns.`{c}`") for c in keep],
     )

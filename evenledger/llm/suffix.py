@@ -198,3 +198,21 @@ def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text
     """(doc_id, text, n_removed): every text without the bytes that ``repeated`` covers; whole characters only."""
     rows = with_spans(docs, length, key, text).mapInArrow(partial(cut_batches, digest=text_digest), "doc_id long, c0 string, c1 long")
     return rows.select("doc_id", F.col("c0").alias("text"), F.col("c1").alias("n_removed"))
+
+
+def text_batches(batches, text):
+    """Rows with their text cut by the spans in the last column, which goes."""
+    for batch in small_batches(batches, text, STEP_BYTES):
+        out = []
+        for value, spans in zip(batch.column(text), batch.column("_spans")):
+            buf = bytes_of(value) if value.is_valid else None
+            out.append(None if buf is None else whole_characters(buf, removed_mask(len(buf), spans.values if spans.is_valid else None)))
+        at = batch.schema.get_field_index(text)
+        yield batch.set_column(at, text, pa.array(out, pa.string())).drop_columns(["_spans"])
+
+
+def cut_texts(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The table with all its columns, its texts without the bytes that ``repeated`` covers; nulls stay null."""
+    spans = repeated(docs, length, key, text).toDF("_key", "_spans")
+    rows = docs.join(spans, docs[key] == spans["_key"], "left").select(*[docs[c] for c in docs.columns], "_spans")
+    return rows.mapInArrow(partial(text_batches, text=text), docs.schema)

@@ -284,3 +284,15 @@ def score_texts(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "
     """(doc_id, score) of every whole text; null and empty texts and texts without words score 0."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return text_rows(docs, key, text).mapInArrow(partial(score_batches, model=sent), "doc_id long, score double")
+
+
+def clean_batches(batches, model, text, threshold):
+    for batch in batches:
+        for part in small_batches([batch], text, TEXT_BYTES):
+            yield part.filter(pa.array(scores(model.value, part.column(text)) < threshold))
+
+
+def drop_toxic(docs: DataFrame, model: dict, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows whose text scores below the threshold, with all their columns; rows without text stay."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(partial(clean_batches, model=sent, text=text, threshold=threshold), docs.schema)
