@@ -12,11 +12,11 @@ def made():
     prose = lambda n: " ".join(word() for _ in range(n))
     passage = prose(70)
     rows, labels = [], []
-    for k in range(300):
+    for k in range(700):
         text = prose(rng.randint(20, 120))
         toxic = k % 4 == 0
         if toxic:
-            text += " zorgle quaxit " + prose(10)
+            text += " zorgle quaxit" + " zorgle" * (k % 3)
         if k % 10 == 1:
             text += "\nPowered by the site"
         rows.append((k, text, "en", "s0", len(text)))
@@ -48,7 +48,7 @@ def test_every_stage_takes_effect(spark, tmp_path):
     assert 1000 in near and 1001 not in near and 1002 not in near and len(near) == len(lines) - 2
     cut = seen["passage_dedup"]
     assert set(cut) == set(near) and passage not in cut[1003].text + cut[1004].text
-    assert cut[1000].text == rows[300][1]
+    assert cut[1000].text == rows[700][1]
     assert {r.doc_id for r in seen["packing"]} == set(cut)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen["packing"])
 
