@@ -164,7 +164,7 @@ def _plan_bindings(spark, sf_dir):
     f"""WITH {STATEMENTS_SQL}, {PLAN_SQL}, {DECLARED_SQL} SELECT p."sqlId", p."sourceType" AS "parameterMode", coalesce("originalParameter", '') AS "originalParameter",
       coalesce(cast("bindingIndex" as varchar), '') AS "bindingIndex", coalesce("javaParameterName", '') AS "javaParameterName",
       coalesce("javaType", '') AS "javaType", coalesce("parameterKind", '') AS "parameterKind",
-      coalesce(substr("mockValue" || repeat('y', 98), 1, 100), '') AS "mockValue", coalesce(r.confidence, '') AS confidence,
+      coalesce("mockValue" || repeat('y', 98), '') AS "mockValue", coalesce(substr("mockValue" || repeat('y', 98), 1, 100), '') AS "mockValuePreview", coalesce(r.confidence, '') AS confidence,
       coalesce("bindingNote", note) AS "bindingNote" FROM plans p LEFT JOIN resolved r ON r."sqlId" = p."sqlId" """,
 )
 def _report(spark, sf_dir):

@@ -44,11 +44,10 @@ leaf_paths AS (SELECT * FROM paths WHERE path <> '')"""
 
 @query(
     "scan_json_docs",
-    f"""WITH {JSON_SQL} SELECT doc_id, CASE WHEN trim(content, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'BLANK' WHEN length(content) > 2000 THEN 'TOO_LARGE'
-      WHEN json_valid(content) THEN 'VALID' ELSE 'INVALID' END AS "docStatus" FROM docs""",
+    f"""WITH {JSON_SQL} SELECT doc_id, CASE WHEN trim(content, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'BLANK' WHEN json_valid(content) THEN 'VALID' ELSE 'INVALID' END AS "docStatus" FROM docs""",
 )
 def _scan(spark, sf_dir):
-    return scan_json_docs(json_docs(spark, sf_dir), "content", 2000).select("doc_id", "docStatus")
+    return scan_json_docs(json_docs(spark, sf_dir), "content").select("doc_id", "docStatus")
 
 
 def json_paths(spark, sf_dir):

@@ -140,7 +140,7 @@ def _without(signature: str, *names: str) -> str:
     FROM lineitem GROUP BY l_suppkey""",
 )
 def _result_hash(spark, sf_dir):
-    return rs.result_hash(table(spark, sf_dir, "lineitem"), ["l_suppkey"])
+    return rs.result_hash(table(spark, sf_dir, "lineitem"), ["l_suppkey"], max_rows=1000)
 
 
 ORDER_CELLS = [number("o_orderkey"), words("o_orderstatus"), decimal("o_totalprice"), moment("o_orderdate"), words("o_orderpriority")]
@@ -153,7 +153,7 @@ ORDER_SIGNATURE = _without(SUMMARY_TABLES["orders"], "o_custkey")
       {digest(ORDER_SIGNATURE, cells(*ORDER_CELLS), "o_orderdate, o_orderkey")} AS "resultHash" FROM orders GROUP BY o_custkey""",
 )
 def _result_hash_ordered(spark, sf_dir):
-    return rs.result_hash(table(spark, sf_dir, "orders"), ["o_custkey"], ordered_by=["o_orderdate", "o_orderkey"])
+    return rs.result_hash(table(spark, sf_dir, "orders"), ["o_custkey"], ordered_by=["o_orderdate", "o_orderkey"], max_rows=1000)
 
 
 def changed_lineitem(spark, sf_dir):

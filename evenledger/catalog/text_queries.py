@@ -248,11 +248,10 @@ def _sanity_summary(spark, sf_dir):
     return _checked(spark, sf_dir)[1]
 
 
-SERVICE_SQL = """CASE WHEN contains(u, 'DRM') THEN 'DRM' WHEN contains(u, 'WORKFLOW') THEN 'WORKFLOW'
-  WHEN contains(u, '-OS') OR contains(u, '_OS') OR u = 'OS' THEN 'OS' WHEN contains(u, 'ENTITLEMENT') THEN 'ENTITLEMENT'
-  WHEN contains(u, 'API') AND contains(u, 'INTEGRATION') THEN 'API_INTEGRATION' WHEN contains(u, 'GRAPH') THEN 'GRAPH'
-  ELSE replace(u, '-', '_') END"""
-_FOLDERS = ["drm-core", "my-workflow", "os", "stock-os", "entitlement", "api-integration", "graph-api", "plain-one"]
+SERVICE_SQL = """CASE WHEN contains(u, 'FLOW') THEN 'FLOW' WHEN contains(u, 'BETA') AND contains(u, 'CORE') THEN 'BETA_CORE'
+  WHEN contains(u, 'CORE') THEN 'CORE' WHEN u = 'OS' THEN 'OS' ELSE replace(u, '-', '_') END"""
+_RULES = ((("FLOW",), "FLOW"), (("BETA", "CORE"), "BETA_CORE"), (("CORE",), "CORE"))
+_FOLDERS = ["alpha-core", "my-workflow", "os", "stock-os", "core-beta", "beta", "graph-api", "plain-one"]
 
 
 @query(
@@ -263,4 +262,4 @@ _FOLDERS = ["drm-core", "my-workflow", "os", "stock-os", "entitlement", "api-int
 def _service(spark, sf_dir):
     folder = F.element_at(F.array(*[F.lit(f) for f in _FOLDERS]), (1 + F.col("p_partkey") % 8).cast("int"))
     named = F.concat(folder, F.lit("_"), F.col("p_brand"))
-    return table(spark, sf_dir, "part").select("p_partkey", tx.service_label(named).alias("label"))
+    return table(spark, sf_dir, "part").select("p_partkey", tx.service_label(named, _RULES).alias("label"))

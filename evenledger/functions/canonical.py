@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NORMALIZATION_VERSION = "canonical-1"
+NORMALIZATION_VERSION = "canonical-2"
 CELL_SEPARATOR = "\x1f"
 MILLISECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
@@ -53,17 +53,35 @@ def escaped(c: Column) -> Column:
     return c
 
 
-def canonical_value(c: Column, dtype: T.DataType, scale: int = 6, nested: str = "error") -> Column:
-    """Tagged text of one cell. ``nested='json'`` admits arrays, maps and structs as JSON."""
+def normalization_version(max_rows: int | None = None, scale: int | None = None) -> str:
+    """Names how results were made comparable: prints and hashes, and roundings, are never compared with one another."""
+    method = "" if max_rows is None else "-sha256"
+    return NORMALIZATION_VERSION + method + ("" if scale is None else f"-scale{scale}")
+
+
+def plain_number(c: Column, kind: str, scale: int | None) -> Column:
+    """Text of a float or double: rounded to ``scale`` digits, or, with None, as many as tell it from all others."""
+    text = c.cast("string")
+    if scale is not None:
+        source = c if kind == "double" else text
+        return F.coalesce(plain_decimal(source.try_cast(f"decimal(38,{scale})")), text)
+    exact = text.try_cast("decimal(38,18)")
+    return F.when(exact.cast(kind) == c, plain_decimal(exact)).otherwise(text)
+
+
+def canonical_value(c: Column, dtype: T.DataType, scale: int | None = None, nested: str = "error") -> Column:
+    """Tagged text of one cell; floats and doubles are kept whole unless ``scale`` rounds them.
+
+    ``nested='json'`` admits arrays, maps and structs as JSON.
+    """
     if isinstance(dtype, T.BooleanType):
         tag, body = "BOOL:", c.cast("string")
     elif isinstance(dtype, T.DecimalType):
         tag, body = "NUM:", plain_decimal(c) if dtype.scale > 0 else c.cast("string")
     elif isinstance(dtype, T.DoubleType):
-        tag, body = "NUM:", F.coalesce(plain_decimal(c.try_cast(f"decimal(38,{scale})")), c.cast("string"))
+        tag, body = "NUM:", plain_number(c, "double", scale)
     elif isinstance(dtype, T.FloatType):
-        short = c.cast("string")
-        tag, body = "NUM:", F.coalesce(plain_decimal(short.try_cast(f"decimal(38,{scale})")), short)
+        tag, body = "NUM:", plain_number(c, "float", scale)
     elif isinstance(dtype, T.NumericType):
         tag, body = "NUM:", c.cast("string")
     elif isinstance(dtype, T.DateType):
@@ -88,7 +106,7 @@ def canonical_value(c: Column, dtype: T.DataType, scale: int = 6, nested: str =
     return F.coalesce(F.concat(F.lit(tag), body), F.lit("NULL"))
 
 
-def canonical_row(df: DataFrame, columns: list[str] | None = None, scale: int = 6, nested: str = "error") -> Column:
+def canonical_row(df: DataFrame, columns: list[str] | None = None, scale: int | None = None, nested: str = "error") -> Column:
     """All cells of a row in column order, joined by the unit separator."""
     chosen = columns or df.columns
     return F.concat_ws(

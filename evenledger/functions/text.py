@@ -29,17 +29,6 @@ RISKY_SELECT = r"nextval\(|setval\(|pg_advisory_lock|select\s[\s\S]*\sinto\s"
 UPDATE_ALIAS = r'\bupdate\s+[\w.$"]+\s+(?:as\s+)?([a-z_][\w$]*)\s+set\s+\1\.[a-z_][\w$]*\s*='
 ANY_PARAMETER = r"\?(?:\d+)?|:[a-zA-Z_][a-zA-Z0-9_]*"
 
-# Directory-name parts and the service label each one stands for, in order.
-SERVICE_RULES: tuple[tuple[tuple[str, ...], str], ...] = (
-    (("DRM",), "DRM"),
-    (("WORKFLOW",), "WORKFLOW"),
-    (("-OS",), "OS"),
-    (("_OS",), "OS"),
-    (("ENTITLEMENT",), "ENTITLEMENT"),
-    (("API", "INTEGRATION"), "API_INTEGRATION"),
-    (("GRAPH",), "GRAPH"),
-)
-
 # Reason code and sentence of each outcome of the safety inspection.
 SELECT_REASONS = {
     "NOT_SELECT": "The statement is not a SELECT statement.",
@@ -269,7 +258,7 @@ def readiness(status: Column) -> Column:
     return lookup(status, READINESS)
 
 
-def service_label(name: Column, rules=SERVICE_RULES) -> Column:
+def service_label(name: Column, rules: tuple[tuple[tuple[str, ...], str], ...] = ()) -> Column:
     """First rule whose parts all occur in the upper-cased name, else the name with ``_`` for ``-``."""
     upper = F.upper(name)
 

@@ -209,7 +209,7 @@ def match_param_type(params: DataFrame, declared: DataFrame) -> DataFrame:
 
 
 def binding_report(plans: DataFrame, bindings: DataFrame) -> DataFrame:
-    """One row per binding, and one for each plan without any; values are cut to 100 characters for the report."""
+    """One row per binding, and one for each plan without any: whole values, and a preview of 100 characters."""
     values = bindings.select(
         "sqlId",
         "originalParameter",
@@ -217,7 +217,7 @@ def binding_report(plans: DataFrame, bindings: DataFrame) -> DataFrame:
         "javaParameterName",
         "javaType",
         "parameterKind",
-        F.substring("mockValue", 1, 100).alias("mockValue"),
+        "mockValue",
         "confidence",
         "bindingNote",
     )
@@ -231,6 +231,7 @@ def binding_report(plans: DataFrame, bindings: DataFrame) -> DataFrame:
         "parameterMode",
         *[text(c) for c in ("originalParameter", "bindingIndex", "javaParameterName", "javaType", "parameterKind", "mockValue", "confidence")],
         F.coalesce("bindingNote", "note").alias("bindingNote"),
+        F.substring(F.coalesce("mockValue", F.lit("")), 1, 100).alias("mockValuePreview"),
     )
 
 

@@ -25,13 +25,17 @@ def comparison_verdict(a: str = "a", b: str = "b", labels=("H2", "POSTGRES"), na
     y = lambda n: F.col(f"{b}.{n}")
     status = lambda side: F.coalesce(side("status"), F.lit("NOT_EXECUTED"))
     too_large = (status(x) == "RESULT_TOO_LARGE") | (status(y) == "RESULT_TOO_LARGE")
-    a_failed, b_failed = status(x) != "SUCCESS", status(y) != "SUCCESS"
-    counts_differ = x("rowCount") != y("rowCount")
+    only_run = F.lit(False) if execution_only is None else F.coalesce(execution_only, F.lit(False))
+    # A success without its count, or without the hash that is to be compared, is a failure of that side.
+    lost = lambda side: side("rowCount").isNull() | (side("resultHash").isNull() & ~only_run)
+    a_failed, b_failed = ((status(s) != "SUCCESS") | lost(s) for s in (x, y))
+    counts_differ = ~x("rowCount").eqNullSafe(y("rowCount"))
     count_text = F.concat(
         F.lit(f"{names[0]} row count "), x("rowCount").cast("string"),
         F.lit(f" differs from {names[1]} row count "), y("rowCount").cast("string"), F.lit("."),
     )
-    error = lambda side: F.coalesce(side("errorMessage"), F.lit(""))
+    incomplete = F.lit("The result's count or hash is missing.")
+    error = lambda side: F.when((status(side) == "SUCCESS") & lost(side), incomplete).otherwise(F.coalesce(side("errorMessage"), F.lit("")))
     rules = [
         (
             status(y) == "PENDING_SQL_MIGRATION",
@@ -47,12 +51,12 @@ def comparison_verdict(a: str = "a", b: str = "b", labels=("H2", "POSTGRES"), na
         rules.append((execution_only, ("MISMATCH", "ROW_COUNT_MISMATCH", count_text)))
     rules += [
         (
-            x("columnSignature") != y("columnSignature"),
+            ~x("columnSignature").eqNullSafe(y("columnSignature")),
             ("MISMATCH", "COLUMN_STRUCTURE_MISMATCH", "Normalized column signatures differ."),
         ),
         (counts_differ, ("MISMATCH", "ROW_COUNT_MISMATCH", count_text)),
     ]
-    hashes_differ = x("resultHash") != y("resultHash")
+    hashes_differ = ~x("resultHash").eqNullSafe(y("resultHash"))
     if drifted is not None:
         rules.append((hashes_differ & drifted, ("MISMATCH", "POSSIBLE_DATA_DRIFT", "Data versions differ.")))
     rules.append((hashes_differ, ("MISMATCH", "RESULT_HASH_MISMATCH", "Normalized result hashes differ.")))
@@ -68,8 +72,16 @@ def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def join_sides(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Summaries of two sides as structs ``a`` and ``b``, one row per sample of either side."""
-    return _side(a, keys, "a").join(_side(b, keys, "b"), keys, "full_outer")
+    """Summaries of two sides as structs ``a`` and ``b``, one row per sample of either side; null keys meet null keys."""
+    left, right = _side(a, keys, "a"), _side(b, keys, "b").withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = None
+    for k in keys:
+        both = left[k].eqNullSafe(right[f"_{k}"])
+        same = both if same is None else same & both
+    joined = left.join(right, same, "full_outer")
+    # A side without the row has a null struct, one with a null key has not.
+    key = lambda k: F.when(F.col("a").isNotNull(), left[k]).otherwise(F.col(f"_{k}")).alias(k)
+    return joined.select(*[key(k) for k in keys], "a", "b")
 
 
 def compare_sides(a: DataFrame, b: DataFrame, keys: list[str], **verdict) -> DataFrame:

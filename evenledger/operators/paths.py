@@ -102,7 +102,7 @@ def _walk(docs: DataFrame, doc_id: list[str], root: Column, children, depth: int
     return state.select(*doc_id, F.explode(checked).alias("path")).where(F.col("path") != "")
 
 
-def json_leaf_paths(df: DataFrame, doc_id: str | list[str], column: str, max_depth: int | None = None, max_chars: int = 1_048_576) -> DataFrame:
+def json_leaf_paths(df: DataFrame, doc_id: str | list[str], column: str, max_depth: int | None = None, max_chars: int | None = None) -> DataFrame:
     """(doc_id, path), each pair once; rejected documents give nothing.
 
     ``.name`` for a field, ``[]`` for list items; an empty list is a leaf, an empty object nothing.

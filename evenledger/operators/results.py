@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenledger.functions.canonical import canonical_row, signature_of
 from evenledger.operators.skew import within_cap
+from evenledger.sources.sink import scratch_path
 
-MAX_ROWS = 1000
 SLICE = (1 << 21) - 1
 
 
-def _rows(df: DataFrame, by: list[str], columns: list[str] | None, extra: list[str] = (), scale: int = 6) -> DataFrame:
+def _rows(df: DataFrame, by: list[str], columns: list[str] | None, extra: list[str] = (), scale: int | None = None) -> DataFrame:
     chosen = columns or [c for c in df.columns if c not in by]
     return df.select(*by, *extra, canonical_row(df, chosen, scale).alias("_row"))
 
@@ -32,12 +32,17 @@ def result_hash(
     by: list[str] = (),
     ordered_by: list[str] | None = None,
     columns: list[str] | None = None,
-    max_rows: int = MAX_ROWS,
+    *,
+    max_rows: int,
     min_rows: int | None = None,
     as_delivered: bool = False,
+    scale: int | None = None,
 ) -> DataFrame:
     """Per group: row count and result hash. A group above ``max_rows`` has no hash, never a cut one.
 
+    The hash needs a group's rows in one place, so the caller says how many may come together;
+    ``result_fingerprint`` has no bound.
+
     Rows are sorted unless ``ordered_by`` names the result's own order; duplicates are kept.
     ``as_delivered`` (whole results only) keeps the order in which a sorted query delivers its rows.
     """
@@ -49,7 +54,7 @@ def result_hash(
         columns = columns or df.columns
         df = guard_max_rows(df, max_rows).withColumn("_seq", F.monotonically_increasing_id())
         extra = ["_seq"]
-    rows = _rows(df, by, columns, extra)
+    rows = _rows(df, by, columns, extra, scale)
     item = F.struct(*[F.col(c) for c in extra], F.col("_row")) if extra else F.col("_row")
     gathered = F.sort_array(F.collect_list(item))
     ordered = F.transform(gathered, lambda x: x.getField("_row")) if extra else gathered
@@ -64,11 +69,27 @@ def result_hash(
     return sizes.join(hashes, by, "left").select(*by, F.col("_n").alias("rowCount"), "resultHash")
 
 
-def guard_max_rows(df: DataFrame, n: int = MAX_ROWS) -> DataFrame:
+def guard_max_rows(df: DataFrame, n: int) -> DataFrame:
     """At most n+1 rows: enough to tell that a result is too large."""
     return df.limit(n + 1)
 
 
+def with_positions(df: DataFrame) -> DataFrame:
+    """``_at``: each row's place in the order in which the query delivers its rows.
+
+    The rows are written once with their partition and place there; the partitions' sizes (one row each) do the rest.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "delivered")
+    df.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    at = F.col("_first") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(first, "_part").withColumn("_at", at).drop("_id", "_part", "_first")
+
+
 def smoke_probe(df: DataFrame) -> DataFrame:
     """Run the query for at most one row: 1 when it has any, else 0."""
     return df.limit(1).agg(F.count(F.lit(1)).alias("rowCount"))
@@ -87,7 +108,7 @@ def fingerprint_columns(row: Column) -> list[Column]:
     return [F.count(F.lit(1)).alias("rowCount"), F.concat_ws("-", *[F.hex(p) for p in parts]).alias("resultPrint")]
 
 
-def result_fingerprint(df: DataFrame, by: list[str] = (), columns: list[str] | None = None, scale: int = 6) -> DataFrame:
+def result_fingerprint(df: DataFrame, by: list[str] = (), columns: list[str] | None = None, scale: int | None = None) -> DataFrame:
     """Order-free print per group for results of any size: one shuffle of partial sums, no sort."""
     by = list(by)
     return _rows(df, by, columns, scale=scale).groupBy(*by).agg(*fingerprint_columns(F.col("_row")))
@@ -96,24 +117,31 @@ def result_fingerprint(df: DataFrame, by: list[str] = (), columns: list[str] | N
 def summarize_result(
     df: DataFrame,
     by: list[str] = (),
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | None = None,
     ordered_by: list[str] | None = None,
     columns: list[str] | None = None,
     as_delivered: bool = False,
+    scale: int | None = None,
 ) -> DataFrame:
     """(status, rowCount, resultHash, columnSignature) per group.
 
-    With a cap, larger results are RESULT_TOO_LARGE, counted as cap+1. ``max_rows=None`` uses the
-    order-free print in place of the hash and has no size limit.
+    The hash is the print of ``result_fingerprint``, for results of any size. ``as_delivered`` (whole
+    results only) prints every row with its position. A caller that sets ``max_rows`` gets the SHA-256
+    of the rows; larger results are then RESULT_TOO_LARGE, counted as cap+1.
     """
     by = list(by)
     signature = F.lit(_signature(df, by, columns)).alias("columnSignature")
     if max_rows is None:
-        whole = result_fingerprint(df, by, columns)
+        if as_delivered and not by:
+            columns = columns or df.columns
+            rows = with_positions(df.select(canonical_row(df, columns, scale).alias("_row")))
+            whole = rows.agg(*fingerprint_columns(F.concat_ws(":", "_at", "_row")))
+        else:
+            whole = result_fingerprint(df, by, columns, scale)
         return whole.select(
             *by, F.lit("SUCCESS").alias("status"), "rowCount", F.col("resultPrint").alias("resultHash"), signature
         )
-    hashed = result_hash(df, by, ordered_by, columns, max_rows, as_delivered=as_delivered)
+    hashed = result_hash(df, by, ordered_by, columns, max_rows=max_rows, as_delivered=as_delivered, scale=scale)
     return hashed.select(
         *by,
         F.when(F.col("rowCount") > max_rows, "RESULT_TOO_LARGE").otherwise("SUCCESS").alias("status"),

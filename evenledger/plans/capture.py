@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenledger.functions.canonical import NORMALIZATION_VERSION
+from evenledger.functions.canonical import normalization_version
 from evenledger.functions.chain import says
 from evenledger.operators.compare import (
     assemble_baseline_rows,
@@ -21,7 +21,6 @@ from evenledger.operators.compare import (
     saved_side,
 )
 from evenledger.operators.eligibility import capture_eligibility, compare_eligibility, executable_later
-from evenledger.operators.results import MAX_ROWS
 from evenledger.operators.sampling import SAMPLE_SIZE, Mapping, sample_tuples, tuple_column
 from evenledger.operators.skew import lookup_join
 from evenledger.plans.replay import SUMMARY_SCHEMA, pending_side, replay
@@ -70,8 +69,9 @@ def capture_baseline(
     run_id: str | None = None,
     places: dict[str, str] | None = None,
     requested: int = SAMPLE_SIZE,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
     timeout_s: float | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
     """Run executable candidates with their samples on both sides and return the baseline rows.
 
@@ -85,8 +85,8 @@ def capture_baseline(
     cases = cases.withColumn("executionOnly", F.col("eligibilityStatus") == "EXECUTION_ONLY").persist()
     runs = cases.select("sqlId", "sampleIndex", "jdbcSql", "values", "postgresValidationStatus")
     passed = says(F.col("postgresValidationStatus"), "PASSED")
-    a = replay(spark, side_a, runs, max_rows, timeout_s)
-    on_b = replay(spark, side_b, runs.where(passed), max_rows, timeout_s)
+    a = replay(spark, side_a, runs, max_rows, timeout_s, scale=scale)
+    on_b = replay(spark, side_b, runs.where(passed), max_rows, timeout_s, scale=scale)
     b = on_b.unionByName(pending_side(runs.where(~passed)))
     keys = ["sqlId", "sampleIndex"]
     marks = cases.select(*keys, "executionOnly")
@@ -96,7 +96,7 @@ def capture_baseline(
     meta = {
         "baselineRunId": baseline_run_id(run_id),
         "baselineCreatedAt": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
-        "normalizationVersion": NORMALIZATION_VERSION,
+        "normalizationVersion": normalization_version(max_rows, scale),
         "h2Database": "",
         "h2Schema": "",
         "postgresDatabaseAtCapture": "",
@@ -125,14 +125,16 @@ def compare_with_baseline(
     path: str | None = None,
     database: str = "",
     schema: str = "",
-    version: str = NORMALIZATION_VERSION,
-    max_rows: int = MAX_ROWS,
+    version: str | None = None,
+    max_rows: int | None = None,
     timeout_s: float | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
     """One comparison row per saved sample, with the saved parameter values and side B run now.
 
     ``open_side_b`` is a function returning side B's session; it is called only when something runs.
     """
+    version = version or normalization_version(max_rows, scale)
     decided = compare_eligibility(match_baseline(baseline.drop("overallComparisonStatus"), candidates), version).persist()
     runs = decided.where(F.col("eligibilityStatus") == "AUTO_COMPARABLE").select(
         F.col("baselineKey").alias("sqlId"), "sampleIndex", F.col("current.jdbcSql").alias("jdbcSql"),
@@ -141,7 +143,7 @@ def compare_with_baseline(
     if runs.limit(1).isEmpty():
         now = spark.createDataFrame([], SUMMARY_SCHEMA)
     else:
-        now = replay(spark, open_side_b(), runs, max_rows, timeout_s)
+        now = replay(spark, open_side_b(), runs, max_rows, timeout_s, scale=scale)
     b = now.select(
         F.col("sqlId").alias("baselineKey"), "sampleIndex",
         F.struct("status", "rowCount", "resultHash", "columnSignature", "executionTimeMs", "errorMessage").alias("b"),
@@ -152,7 +154,8 @@ def compare_with_baseline(
         F.col("eligibilityReason").alias("errorMessage"),
     )
     joined = saved_side(decided).join(b, ["baselineKey", "sampleIndex"], "left")
-    judged = recheck_verdict(joined.withColumn("b", F.coalesce("b", not_run)))
+    only_run = F.coalesce(F.col("sampleComparisonStatus") == "EXECUTION_ONLY", F.lit(False))
+    judged = recheck_verdict(joined.withColumn("b", F.coalesce("b", not_run)), execution_only=only_run)
     overall = overall_by_key(judged)
     rows = assemble_comparison_rows(judged.join(overall, "baselineKey", "left"), database, schema)
     if path:
@@ -163,11 +166,14 @@ def compare_with_baseline(
 
 
 def overall_by_key(judged: DataFrame) -> DataFrame:
-    """One overall status per key; when nothing of a key ran, that of its rows as they stand."""
+    """One overall status per key; when nothing of a key ran, that of its rows as they stand.
+
+    Never a match when one of the key's samples did not run.
+    """
     ran = F.col("sampleComparisonStatus").isin("NOT_EXECUTED", "CURRENT_POSTGRES_NOT_READY")
     held = F.max(F.when(ran, overall_of_one(F.col("sampleComparisonStatus"))))
     by_rows = overall_status(judged.where(~ran).withColumn("aStatus", F.col("a.status")), ["baselineKey"])
     waiting = judged.groupBy("baselineKey").agg(held.alias("_held"))
-    return waiting.join(by_rows.drop("sampleCount"), "baselineKey", "left").select(
-        "baselineKey", F.coalesce("overallComparisonStatus", "_held").alias("overallComparisonStatus")
-    )
+    partly = F.col("_held").isNotNull() & F.col("overallComparisonStatus").isin("ALL_SAMPLES_MATCH", "EXECUTION_ONLY")
+    status = F.when(partly, "PARTIAL_EXECUTION_FAILURE").otherwise(F.coalesce("overallComparisonStatus", "_held"))
+    return waiting.join(by_rows.drop("sampleCount"), "baselineKey", "left").select("baselineKey", status.alias("overallComparisonStatus"))

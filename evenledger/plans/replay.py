@@ -14,7 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from evenledger.functions.canonical import UnsupportedResultType
-from evenledger.operators.results import MAX_ROWS, summarize_result
+from evenledger.operators.results import summarize_result
 
 SUMMARY_SCHEMA = (
     "sqlId string, sampleIndex int, status string, rowCount bigint, resultHash string, columnSignature string,"
@@ -58,7 +58,7 @@ def view_side(session: SparkSession, tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
-def run_one(session: SparkSession, text: str, args: list, max_rows: int, timeout_s: float | None, ordered: bool) -> dict:
+def run_one(session: SparkSession, text: str, args: list, max_rows: int | None, timeout_s: float | None, ordered: bool, scale: int | None = None) -> dict:
     """Summary of one statement; an error becomes a status, never an exception."""
     started = time.monotonic()
     tag = f"replay-{uuid.uuid4().hex}"
@@ -69,7 +69,7 @@ def run_one(session: SparkSession, text: str, args: list, max_rows: int, timeout
         if timer:
             timer.start()
         result = session.sql(text, args=args) if args else session.sql(text)
-        found = summarize_result(result, max_rows=max_rows, as_delivered=ordered).first().asDict()
+        found = summarize_result(result, max_rows=max_rows, as_delivered=ordered, scale=scale).first().asDict()
         if found["status"] == "RESULT_TOO_LARGE":
             found.update(resultHash="", errorMessage=f"Result contains more than {max_rows} rows.")
         outcome = {"errorMessage": "", "sqlState": None, **found}
@@ -94,7 +94,7 @@ def _failure(status: str, message: str, state: str | None) -> dict:
 
 
 def replay_rows(
-    session: SparkSession, cases: Iterable, max_rows: int = MAX_ROWS, timeout_s: float | None = None
+    session: SparkSession, cases: Iterable, max_rows: int | None = None, timeout_s: float | None = None, scale: int | None = None
 ) -> Iterator[dict]:
     """One summary per case. The loop is over statements; each statement runs distributed.
 
@@ -108,16 +108,17 @@ def replay_rows(
         except (ValueError, KeyError, ArithmeticError) as broken:
             yield {**identity, **_failure("NOT_EXECUTED", f"Saved parameterValues could not be decoded: {broken}", None), "executionTimeMs": None}
             continue
-        yield {**identity, **run_one(session, case["jdbcSql"], args, max_rows, timeout_s, bool(case.get("ordered")))}
+        yield {**identity, **run_one(session, case["jdbcSql"], args, max_rows, timeout_s, bool(case.get("ordered")), scale)}
 
 
 def replay(
     spark: SparkSession,
     side: SparkSession,
     cases: DataFrame,
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
     timeout_s: float | None = None,
     batch: int = 1000,
+    scale: int | None = None,
 ) -> DataFrame:
     """Summaries of every case as a DataFrame of ``spark``. Starts one job per case.
 
@@ -125,7 +126,7 @@ def replay(
     only their one-row summaries.
     """
     done, pending = None, []
-    for row in replay_rows(side, cases.toLocalIterator(prefetchPartitions=True), max_rows, timeout_s):
+    for row in replay_rows(side, cases.toLocalIterator(prefetchPartitions=True), max_rows, timeout_s, scale):
         pending.append(row)
         if len(pending) == batch:
             done, pending = _append(spark, done, pending), []

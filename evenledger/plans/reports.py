@@ -27,11 +27,13 @@ def issue_report(executions: DataFrame, statements: DataFrame, bindings: DataFra
     """Summary, detail and key figures of a validation run.
 
     Classified rows feed all three, so they are persisted; unpersist ``classified`` when done. The
-    parameter text of a statement is that of its first list part; statements with more parts keep
-    the rest in ``parameter_summary``.
+    parameter text of a statement holds all its bindings.
     """
     classified = classify_issue(join_issue_inputs(executions, statements, bindings)).persist()
-    labels = parameter_summary(bindings).where("part = 0").select("sqlId", "parameterSummary")
+    parts = F.array_sort(F.collect_list(F.struct("part", "parameterSummary")))
+    labels = parameter_summary(bindings).groupBy("sqlId").agg(
+        F.array_join(F.transform(parts, lambda p: p.getField("parameterSummary")), "; ").alias("parameterSummary")
+    )
     detail = lookup_join(detail_report(classified), labels, ["sqlId"], sized_by=executions).withColumn(
         "parameterSummary", F.coalesce("parameterSummary", F.lit("No parameters"))
     )

@@ -151,10 +151,10 @@ def scan_xml_docs(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
     )
 
 
-def scan_json_docs(df: DataFrame, column: str, max_chars: int = 1_048_576) -> DataFrame:
-    """Adds ``json`` (variant, null when rejected) and ``docStatus``: VALID, BLANK, TOO_LARGE or INVALID."""
+def scan_json_docs(df: DataFrame, column: str, max_chars: int | None = None) -> DataFrame:
+    """Adds ``json`` (variant, null when rejected) and ``docStatus``: VALID, BLANK, INVALID, or TOO_LARGE above ``max_chars``."""
     text = F.col(column)
-    size_ok = F.length(text) <= max_chars
+    size_ok = F.lit(True) if max_chars is None else F.length(text) <= max_chars
     parsed = df.withColumn("json", F.when(filled(text) & size_ok, F.try_parse_json(text)))
     return parsed.withColumn(
         "docStatus",

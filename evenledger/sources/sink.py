@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime, timezone
 
@@ -18,9 +17,9 @@ class BaselineExists(RuntimeError):
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder, or a local one when none is configured."""
+    """A fresh path under the shared checkpoint folder, or on the default file system when none is configured."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="evenledger-")
+    base = shared.rstrip("/") if shared else "/tmp/evenledger"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 

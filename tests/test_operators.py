@@ -115,18 +115,47 @@ def test_signature(spark):
 
 def test_hash_invariants(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id bigint, name string")
-    first = result_hash(df).first()
+    first = result_hash(df, max_rows=9).first()
     assert first.rowCount == 3
-    assert result_hash(df.orderBy(F.desc("id")).repartition(3)).first().resultHash == first.resultHash
-    assert result_hash(df.union(df.limit(1))).first().resultHash != first.resultHash
+    assert result_hash(df.orderBy(F.desc("id")).repartition(3), max_rows=9).first().resultHash == first.resultHash
+    assert result_hash(df.union(df.limit(1)), max_rows=9).first().resultHash != first.resultHash
     narrow = df.select(F.col("id").cast("int").alias("id"), "name")
-    assert result_hash(narrow).first().resultHash == first.resultHash
-    ordered = lambda d: result_hash(d, as_delivered=True).first().resultHash
+    assert result_hash(narrow, max_rows=9).first().resultHash == first.resultHash
+    ordered = lambda d: result_hash(d, max_rows=9, as_delivered=True).first().resultHash
     assert ordered(df.orderBy("id")) != ordered(df.orderBy(F.desc("id")))
-    empty = result_hash(df.limit(0)).first()
+    empty = result_hash(df.limit(0), max_rows=9).first()
     assert empty.rowCount == 0 and empty.resultHash
 
 
+def test_doubles_are_kept_whole_unless_rounded(spark):
+    df = lambda x: spark.createDataFrame([(x,)], "x double")
+    whole = lambda x, **o: summarize_result(df(x), **o).first().resultHash
+    assert whole(4e-7) != whole(0.0) and whole(1.0000001) != whole(1.0)
+    assert whole(4e-7, scale=6) == whole(0.0, scale=6)
+    assert whole(1e-30) != whole(0.0) and whole(1e300) != whole(2e300) and whole(-0.0) == whole(0.0)
+
+
+def test_delivered_order_of_any_size(spark):
+    rows = spark.range(5000).withColumn("v", F.col("id") % 7)
+    ordered = lambda *c: summarize_result(rows.orderBy(*c), as_delivered=True).first()
+    assert ordered("id").resultHash == ordered("id").resultHash != ordered(F.desc("id")).resultHash
+    assert ordered("id").rowCount == 5000 and summarize_result(rows).first().status == "SUCCESS"
+
+
+def test_null_keys_meet(spark):
+    a = summarize_result(spark.createDataFrame([(None, 1), ("k", 2)], "g string, v int"), ["g"])
+    assert {r.sampleComparisonStatus for r in cp.compare_sides(a, a, ["g"]).collect()} == {"MATCH"}
+
+
+def test_a_sample_that_did_not_run_is_no_match(spark):
+    from evenledger.plans.capture import overall_by_key
+
+    rows = [("k", "MATCH", (side(),)), ("k", "NOT_EXECUTED", (side(),)), ("m", "MATCH", (side(),))]
+    df = spark.createDataFrame([(k, s, a[0]) for k, s, a in rows], f"baselineKey string, sampleComparisonStatus string, a {SIDE}")
+    got = {r.baselineKey: r.overallComparisonStatus for r in overall_by_key(df).collect()}
+    assert got == {"k": "PARTIAL_EXECUTION_FAILURE", "m": "ALL_SAMPLES_MATCH"}
+
+
 def test_fingerprint_invariants(spark, tables):
     li = tables("lineitem")
     whole = result_fingerprint(li).first()
@@ -221,6 +250,10 @@ SIDE = "struct<status:string,rowCount:bigint,resultHash:string,columnSignature:s
         (side("EXECUTION_FAILED"), side("NOT_EXECUTED"), "BOTH_EXECUTION_FAILED", "UNKNOWN"),
         (side("RESULT_TOO_LARGE"), side("EXECUTION_FAILED"), "RESULT_TOO_LARGE", "RESULT_TOO_LARGE"),
         (side("EXECUTION_FAILED"), side("PENDING_SQL_MIGRATION"), "PENDING_SQL_MIGRATION", "NONE"),
+        (side(h=None), side(), "H2_EXECUTION_FAILED", "H2_EXECUTION_ERROR"),
+        (side(), side(h=None), "POSTGRES_EXECUTION_FAILED", "POSTGRES_EXECUTION_ERROR"),
+        (side(n=None), side(n=None), "BOTH_EXECUTION_FAILED", "UNKNOWN"),
+        (side(s=None), side(), "MISMATCH", "COLUMN_STRUCTURE_MISMATCH"),
     ],
 )
 def test_comparison_verdict(spark, a, b, status, category):
