@@ -35,7 +35,7 @@ def build_candidates(
     placed = occurrence_index(statements)
     if not unique_ids:
         last = placed.groupBy("sqlId").agg(F.max("occurrenceIndex").alias("_last"))
-        placed = lookup_join(placed, last, ["sqlId"], sized_by=statements).withColumn("occurrenceIndex", F.coalesce("_last", "occurrenceIndex"))
+        placed = lookup_join(placed, last, ["sqlId"]).withColumn("occurrenceIndex", F.coalesce("_last", "occurrenceIndex"))
     keyed = placed.withColumn(
         "baselineKey",
         F.coalesce(
@@ -50,7 +50,7 @@ def build_candidates(
         "sqlId", F.col("jdbcSql").alias("executionReportJdbcSql"), F.col("executionStatus").alias("postgresValidationStatus")
     )
     known = plan.join(run, "sqlId", "full_outer")
-    joined = lookup_join(flag_duplicate_keys(keyed), known, ["sqlId"], sized_by=statements)
+    joined = lookup_join(flag_duplicate_keys(keyed), known, ["sqlId"])
     text = F.coalesce("jdbcSql", F.lit(""))
     present = F.coalesce("_plan", F.lit(False))
     return joined.select(

@@ -20,7 +20,7 @@ def heavy_keys(df: DataFrame, keys: list[str], share: int = HOT_SHARE, min_rows:
     return counts.where((F.col("_n") >= min_rows) & (F.col("_n") * share > total)).select(*keys)
 
 
-def lookup_join(
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
@@ -49,6 +49,15 @@ def lookup_join(
     return salted_left.drop("_hot").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """The join that this library uses for facts by key: each side is read once.
+
+    Null keys are spread here; hot keys are split by Spark's adaptive skew join. ``salted_join`` counts and salts them
+    beforehand, at the price of reading the left side three times.
+    """
+    return spread_join(left, right, on, how)
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
     """Left or inner join for a left side whose only hot key can be null or blank: those rows are spread.
 

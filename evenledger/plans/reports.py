@@ -34,7 +34,7 @@ def issue_report(executions: DataFrame, statements: DataFrame, bindings: DataFra
     labels = parameter_summary(bindings).groupBy("sqlId").agg(
         F.array_join(F.transform(parts, lambda p: p.getField("parameterSummary")), "; ").alias("parameterSummary")
     )
-    detail = lookup_join(detail_report(classified), labels, ["sqlId"], sized_by=executions).withColumn(
+    detail = lookup_join(detail_report(classified), labels, ["sqlId"]).withColumn(
         "parameterSummary", F.coalesce("parameterSummary", F.lit("No parameters"))
     )
     return {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from evenledger.operators.ranking import number_rows, rank_rows
 from evenledger.operators.results import result_hash
-from evenledger.operators.skew import heavy_keys, lookup_join, spread_join, within_cap
+from evenledger.operators.skew import heavy_keys, salted_join, spread_join, within_cap
 
 ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_extendedprice"]
 
@@ -49,11 +49,11 @@ def test_heavy_keys_are_few(skewed):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_join(skewed, how):
+def test_salted_join(skewed, how):
     right = skewed.where("k is not null").groupBy("k").agg(F.count("*").alias("n"))
     plain = skewed.join(right, ["k"], how)
-    assert same(lookup_join(skewed, right, ["k"], how, share=50, min_rows=5), plain)
-    assert same(lookup_join(skewed, right, ["k"], how, sized_by=skewed.select("k"), share=2, min_rows=1), plain)
+    assert same(salted_join(skewed, right, ["k"], how, share=50, min_rows=5), plain)
+    assert same(salted_join(skewed, right, ["k"], how, sized_by=skewed.select("k"), share=2, min_rows=1), plain)
     assert same(spread_join(skewed, right, ["k"], how), plain)
 
 
