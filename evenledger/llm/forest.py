@@ -22,7 +22,7 @@ from evenledger.llm.vectors import matrix, usable
 TREES, LEAF, CANDIDATES = 12, 64, 3000
 #: Vectors that hyperplanes are drawn from (picked by hash of the id), whatever the table's size.
 SAMPLE = 32_768
-BLOCK_ROWS, BLOCK_QUERIES = 1024, 256
+BLOCK_ROWS, BLOCK_QUERIES, ROWS_AT_ONCE = 1024, 256, 256
 
 
 class Forest:
@@ -94,18 +94,24 @@ class Forest:
         return out
 
 
+def pieces(batches):
+    """The same rows, few at a time: each is met by every hyperplane."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def leaf_batches(batches, forest):
     forest = forest.value
-    for batch in batches:
-        v = matrix(batch.column("v"))
-        leaves = forest.leaves(v)
+    for batch in pieces(batches):
+        leaves = forest.leaves(matrix(batch.column("v")))
         for t in range(TREES):
             yield pa.RecordBatch.from_arrays([pa.array(leaves[:, t]), batch.column("point"), batch.column("v")], names=["leaf", "point", "v"])
 
 
 def route_batches(batches, forest):
     forest = forest.value
-    for batch in batches:
+    for batch in pieces(batches):
         v = matrix(batch.column("v"))
         margins = v @ forest.normals.T + forest.shifts
         found = [forest.search(row) for row in margins]
