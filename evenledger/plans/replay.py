@@ -58,8 +58,35 @@ def view_side(session: SparkSession, tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
+def _nodes(plan) -> list:
+    """All nodes of a JVM plan, root first."""
+    children = plan.children()
+    return [plan] + [n for i in range(children.size()) for n in _nodes(children.apply(i))]
+
+
+def changes_something(session: SparkSession, text: str) -> bool:
+    """Whether the parsed text holds a command (insert, create, set and the like) instead of being a query alone."""
+    plan = session._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    logical = "org.apache.spark.sql.catalyst.plans.logical."
+    load = session._jvm.org.apache.spark.util.Utils.classForName
+    kinds = [load(logical + name, True, False) for name in ("Command", "ParsedStatement")]
+    return any(kind.isInstance(node) for node in _nodes(plan) for kind in kinds)
+
+
+def delivers_order(result: DataFrame) -> bool:
+    """Whether a sort decides the order of the rows: it is the plan's root, under limits and projections."""
+    plan = result._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "GlobalLimit", "LocalLimit", "SubqueryAlias", "Offset", "WithCTE", "Tail"):
+        children = plan.children()
+        plan = children.apply(0)
+    return plan.nodeName() == "Sort"
+
+
 def run_one(session: SparkSession, text: str, args: list, max_rows: int | None, timeout_s: float | None, ordered: bool, scale: int | None = None) -> dict:
-    """Summary of one statement; an error becomes a status, never an exception."""
+    """Summary of one statement; an error becomes a status, never an exception. Only queries are run.
+
+    Rows are compared in the order of delivery where the statement sorts them, or where ``ordered`` says so.
+    """
     started = time.monotonic()
     tag = f"replay-{uuid.uuid4().hex}"
     context = session.sparkContext
@@ -68,7 +95,10 @@ def run_one(session: SparkSession, text: str, args: list, max_rows: int | None,
     try:
         if timer:
             timer.start()
+        if changes_something(session, text):
+            return {**_failure("NOT_EXECUTED", "The statement is not a query.", None), "executionTimeMs": None}
         result = session.sql(text, args=args) if args else session.sql(text)
+        ordered = ordered or delivers_order(result)
         found = summarize_result(result, max_rows=max_rows, as_delivered=ordered, scale=scale).first().asDict()
         if found["status"] == "RESULT_TOO_LARGE":
             found.update(resultHash="", errorMessage=f"Result contains more than {max_rows} rows.")

@@ -29,9 +29,9 @@ def test_one_bad_statement_does_not_stop_the_rest(spark):
     assert found[0]["sqlState"] == "42P01"
 
 
-def test_order_counts_only_when_asked(spark):
+def test_order_counts_under_a_cap_too(spark):
     run = lambda order, ordered: run_one(spark, f"SELECT id FROM range(5) ORDER BY id {order}", [], 10, None, ordered)["resultHash"]
-    assert run("asc", False) == run("desc", False)
+    assert run("asc", False) != run("desc", False)
     assert run("asc", True) != run("desc", True)
 
 
@@ -53,3 +53,24 @@ def test_entry(spark):
 
     assert driver.entry(spark).count() == 7
     assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+def test_order_counts_where_the_statement_sorts(spark):
+    from evenledger.plans.replay import replay_rows
+
+    spark.range(300).createOrReplaceTempView("numbered")
+    texts = ["SELECT id FROM numbered ORDER BY id", "SELECT id FROM numbered ORDER BY id DESC", "SELECT id FROM numbered", "SELECT -id * -1 AS id FROM numbered DISTRIBUTE BY id"]
+    up, down, plain, moved = (next(iter(replay_rows(spark, [case(t)])))["resultHash"] for t in texts)
+    assert up != down and plain not in (up, down) and plain == moved
+
+
+def test_commands_are_refused(spark, tmp_path):
+    from evenledger.plans.replay import replay_rows
+
+    spark.range(3).write.parquet(f"{tmp_path}/t")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW target USING parquet OPTIONS (path '{tmp_path}/t')")
+    writes = ["WITH x AS (SELECT 9L AS id) INSERT INTO target SELECT id FROM x", "INSERT INTO target VALUES (9L)", "DROP VIEW target", "SET spark.sql.ansi.enabled = false"]
+    for text in writes:
+        assert next(iter(replay_rows(spark, [case(text)])))["status"] == "NOT_EXECUTED"
+    assert spark.table("target").count() == 3
+    assert next(iter(replay_rows(spark, [case("WITH x AS (SELECT 1 AS a) SELECT a FROM x")])))["status"] == "SUCCESS"
