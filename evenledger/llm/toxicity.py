@@ -9,6 +9,7 @@ is that of the whole text.
 
 from __future__ import annotations
 
+import pickle
 from functools import partial
 
 import numpy as np
@@ -22,7 +23,7 @@ from evenledger.llm.hashing import SPACES, buffer_of, mix, words
 WINDOW, STRIDE = 64, 32
 HIDDEN, ATTENTION = 8, 8
 WORD_ROWS, WORD_SIZE, CHAR_ROWS, CHAR_SIZE = 1 << 15, 8, 1 << 13, 12
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 WINDOWS_AT_ONCE = 2048
 #: At most so many labelled texts of either class are learned from, none over so many bytes; taken by hash of the id.
 POSITIVE, NEGATIVE, SAMPLE_BYTES = 1500, 2500, 1 << 16
@@ -264,7 +265,7 @@ def score_batches(batches, model):
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", learn_from=None) -> dict:
-    """A model from at most POSITIVE and NEGATIVE labelled texts; ``learn_from`` is a Column over ``doc_id``."""
+    """A model from at most POSITIVE and NEGATIVE labelled texts, trained in one task; ``learn_from`` is a Column over ``doc_id``."""
     marks = labels.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("label"))
     marks = marks.where("label in (0, 1)").dropDuplicates(["doc_id"])
     if learn_from is not None:
@@ -272,12 +273,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     place = F.xxhash64("doc_id")
     picked = marks.where("label = 1").orderBy(place, "doc_id").limit(2 * POSITIVE).unionByName(marks.where("label = 0").orderBy(place, "doc_id").limit(2 * NEGATIVE))
     rows = text_rows(docs, key, text).where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(picked), "doc_id")
-    texts, given = [], []
-    for value, most in ((1, POSITIVE), (0, NEGATIVE)):
-        for r in rows.where(F.col("label") == value).orderBy(place, "doc_id").limit(most).collect():
-            texts.append(r.text)
-            given.append(value)
-    return learn(texts, given)
+    chosen = [rows.where(F.col("label") == value).orderBy(place, "doc_id").limit(most) for value, most in ((1, POSITIVE), (0, NEGATIVE))]
+    sample = chosen[0].unionByName(chosen[1]).select("doc_id", "text", "label").repartition(1)
+    found = sample.mapInArrow(learn_batches, "model binary").collect()
+    return pickle.loads(found[0].model) if found else start()
+
+
+def learn_batches(batches):
+    """A packed model from the rows of the one task that the bounded sample fills."""
+    rows = sorted((i, t, x) for b in batches for i, t, x in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("label").to_pylist()))
+    if rows:
+        _, texts, given = zip(*rows)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(list(texts), list(given)))], pa.binary())], names=["model"])
 
 
 def score_texts(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
