@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from evenledger.llm.common import small_batches, text_rows
 from evenledger.llm.hashing import buffer_of, prefix_sums, span_hashes
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 LONG_BYTES = 1 << 20
 SEGMENT_BYTES = 1 << 18
 #: Pieces longer than this many bytes are joined from leaves.
