@@ -2,8 +2,9 @@
 
 Every tree splits space by hyperplanes halfway between two random points of a bounded sample, down to small leaves; all
 vectors are sent to their leaf of every tree. A query looks through all trees with one priority queue, ordered by the
-margin of the worst hyperplane on the way, and takes leaves until they promise enough candidates. The vectors of these
-leaves are ranked again exactly, in double precision.
+margin of the worst hyperplane on the way, and takes leaves until they promise enough candidates; how many are enough
+is measured on the table itself, against brute force. The vectors of these leaves are ranked again exactly, in double
+precision.
 """
 
 from __future__ import annotations
@@ -19,7 +20,11 @@ from pyspark.sql import functions as F
 from evenledger.llm.common import saved
 from evenledger.llm.vectors import matrix, usable
 
+#: CANDIDATES is the least budget of a search; the audit widens it.
 TREES, LEAF, CANDIDATES = 12, 64, 3000
+#: The mean recall asked for, and the query points that are audited against brute force (picked by hash of the id). The
+#: mean must lie DEVIATIONS of its standard errors above the bound, since other queries than these are answered.
+RECALL, AUDIT, DEVIATIONS = 0.9, 600, 4
 #: Vectors that hyperplanes are drawn from (picked by hash of the id), whatever the table's size.
 SAMPLE = 32_768
 BLOCK_ROWS, BLOCK_QUERIES, ROWS_AT_ONCE = 1024, 256, 256
@@ -77,20 +82,44 @@ class Forest:
             out[:, t] = -1 - at
         return out
 
-    def search(self, margins: np.ndarray) -> list[int]:
-        """Leaves of one query, best first over all trees, until they hold CANDIDATES sample vectors' share."""
+    def walk(self, margins: np.ndarray):
+        """(leaf, sample vectors of the leaves before it) of one query, best first over all trees."""
         queue = [(-np.inf, root) for root in self.roots]
         heapq.heapify(queue)
-        out, held = [], 0
-        while queue and held < CANDIDATES:
+        held = 0
+        while queue:
             worst, node = heapq.heappop(queue)
             while node >= 0:
                 margin = margins[node]
                 near = int(margin > 0)
                 heapq.heappush(queue, (max(worst, abs(margin)), self.children[node][1 - near]))
                 node = self.children[node][near]
-            out.append(-1 - node)
+            yield -1 - node, held
             held += int(self.sizes[-1 - node])
+
+    def search(self, margins: np.ndarray, budget: int) -> list[int]:
+        """Leaves of one query until they hold ``budget`` sample vectors' share."""
+        out = []
+        for leaf, held in self.walk(margins):
+            if held >= budget:
+                break
+            out.append(leaf)
+        return out
+
+    def reached(self, margins: np.ndarray, leaves: np.ndarray) -> list[int]:
+        """For each vector, given by its leaf of every tree, the sample vectors that are held before the first of them is taken."""
+        wanted: dict[int, list[int]] = {}
+        for i, own in enumerate(leaves):
+            for leaf in own:
+                wanted.setdefault(int(leaf), []).append(i)
+        out = [-1] * len(leaves)
+        left = len(leaves)
+        for leaf, held in self.walk(margins):
+            for i in wanted.get(leaf, ()):
+                if out[i] < 0:
+                    out[i], left = held, left - 1
+            if not left:
+                break
         return out
 
 
@@ -109,12 +138,72 @@ def leaf_batches(batches, forest):
             yield pa.RecordBatch.from_arrays([pa.array(leaves[:, t]), batch.column("point"), batch.column("v")], names=["leaf", "point", "v"])
 
 
-def route_batches(batches, forest):
+def exact_batches(batches, asked, k: int):
+    """(query point, point, score, v): the k best of all rows of a task for each audited query, and never the query itself."""
+    points, q = asked.value
+    none = np.zeros(0)
+    best = [(none, none.astype(np.int64), np.zeros((0, q.shape[1])))] * len(points)
+    for batch in pieces(batches):
+        v, own = matrix(batch.column("v")), np.asarray(batch.column("point"))
+        scores = q @ v.T
+        for i, point in enumerate(points):
+            there = own != point
+            score, ids, rows = (np.concatenate(x) for x in zip(best[i], (scores[i][there], own[there], v[there])))
+            top = np.lexsort((ids, -score))[:k]
+            best[i] = score[top], ids[top], rows[top]
+    for point, (score, ids, rows) in zip(points, best):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(ids), point)), pa.array(ids), pa.array(score), pa.array(list(rows), pa.list_(pa.float64()))], names=["query", "point", "score", "v"]
+        )
+
+
+def reach_batches(batches, forest):
+    """(held array<long>): what a search of each audited query must hold before it takes each of its neighbours."""
+    forest = forest.value
+    for batch in batches:
+        held = []
+        for q, near in zip(batch.column("v"), batch.column("near")):
+            leaves = np.concatenate([forest.leaves(matrix(near.values.slice(at, ROWS_AT_ONCE))) for at in range(0, len(near.values), ROWS_AT_ONCE)])
+            held.append(forest.reached(forest.normals @ np.asarray(q.values) + forest.shifts, leaves))
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int64()))], names=["held"])
+
+
+def least_budget(held: list[list[int]]) -> int:
+    """The smallest budget whose mean recall on the audited queries is RECALL, with the margin; CANDIDATES at least."""
+    if not held:
+        return CANDIDATES
+    owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    flat = np.concatenate(held)
+    order = np.argsort(flat, kind="stable")
+    hits, share = np.zeros(len(held)), 1 / np.array([len(h) for h in held])
+    for at, i in enumerate(order):
+        hits[owner[i]] += share[owner[i]]
+        last = at + 1 == len(order) or flat[order[at + 1]] > flat[i]
+        if last and hits.mean() - DEVIATIONS * hits.std() / len(hits) ** 0.5 >= RECALL:
+            return max(CANDIDATES, int(flat[i]) + 1)
+    return max(CANDIDATES, int(flat.max()) + 1)
+
+
+def audited(points: DataFrame, asking: DataFrame, forest, k: int) -> int:
+    """The budget for these queries: the nearest points of some of them are found by brute force, in blocks of the whole table."""
+    spark = points.sparkSession
+    some = asking.orderBy(F.xxhash64("point", F.lit(2)), "point").limit(AUDIT).toArrow().combine_chunks()
+    if not some.num_rows:
+        return CANDIDATES
+    asked = spark.sparkContext.broadcast((np.asarray(some.column("point")), matrix(some.column("v").combine_chunks())))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "point")
+    near = points.select("point", "v").mapInArrow(partial(exact_batches, asked=asked, k=k), "query long, point long, score double, v array<double>")
+    near = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).groupBy("query").agg(F.collect_list("v").alias("near"))
+    rows = asking.join(near.withColumnRenamed("query", "point"), "point").select("v", "near")
+    return least_budget([r.held for r in rows.mapInArrow(partial(reach_batches, forest=forest), "held array<long>").collect()])
+
+
+def route_batches(batches, forest, budget: int):
     forest = forest.value
     for batch in pieces(batches):
         v = matrix(batch.column("v"))
         margins = v @ forest.normals.T + forest.shifts
-        found = [forest.search(row) for row in margins]
+        found = [forest.search(row, budget) for row in margins]
         yield pa.RecordBatch.from_arrays([batch.column("point"), batch.column("v"), pa.array(found, pa.list_(pa.int64()))], names=["point", "v", "leaves"])
 
 
@@ -143,7 +232,8 @@ def nearest(vectors: DataFrame, asked, k: int = 20, key: str = "vec_id", vector:
     length that most vectors have is searched. With fewer than k candidates all are returned.
 
     Equal vectors are one point with its k + 1 smallest ids, so a vector that a third of the rows share stays small;
-    queries are points too. A leaf's vectors and queries meet in blocks. Recall is measured in the tests.
+    queries are points too. A leaf's vectors and queries meet in blocks. The budget is widened until the audited
+    queries have the asked recall, so a search may read much of a table whose vectors have no clusters.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
@@ -155,8 +245,9 @@ def nearest(vectors: DataFrame, asked, k: int = 20, key: str = "vec_id", vector:
     queries = saved(rows.where(asked).join(points.select("v", "point"), "v").select("vec_id", "point"), "queries")
     sample = points.orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
     forest = spark.sparkContext.broadcast(Forest(matrix(sample) if len(sample) else np.zeros((0, 1))))
-    asking = points.join(queries.select("point").distinct(), "point").select("point", "v")
-    routed = asking.repartition(spark.sparkContext.defaultParallelism).mapInArrow(partial(route_batches, forest=forest), "point long, v array<double>, leaves array<long>")
+    asking = saved(points.join(queries.select("point").distinct(), "point").select("point", "v"), "asking")
+    budget = audited(points, asking, forest, k)
+    routed = asking.repartition(spark.sparkContext.defaultParallelism).mapInArrow(partial(route_batches, forest=forest, budget=budget), "point long, v array<double>, leaves array<long>")
     leafs = points.select("point", "v").mapInArrow(partial(leaf_batches, forest=forest), "leaf long, point long, v array<double>")
     counts = leafs.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     pair = F.struct("point", "v")

@@ -97,3 +97,18 @@ def test_few_rows(spark, tmp_path):
     assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == [(0, 1, 20), (20, 1, 0)]
     assert len(op1_hnsw(spark, f"{tmp_path}/few").collect()) == 3
     assert op7_forest(spark, f"{tmp_path}/none").collect() == [] and op1_hnsw(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_search_recall_beyond_the_least_budget(spark, tmp_path):
+    v = np.random.default_rng(5).normal(size=(12_000, 64)).astype(np.float32).astype(np.float64)
+    spark.createDataFrame([(k, [float(x) for x in row], 0, 0, "x") for k, row in enumerate(v)], SCHEMA).repartition(4).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {}
+    for r in op7_forest(spark, str(tmp_path)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = total = 0
+    for q in range(0, len(v), 20):
+        score = v @ v[q]
+        score[q] = -np.inf
+        hit += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+        total += 20
+    assert hit / total >= 0.9
