@@ -35,9 +35,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on more than a tenth of their source's documents go."""
+    """Lines on more than a tenth of their source's distinct texts go; copies are left to the next stage."""
     keep = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    return _measured(drop_boilerplate(docs, percent=10, min_pages=3, keep=keep), docs.columns)
+    return _measured(drop_boilerplate(docs, percent=10, min_pages=3, keep=keep, copies_once=True), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,3 +32,14 @@ def test_at_the_bound_a_line_stays(spark):
 
 def test_empty_table(spark):
     assert drop_boilerplate(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_copies_count_once(spark):
+    same = "first of the text\nlast of the text"
+    given = [(k, same, "a", None, 0) for k in range(30)] + [(k, f"Home\nown {k}", "a", None, 0) for k in range(30, 90)]
+    given += [(k, same, "b", None, 0) for k in range(90, 93)] + [(k, f"own {k}", "b", None, 0) for k in range(93, 110)]
+    docs = spark.createDataFrame(given, SCHEMA)
+    for most in (100, 0):
+        got = {r.doc_id: r.text for r in drop_boilerplate(docs, 10, 3, broadcast_lines=most, copies_once=True).collect()}
+        assert all(got[k] == same for k, text, *_ in given if text == same) and got[30] == "own 30"
+    assert drop_boilerplate(docs, 10, 3).where("text = ''").count() == 33

@@ -57,3 +57,17 @@ def test_cut_keeps_other_columns(spark):
     docs = spark.createDataFrame([(1, "q" * 60, 5, "a"), (2, None, 6, "b")], "doc_id long, text string, spans int, _key string")
     got = {r.doc_id: r for r in cut_texts(docs, 50).collect()}
     assert got[1].text == "" and got[2].text is None and (got[1].spans, got[2]["_key"]) == (5, "b")
+
+
+def stages(spark, docs, names):
+    for name, stage in corpus_pipeline.STAGES:
+        if name in names:
+            docs = corpus_pipeline.saved(stage(spark, docs, ""), name)
+    return docs
+
+
+def test_one_copy_of_a_third_of_a_source_stays(spark):
+    copied = "\n".join(f"line {k} of the copied text has words {k} {k + 1} {k + 2}" for k in range(6))
+    given = [(k, copied, "en", "s0", len(copied)) for k in range(100)] + [(k, f"own words of document {k} alone", "en", "s0", 20) for k in range(100, 300)]
+    left = {r.doc_id: r.text for r in stages(spark, spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long"), ("line_dedup", "near_dedup")).collect()}
+    assert left[0] == copied and set(left) == {0, *range(100, 300)}
