@@ -29,6 +29,11 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The table, saved with a number for each row in ``_row``; doc_id may be null or repeated."""
+    return saved(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go; the network learns from a bounded sample of all labelled documents."""
     return drop_toxic(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), threshold=0.5)
@@ -41,14 +46,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 on five-word shingles, the one with the smallest id stays."""
-    kept = near_duplicates(docs, size=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Of documents linked by a similarity of 0.8 on five-word shingles, the one with the smallest id stays.
+
+    Rows are told apart by their number: of several with the smallest id the first stays, a null id comes last.
+    """
+    rows = _keyed(docs)
+    found = near_duplicates(rows, size=5, percent=80, key="_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    kept = rows.select("_row", "doc_id").join(found, "_row").groupBy("_component").agg(F.min_by("_row", order).alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that also stand elsewhere are cut out of every document that has them."""
-    return _measured(cut_texts(docs, length=PASSAGE_BYTES), docs.columns)
+    return _measured(cut_texts(_keyed(docs), length=PASSAGE_BYTES, key="_row"), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

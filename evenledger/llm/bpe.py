@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from evenledger.llm.common import small_batches, text_rows
+from evenledger.llm.common import saved, small_batches, text_rows
 from evenledger.llm.hashing import buffer_of, prefix_sums, span_hashes
 
 BATCH_BYTES = 2 << 20
@@ -391,16 +391,19 @@ def encode(docs: DataFrame, path: str, digest, schema: str, key: str = "doc_id",
     """What ``digest(vocabulary, ids of texts, tokens, offsets)`` yields as record batches for the encoded texts.
 
     Every text is encoded whole; a null text is empty and has no tokens. The file is read by the driver and
-    broadcast. Texts of over ``long_bytes`` bytes are encoded in segments by many tasks and joined again.
+    broadcast. Texts of over ``long_bytes`` bytes are encoded in segments by many tasks and joined again, by a number of
+    their row: keys may be null or repeated.
     """
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(load(path))
     rows = text_rows(docs, key, text)
     size = F.octet_length("text")
     short = rows.where(size <= long_bytes).mapInArrow(partial(short_batches, vocab=vocab, digest=digest), schema)
-    parts = rows.where(size > long_bytes).mapInArrow(partial(segment_batches, vocab=vocab), "doc_id long, part long, joined boolean, text binary")
+    long = saved(rows.where(size > long_bytes).withColumn("row", F.monotonically_increasing_id()), "long-texts")
+    parts = long.select(F.col("row").alias("doc_id"), "text").mapInArrow(partial(segment_batches, vocab=vocab), "doc_id long, part long, joined boolean, text binary")
     parts = parts.repartition("doc_id", "part").mapInArrow(partial(part_batches, vocab=vocab), "doc_id long, part long, joined boolean, ids binary")
-    listed = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("part", "joined", "ids"))).alias("parts"))
+    listed = parts.groupBy(F.col("doc_id").alias("row")).agg(F.array_sort(F.collect_list(F.struct("part", "joined", "ids"))).alias("parts"))
+    listed = listed.join(long.select("row", "doc_id"), "row").select("doc_id", "parts")
     return short.unionByName(listed.mapInArrow(partial(joined_batches, vocab=vocab, digest=digest), schema))
 
 

@@ -86,3 +86,11 @@ def test_query(spark, library, tmp_path):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(docs, tokenizer_path(), bpe.text_digest, "doc_id long, ids array<int>").collect() == []
+
+
+def test_long_texts_with_null_or_repeated_keys(spark):
+    texts = [(None, "some words " * 40), (None, "other words " * 50), (7, "more words " * 60), (7, "few words " * 45)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    schema = "doc_id long, ids array<int>"
+    got = [sorted((r.doc_id or 0, r.ids) for r in bpe.encode(docs, tokenizer_path(), bpe.text_digest, schema, long_bytes=n).collect()) for n in (100, 10_000)]
+    assert len(got[0]) == 4 and got[0] == got[1]

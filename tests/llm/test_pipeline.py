@@ -71,3 +71,14 @@ def test_one_copy_of_a_third_of_a_source_stays(spark):
     given = [(k, copied, "en", "s0", len(copied)) for k in range(100)] + [(k, f"own words of document {k} alone", "en", "s0", 20) for k in range(100, 300)]
     left = {r.doc_id: r.text for r in stages(spark, spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long"), ("line_dedup", "near_dedup")).collect()}
     assert left[0] == copied and set(left) == {0, *range(100, 300)}
+
+
+def test_null_and_repeated_ids(spark):
+    prose = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    given = [(None, prose(1), "en", "a", 0), (None, prose(2), "en", "a", 0), (3, prose(3), "en", "a", 0), (3, prose(3), "en", "a", 0), (None, prose(4), "en", "b", 0), (4, prose(4), "en", "b", 0)]
+    given += [(5, prose(5), "en", "b", 0), (5, prose(6), "en", "b", 0)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = stages(spark, docs, ("line_dedup", "near_dedup", "passage_dedup"))
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(0, prose(1)), (0, prose(2)), (3, prose(3)), (4, prose(4)), (5, prose(5)), (5, prose(6))])
+    packed = stages(spark, left, ("packing",)).where("piece = 0")
+    assert sorted(r.doc_id or 0 for r in packed.collect()) == [0, 0, 3, 4, 5, 5]
