@@ -170,3 +170,79 @@ def op7_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evenledger.llm.forest import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query(
+    r"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    (xor(list_reduce(list_transform(string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda acc, b: list_reduce([CAST(k AS BIGINT) FOR k IN range(8)], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(acc, b)), CAST(4294967295 AS BIGINT)), 4294967295)) % 20 AS h
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM coded)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid, left(role, 1) AS c FROM damaged),
+marked AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au') AS clash FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (clash) AS illegal, count(*) AS n
+  FROM marked GROUP BY conv_id),
+everyone AS (SELECT DISTINCT conv_id FROM conversations),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'w': ''} AS v0, {'c': CAST(1000000 AS BIGINT), 'w': ''} AS v1,
+    {'c': CAST(2 AS BIGINT), 'w': 'I'} AS v2, {'c': CAST(4 AS BIGINT), 'w': 'II'} AS v3 FROM everyone
+  UNION ALL
+  SELECT conv_id, i, n0, n1,
+    list_min([n2, {'c': n0.c + 2, 'w': n0.w || 'I'}, {'c': n1.c + 2, 'w': n1.w || 'I'}, {'c': n3.c + 2, 'w': n3.w || 'I'}]),
+    list_min([n3, {'c': n2.c + 2, 'w': n2.w || 'I'}, {'c': n0.c + 4, 'w': n0.w || 'II'}, {'c': n1.c + 4, 'w': n1.w || 'II'}])
+  FROM (
+    SELECT s.conv_id, m.i,
+      {'c': v0.c + 3, 'w': v0.w || 'D'} AS n0,
+      list_min([{'c': v1.c + 3, 'w': v1.w || 'D'}, {'c': v0.c + stay + if(m.c = 's', 0, 1000000), 'w': v0.w || 'K'}]) AS n1,
+      list_min([{'c': v2.c + 3, 'w': v2.w || 'D'},
+        {'c': v0.c + stay + if(m.c = 'u', 0, 2), 'w': v0.w || if(m.c = 'u', 'K', 'R')},
+        {'c': v1.c + stay + if(m.c = 'u', 0, 2), 'w': v1.w || if(m.c = 'u', 'K', 'R')},
+        {'c': v3.c + stay + if(m.c = 'u', 0, 2), 'w': v3.w || if(m.c = 'u', 'K', 'R')}]) AS n2,
+      list_min([{'c': v3.c + 3, 'w': v3.w || 'D'}, {'c': v2.c + stay + if(m.c = 'a', 0, 2), 'w': v2.w || if(m.c = 'a', 'K', 'R')}]) AS n3
+    FROM steps s JOIN (SELECT *, CASE fault WHEN 'truncated' THEN 1 WHEN '' THEN 0 ELSE 1000000 END AS stay FROM marked) m
+      ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.i = s.i + 1)),
+ended AS (
+  SELECT s.conv_id, list_min([v0, v3]) AS best FROM steps s LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM s.conv_id WHERE s.i = coalesce(c.n, 0)),
+letters AS (
+  SELECT conv_id, best.w AS audit, unnest(range(1, length(best.w) + 1)) AS k, substr(best.w, k, 1) AS e FROM ended),
+edits AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i, count(*) FILTER (e <> 'D') OVER (PARTITION BY conv_id ORDER BY k) AS o,
+    count(*) FILTER (e <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd FROM letters),
+lines AS (
+  SELECT e.conv_id, string_agg(CASE WHEN e.e = 'K' THEN m.role WHEN (e.o - e.odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || if(e.e = 'I', '', m.text), chr(10) ORDER BY e.k) AS t
+  FROM edits e LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM e.conv_id AND m.i = e.i WHERE e.e <> 'D' GROUP BY e.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.c AS cost, best.w AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM ended a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+)
+def op13_auction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.conversations import repair
+
+    return repair(damaged(table(spark, sf_dir, "conversations")), present="here", copies="copies")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the crc32 of ``conv_id:turn``; a dropped row stays with ``here`` false."""
+    from pyspark.sql import functions as F
+
+    def spaced(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    rows = conversations.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), spaced("conv_id").alias("c"), spaced("turn").alias("t"))
+    h = F.crc32(F.concat("c", F.lit(":"), "t").cast("binary")) % 20
+    text = F.when(h == 1, "").when(h == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(h == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (h != 0).alias("here"), F.when(h == 3, 2).otherwise(1).cast("long").alias("copies"))
