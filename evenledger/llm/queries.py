@@ -246,3 +246,55 @@ def damaged(conversations: DataFrame) -> DataFrame:
     text = F.when(h == 1, "").when(h == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
     role = F.when(h == 4, "user").otherwise(F.col("role"))
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (h != 0).alias("here"), F.when(h == 3, 2).otherwise(1).cast("long").alias("copies"))
+
+
+def repeat_tail(doc_id, words):
+    """The words with a periodic tail where the crc32 of the id is divisible by 10; those of a null id stay."""
+    import zlib
+
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+@query()
+def op11_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from evenledger.llm.runs import periodic_runs
+
+    found = periodic_runs(table(spark, sf_dir, "documents"), least=12, rewrite=repeat_tail)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("best", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("best.length * 1000 div -best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def piece_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query()
+def op12_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evenledger.llm.common import held_out
+    from evenledger.llm.language import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    held = held_out("doc_id", 3, 1)
+    found = identify(docs, fit(docs, piece_path(), learn_from=~held), piece_path())
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
