@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from evenledger.catalog.registry import query, table
 from evenledger.functions.canonical import canonical_row, canonical_value, column_signature, type_family
+from evenledger.operators import merkle as mk
 from evenledger.operators import results as rs
 
 SEP = "chr(31)"
@@ -183,6 +184,77 @@ def _fingerprint(spark, sf_dir):
     )
 
 
+def node_sql(entries: str) -> str:
+    return f"sha256(coalesce(string_agg({entries}, chr(10) ORDER BY {entries}), ''))"
+
+
+def tree_sql(rows: str, by: str, signature: str, leaf: int = 6, branch: int = 3) -> str:
+    """The CTEs ``tree_leaves``, ``tree_branches`` and ``tree_root`` over rows with columns ``path`` and ``d``."""
+    entry, child = "path || ':' || d || ':' || n", "node || ':' || c || ':' || digest"
+    return f"""kinds AS (SELECT {by}, path, d, count(*) AS n FROM ({rows}) GROUP BY ALL),
+tree_leaves AS (SELECT {by}, left(path, {leaf}) AS node, cast(sum(n) AS bigint) AS c, {node_sql(entry)} AS digest FROM kinds GROUP BY {by}, left(path, {leaf})),
+tree_branches AS (SELECT {by}, left(node, {branch}) AS up, cast(sum(c) AS bigint) AS c, {node_sql(child)} AS digest FROM tree_leaves GROUP BY {by}, left(node, {branch})),
+tree_root AS (SELECT {by}, cast(sum(c) AS bigint) AS "rowCount", sha256(concat_ws(chr(10), '{signature}', cast(sum(c) AS bigint), {node_sql(child.replace('node', 'up'))})) AS "resultHash"
+  FROM tree_branches GROUP BY {by})"""
+
+
+NULL_GROUP = "CASE WHEN l_partkey % 7 > 0 THEN l_partkey % 7 END"
+
+
+def grouped_lineitem(spark, sf_dir):
+    """Lineitem with a group key that is null for a seventh of the parts."""
+    rest = F.col("l_partkey") % 7
+    return table(spark, sf_dir, "lineitem").withColumn("part_group", F.when(rest > 0, rest))
+
+
+@query(
+    "result_root",
+    f"""WITH {tree_sql(f"SELECT {NULL_GROUP} AS part_group, sha256({lineitem_row()}) AS d, d AS path FROM lineitem", "part_group", LINEITEM_SIGNATURE)}
+    SELECT * FROM tree_root""",
+)
+def _result_root(spark, sf_dir):
+    return rs.result_hash(grouped_lineitem(spark, sf_dir), ["part_group"])
+
+
+@query(
+    "result_root_ordered",
+    f"""WITH {tree_sql(f"SELECT true AS w, sha256({cells(*ORDER_CELLS)}) AS d, lpad(upper(to_hex(row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1)), 16, '0') AS path FROM orders", "w", ORDER_SIGNATURE, 13, 10)}
+    SELECT "rowCount", "resultHash" FROM tree_root""",
+)
+def _result_root_ordered(spark, sf_dir):
+    delivered = table(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").drop("o_custkey")
+    return rs.summarize_result(delivered, as_delivered=True, method="tree").select("rowCount", "resultHash")
+
+
+@query(
+    "result_hash_null_group",
+    f"""SELECT {NULL_GROUP} AS part_group, count(*) AS "rowCount", CASE WHEN count(*) <= 9000 THEN
+      {digest(LINEITEM_SIGNATURE, lineitem_row())} END AS "resultHash" FROM lineitem GROUP BY 1""",
+)
+def _result_hash_null_group(spark, sf_dir):
+    return rs.result_hash(grouped_lineitem(spark, sf_dir), ["part_group"], max_rows=9000)
+
+
+CHANGED_ROW = lineitem_row().replace(decimal("l_quantity"), decimal("l_quantity + 1"))
+
+
+@query(
+    "result_row_diff",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_orderkey % 89 = 0 THEN 'ONLY_A' ELSE 'CHANGED' END AS kind, 1 AS a_copies,
+      CASE WHEN l_orderkey % 89 = 0 THEN 0 ELSE 1 END AS b_copies, {lineitem_row()} AS a_row,
+      CASE WHEN l_orderkey % 89 <> 0 THEN {CHANGED_ROW} END AS b_row
+    FROM lineitem WHERE l_orderkey % 97 = 0 OR l_orderkey % 89 = 0""",
+)
+def _result_row_diff(spark, sf_dir):
+    changed = changed_lineitem(spark, sf_dir).where("l_orderkey % 89 <> 0")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    found = mk.tree_diff(table(spark, sf_dir, "lineitem"), changed, keys=keys)
+    return found.select(
+        *keys, "kind", F.col("aCopies").cast("int").alias("a_copies"), F.col("bCopies").cast("int").alias("b_copies"),
+        F.col("aRow").alias("a_row"), F.col("bRow").alias("b_row"),
+    )
+
+
 @query(
     "summarize_result",
     f"""SELECT o_custkey, CASE WHEN count(*) > 12 THEN 'RESULT_TOO_LARGE' ELSE 'SUCCESS' END AS status,

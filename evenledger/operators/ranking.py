@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from evenledger.functions.identity import numbered_id
+from evenledger.sources.sink import drop_path, scratch_path
 
 SPLIT_ROWS = 1_000_000
 MAX_SPLITS = 2000
-FENCE = 45
 
 
 def position_of(order: list[str]) -> Column:
@@ -30,59 +30,57 @@ def number_rows(
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order nulls last)`` with large groups split.
 
-    A group above ``step = max(split_rows, rows / max_splits)`` rows is cut at a sample of its own
-    sort positions, one in ``step`` by hash, so the cuts depend on nothing but the data. Each piece
-    is numbered on its own and shifted by the sizes of the pieces before it. At most ``max_splits``
-    groups are that large and they have about ``max_splits`` cuts together, so cuts and shifts are
-    broadcast. Rows that tie on ``order`` stay in one piece. ``keys=[]`` numbers the whole table.
-    Sort descending by passing a negated column.
+    The groups are counted first, by a job of its own. Where none has more than ``step = max(split_rows, rows /
+    max_splits)`` rows, what is left is one window. At most ``max_splits`` groups can be larger; their rows are dealt
+    out by ranges of the whole sort order and numbered by their place there. Rows that tie on ``order`` have any order
+    among themselves. ``keys=[]`` numbers the whole table. Sort descending by passing a negated column.
     """
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    placed = df.withColumn("_key", key).withColumn("_at", position_of(order))
-
-    sizes = placed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    total = F.coalesce(sizes.agg(F.sum("_n")).scalar(), F.lit(0))
-    step = F.greatest(F.lit(split_rows), F.floor(total / max_splits)).cast("long")
-    large = sizes.where(F.col("_n") > step).select("_key", step.alias("_step"))
-    cuts = (
-        placed.select("_key", "_at")
-        .join(F.broadcast(large), "_key")
-        .where(F.pmod(F.xxhash64("_at"), F.col("_step")) == 0)
-        .groupBy("_key")
-        .agg(F.array_sort(F.collect_set("_at")).alias("_cuts"))
-        .withColumn(
-            "_fences",
-            F.transform(F.sequence(F.lit(1), F.size("_cuts"), F.lit(FENCE)), lambda i: F.get("_cuts", i - 1)),
-        )
-    )
-    block = F.size(F.filter("_fences", lambda f: f <= F.col("_at")))
-    inside = F.slice("_cuts", (F.col("_block") - 1) * FENCE + 1, F.lit(FENCE))
-    piece = (
-        F.when(F.col("_cuts").isNull() | (F.col("_block") == 0), 0)
-        .otherwise((F.col("_block") - 1) * FENCE + F.size(F.filter(inside, lambda c: c <= F.col("_at"))))
-        .cast("int")
-    )
-    pieces = (
-        placed.join(F.broadcast(cuts), "_key", "left")
-        .withColumn("_block", block)
-        .withColumn("_piece", piece)
-        .drop("_cuts", "_fences", "_block")
-    )
-    before = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        pieces.select("_key", "_piece")
-        .join(F.broadcast(large.select("_key")), "_key", "left_semi")
-        .groupBy("_key", "_piece")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_key", "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    )
-    local = F.row_number().over(Window.partitionBy("_key", "_piece").orderBy("_at"))
-    return (
-        pieces.withColumn("_local", local)
-        .join(F.broadcast(shifts), ["_key", "_piece"], "left")
-        .withColumn(out, (F.col("_local") + F.coalesce("_shift", F.lit(0))).cast("long"))
-        .drop("_key", "_at", "_piece", "_local", "_shift")
-    )
+    placed = df.withColumn("__key", key).withColumn("__order", position_of(order))
+    number = F.row_number().over(Window.partitionBy("__key").orderBy("__order")).cast("long").alias(out)
+    shown = [*[F.col(f"`{c}`") for c in df.columns if c != out], out]
+    large = _large_groups(placed, split_rows, max_splits)
+    if large is None:
+        return placed.drop(out).select("*", number).select(*shown)
+    hot = F.broadcast(large)
+    rest = placed.drop(out).join(hot, placed["__key"].eqNullSafe(large["__hot"]), "left_anti").select("*", number)
+    apart = placed.drop(out).join(hot, placed["__key"].eqNullSafe(large["__hot"]), "left_semi")
+    ranged = positioned(apart.repartitionByRange("__key", "__order").sortWithinPartitions("__key", "__order"), "__at")
+    first = ranged.groupBy("__key").agg(F.min("__at").alias("__first"))
+    joined = ranged.join(F.broadcast(first.withColumnRenamed("__key", "__hot")), F.col("__key").eqNullSafe(F.col("__hot")))
+    split = joined.withColumn(out, F.col("__at") - F.col("__first") + 1)
+    return rest.select(*shown).unionByName(split.select(*shown))
+
+
+def _large_groups(placed: DataFrame, split_rows: int, max_splits: int) -> DataFrame | None:
+    """``__hot``: keys of the groups to split, at most ``max_splits``; None where there is none. One pass over the table."""
+    spark = placed.sparkSession
+    seen = Observation()
+    sizes = placed.select("__key").observe(seen, F.count(F.lit(1)).alias("rows")).groupBy("__key").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "groups")
+    sizes.where(F.col("n") > split_rows).orderBy(F.desc("n")).limit(max_splits).write.parquet(path)
+    step = max(split_rows, seen.get["rows"] // max_splits)
+    large = spark.read.parquet(path).where(F.col("n") > step).select(F.col("__key").alias("__hot"))
+    if large.isEmpty():
+        drop_path(spark, path)
+        return None
+    return large
+
+
+def positioned(df: DataFrame, out: str) -> DataFrame:
+    """``out``: each row's place, from 0, in the order in which the frame's partitions deliver their rows.
+
+    The rows are written once with their partition and place there; the partitions' sizes (one row each) do the rest.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "delivered")
+    df.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("__part", F.shiftright("__id", 33))
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    at = F.col("__before") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(first), "__part").withColumn(out, at).drop("__id", "__part", "__before")
 
 
 def occurrence_index(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenledger.functions.canonical import canonical_row, signature_of
+from evenledger.operators.merkle import result_root
+from evenledger.operators.ranking import number_rows, positioned
 from evenledger.operators.skew import within_cap
-from evenledger.sources.sink import scratch_path
 
 SLICE = (1 << 21) - 1
 
@@ -33,20 +34,22 @@ def result_hash(
     ordered_by: list[str] | None = None,
     columns: list[str] | None = None,
     *,
-    max_rows: int,
+    max_rows: int | None = None,
     min_rows: int | None = None,
     as_delivered: bool = False,
     scale: int | None = None,
 ) -> DataFrame:
     """Per group: row count and result hash. A group above ``max_rows`` has no hash, never a cut one.
 
-    The hash needs a group's rows in one place, so the caller says how many may come together;
-    ``result_fingerprint`` has no bound.
+    Without ``max_rows`` the hash is the root of a Merkle tree (``merkle.result_root``), for groups of any size. With
+    it a group's rows come together in one place, as many as the caller allows, for one SHA-256 over all of them.
 
     Rows are sorted unless ``ordered_by`` names the result's own order; duplicates are kept.
     ``as_delivered`` (whole results only) keeps the order in which a sorted query delivers its rows.
     """
     by = list(by)
+    if max_rows is None:
+        return _tree_hash(df, by, ordered_by, columns, as_delivered, scale)
     extra = [c for c in ordered_by or [] if c not in by]
     signature = _signature(df, by, columns)
     if as_delivered and not by:
@@ -65,8 +68,19 @@ def result_hash(
             "rowCount", F.when(F.col("rowCount") <= max_rows, F.col("resultHash")).alias("resultHash")
         )
     kept, sizes = within_cap(rows, by, max_rows, **({} if min_rows is None else {"min_rows": min_rows}))
-    hashes = kept.groupBy(*by).agg(digest)
-    return sizes.join(hashes, by, "left").select(*by, F.col("_n").alias("rowCount"), "resultHash")
+    hashes = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("rowCount"), digest)
+    too_large = sizes.where(F.col("_n") > max_rows).select(*by, F.col("_n").alias("rowCount"), F.lit(None).cast("string").alias("resultHash"))
+    return hashes.unionByName(too_large)
+
+
+def _tree_hash(df, by, ordered_by, columns, as_delivered, scale) -> DataFrame:
+    columns = columns or [c for c in df.columns if c not in by]
+    if as_delivered and not by:
+        return result_root(with_positions(df), by, columns, scale, at="_at")
+    if ordered_by:
+        numbered = number_rows(df.withColumn("_row", canonical_row(df, columns, scale)), by, [*ordered_by, "_row"], "_at").drop("_row")
+        return result_root(numbered, by, columns, scale, at="_at")
+    return result_root(df, by, columns, scale)
 
 
 def guard_max_rows(df: DataFrame, n: int) -> DataFrame:
@@ -75,19 +89,8 @@ def guard_max_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def with_positions(df: DataFrame) -> DataFrame:
-    """``_at``: each row's place in the order in which the query delivers its rows.
-
-    The rows are written once with their partition and place there; the partitions' sizes (one row each) do the rest.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "delivered")
-    df.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    at = F.col("_first") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.join(first, "_part").withColumn("_at", at).drop("_id", "_part", "_first")
+    """``_at``: each row's place in the order in which the query delivers its rows."""
+    return positioned(df, "_at")
 
 
 def smoke_probe(df: DataFrame) -> DataFrame:
@@ -103,7 +106,7 @@ def fingerprint_columns(row: Column) -> list[Column]:
     """
     h = F.xxhash64(row)
     slices = [F.sum(F.shiftrightunsigned(h, 21 * i).bitwiseAND(F.lit(SLICE))) for i in range(3)]
-    second = F.bit_xor(F.xxhash64(row, F.lit("again")))
+    second = F.bit_xor(F.xxhash64(F.lit("again"), row))  # the other way round it would go on from the first hash
     parts = [*[F.coalesce(s, F.lit(0)) for s in slices], F.coalesce(second, F.lit(0))]
     return [F.count(F.lit(1)).alias("rowCount"), F.concat_ws("-", *[F.hex(p) for p in parts]).alias("resultPrint")]
 
@@ -122,15 +125,20 @@ def summarize_result(
     columns: list[str] | None = None,
     as_delivered: bool = False,
     scale: int | None = None,
+    method: str = "print",
 ) -> DataFrame:
     """(status, rowCount, resultHash, columnSignature) per group.
 
     The hash is the print of ``result_fingerprint``, for results of any size. ``as_delivered`` (whole
-    results only) prints every row with its position. A caller that sets ``max_rows`` gets the SHA-256
-    of the rows; larger results are then RESULT_TOO_LARGE, counted as cap+1.
+    results only) prints every row with its position. ``method="tree"`` takes the SHA-256 root of a Merkle tree
+    instead, also for any size, which costs one shuffle of the rows' hashes. A caller that sets ``max_rows`` gets the
+    SHA-256 of the rows; larger results are then RESULT_TOO_LARGE, counted as cap+1.
     """
     by = list(by)
     signature = F.lit(_signature(df, by, columns)).alias("columnSignature")
+    if max_rows is None and method == "tree":
+        whole = result_hash(df, by, ordered_by, columns, as_delivered=as_delivered, scale=scale)
+        return whole.select(*by, F.lit("SUCCESS").alias("status"), "rowCount", "resultHash", signature)
     if max_rows is None:
         if as_delivered and not by:
             columns = columns or df.columns

@@ -85,8 +85,7 @@ def within_cap(df: DataFrame, by: list[str], cap: int, min_rows: int = HOT_ROWS)
     """(rows of the groups with at most ``cap`` rows, group sizes).
 
     Hot groups above the cap are dropped before the shuffle by a bounded broadcast, the others by a
-    join on the group key, so the aggregate that follows can reuse the join's partitioning. Groups
-    must be keyed by non-null columns.
+    join on the group key. Null keys form groups as well.
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n")).scalar()
@@ -94,5 +93,14 @@ def within_cap(df: DataFrame, by: list[str], cap: int, min_rows: int = HOT_ROWS)
         (F.col("_n") > cap) & (F.col("_n") >= min_rows) & (F.col("_n") * HOT_SHARE > total)
     ).select(*by)
     small = sizes.where(F.col("_n") <= cap).select(*by)
-    kept = df.join(F.broadcast(hot), by, "left_anti").join(small, by, "left_semi")
+    kept = _keyed_join(_keyed_join(df, F.broadcast(hot), by, "left_anti"), small, by, "left_semi")
     return kept, sizes
+
+
+def _keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A semi or anti join in which null keys meet null keys."""
+    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    met = F.lit(True)
+    for k in keys:
+        met = met & left[k].eqNullSafe(right[f"_{k}"])
+    return left.join(right, met, how)

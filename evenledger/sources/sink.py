@@ -23,6 +23,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ``scratch_path`` that nothing reads any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
+
+
 def write_report(df: DataFrame, path: str, contract: list[str], fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Exactly the contract's columns in the contract's order."""
     writer = df.select(*contract).write.mode(mode)
