@@ -111,6 +111,45 @@ def _xml_inventory(spark, sf_dir):
     return xml_path_inventory(xml_docs(spark, sf_dir), "event_id", "content")
 
 
+# Documents whose names meet, with the paths written out by hand.
+MEETING_NAMES = [
+    ("<r><a:x/><b:x/></r>", ["r.x[]"]),
+    ("<!-- <!DOCTYPE r> --><r><![CDATA[<!DOCTYPE r>]]></r>", ["r"]),
+    ("<!DOCTYPE r><r/>", []),
+    ('<r xmlns:p="u"><p:x p:k="1"/><x k="{k}"/><y/></r>', ["r.x[]", "r.x[].@k", "r.y"]),
+    ("<r><g><x/></g><g><x/><x/></g></r>", ["r.g[].x", "r.g[].x[]"]),
+]
+REPEATED_KEYS = [
+    ('{"a":1,"a":2,"b":3}', ["a", "b"]),
+    ('{"a":{"x":{k}},"a":[]}', ["a[]"]),
+    ('{"a.b":1,"a":{"b":2,"c":{}}}', ["a.b"]),
+    ("[" * 60 + "]" * 60, ["[]" * 60]),
+    ('{"a":' * 80 + "null" + "}" * 80, [".".join("a" * 80)]),
+    ("[[],{}]", ["[][]"]),
+]
+
+
+def shaped(spark, sf_dir, shapes):
+    k = F.col("event_id")
+    content = F.replace(pick([s for s, _ in shapes], k), F.lit("{k}"), k.cast("string"))
+    return table(spark, sf_dir, "events").select("event_id", content.alias("content"))
+
+
+def shaped_sql(shapes):
+    rows = ", ".join(f"({i}, {q(p)})" for i, (_, found) in enumerate(shapes) for p in found)
+    return f"SELECT event_id, path FROM events JOIN (VALUES {rows}) expected(shape, path) ON shape = event_id % {len(shapes)}"
+
+
+@query("xml_leaf_paths_meeting_names", shaped_sql(MEETING_NAMES))
+def _xml_names(spark, sf_dir):
+    return pt.xml_leaf_paths(shaped(spark, sf_dir, MEETING_NAMES), "event_id", "content")
+
+
+@query("json_leaf_paths_repeated_and_deep", shaped_sql(REPEATED_KEYS))
+def _json_repeated(spark, sf_dir):
+    return pt.json_leaf_paths(shaped(spark, sf_dir, REPEATED_KEYS), "event_id", "content")
+
+
 @query(
     "flatten_observations",
     """SELECT event_type AS city, strftime(ts - INTERVAL 2 HOUR, '%A %I:%M %p') AS datetime, 'Cloudy ' || event_id AS weather,

@@ -88,6 +88,24 @@ def _executions(spark, sf_dir):
     return read.select("sqlId", "executionStatus", "jdbcSql", "sqlState", "message")
 
 
+@query(
+    "scan_executions_of_files",
+    """WITH placed AS (SELECT *, CASE WHEN o_orderkey % 50 = 0 THEN 0 WHEN o_orderkey % 5 = 0 THEN 1 ELSE 2 END AS f FROM orders),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY f, o_orderkey) AS n FROM placed)
+    SELECT 'C' || o_custkey AS "sqlId", 'F' || f AS "executionStatus", 'of ' || o_orderkey || chr(10) || '"in, two" lines' AS message FROM ranked WHERE n = 1""",
+)
+def _executions_of_files(spark, sf_dir):
+    """Three sets of files of very different size, with quoted line breaks; the first row of an id in input order stays."""
+    key = F.col("o_orderkey")
+    f = F.when(key % 50 == 0, 0).when(key % 5 == 0, 1).otherwise(2).alias("f")
+    message = F.concat(F.lit("of "), key, F.lit('\n"in, two" lines')).alias("message")
+    rows = table(spark, sf_dir, "orders").select(f, key, F.concat(F.lit("C"), "o_custkey").alias("id"), F.concat(F.lit("F"), f).alias("status"), message)
+    path = sink.scratch_path(spark, "files")
+    ordered = rows.repartitionByRange(8, "f", "o_orderkey").sortWithinPartitions("f", "o_orderkey").drop("o_orderkey")
+    ordered.write.partitionBy("f").csv(path, header=True, escape='"')
+    return scan.scan_executions(spark, path).select("sqlId", "executionStatus", "message")
+
+
 @query(
     "scan_cases",
     f"""WITH {CASE_ROWS_SQL} SELECT "baselineKey", "baselineSqlId", "currentSqlId", "sampleIndex", trim("postgresJdbcSql") AS "postgresJdbcSql", "postgresExecutionStatus",

@@ -1,65 +1,52 @@
 """Leaf paths of JSON and XML documents held in a column.
 
-A document is walked level by level inside its own row: each level opens the containers of the level
-before and moves scalars to the row's list of distinct leaf paths. Nothing shuffles until paths are
+JSON documents are opened level by level inside their own row. XML documents are read once, event by event, in Arrow batches. Nothing shuffles until paths are
 counted over documents.
 """
 
 from __future__ import annotations
 
+import xml.parsers.expat
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from evenledger.functions.chain import filled
 from evenledger.sources.scan import scan_json_docs
 
-XML_OPTIONS = {"attributePrefix": "@", "valueTag": "_VALUE"}
-ROOT_NAME = r"^\s*(?:<\?[\s\S]*?\?>\s*|<!--[\s\S]*?-->\s*)*<(?:[\w.-]+:)?([\w.-]+)"
-
-
-def _fields(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>")
-
-
-def _items(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
+#: Deepest nesting of a JSON document that is read.
+MOST_LEVELS = 1000
+NODE = "struct<path:string,v:variant,fields:map<string,variant>,items:array<variant>>"
+STATE = f"struct<leaves:array<string>,nodes:array<{NODE}>>"
 
 
 def _node(path: Column, v: Column) -> Column:
-    return F.struct(path.alias("path"), v.alias("v"))
+    return F.struct(
+        path.alias("path"),
+        v.alias("v"),
+        F.try_variant_get(v, "$", "map<string,variant>").alias("fields"),
+        F.try_variant_get(v, "$", "array<variant>").alias("items"),
+    )
 
 
-def _nothing() -> Column:
-    return F.lit(None).cast("variant")
+def _children(o: Column) -> Column:
+    path = o["path"]
+    stem = F.when(path == "", "").otherwise(F.concat(path, F.lit(".")))
+    named = F.transform(F.map_entries(o["fields"]), lambda e: _node(F.concat(stem, e["key"]), e["value"]))
+    return F.when(o["fields"].isNotNull(), named).otherwise(F.transform(o["items"], lambda x: _node(F.concat(path, F.lit("[]")), x)))
 
 
-def _json_children(o: Column) -> Column:
-    path, v = o.getField("path"), o.getField("v")
-    stem = F.when(path == "", "").otherwise(F.concat(path, F.lit(".")))
-    listed = F.concat(path, F.lit("[]"))
-    return F.when(
-        _fields(v).isNotNull(),
-        F.transform(F.map_entries(_fields(v)), lambda e: _node(F.concat(stem, e.getField("key")), e.getField("value"))),
-    ).otherwise(
-        F.when(F.size(_items(v)) == 0, F.array(_node(listed, _nothing()))).otherwise(
-            F.transform(_items(v), lambda x: _node(listed, x))
-        )
-    )
+def _is_open(n: Column) -> Column:
+    return F.coalesce(F.size(n["fields"]) > 0, F.lit(False)) | F.coalesce(F.size(n["items"]) > 0, F.lit(False))
 
 
-def _xml_children(o: Column) -> Column:
-    path, v = o.getField("path"), o.getField("v")
-    inside = F.filter(
-        F.map_entries(_fields(v)),
-        lambda e: (e.getField("key") != "_VALUE") & ~e.getField("key").startswith("@xmlns"),
-    )
-    local = lambda e: F.regexp_replace(e.getField("key"), r"^(@?)(?:[^:]*:)?", "$1")
-    named = F.transform(inside, lambda e: _node(F.concat(path, F.lit("."), local(e)), e.getField("value")))
-    childless = F.forall(inside, lambda e: e.getField("key").startswith("@"))
-    listed = F.concat(path, F.lit("[]"))
-    return F.when(
-        _fields(v).isNotNull(), F.when(childless, F.concat(F.array(_node(path, _nothing())), named)).otherwise(named)
-    ).otherwise(F.transform(_items(v), lambda x: _node(listed, x)))
+def _leaf(n: Column) -> Column:
+    return F.when(n["items"].isNotNull(), F.concat(n["path"], F.lit("[]"))).otherwise(n["path"])
 
 
 def nesting_depth(json_text: Column) -> Column:
@@ -75,64 +62,107 @@ def nesting_depth(json_text: Column) -> Column:
     return F.aggregate(F.split(brackets, ""), start, move, lambda s: s.getField("most"))
 
 
-def _deepest(df: DataFrame, json_text: Column) -> int:
-    """One number from one pass over the documents."""
-    return df.agg(F.max(nesting_depth(json_text)).alias("d")).first()["d"] or 0
-
-
-def _walk(docs: DataFrame, doc_id: list[str], root: Column, children, depth: int) -> DataFrame:
-    opened = lambda v: _fields(v).isNotNull() | _items(v).isNotNull()
-    tag = lambda nodes: F.transform(
-        nodes, lambda n: F.struct(n.getField("path").alias("path"), n.getField("v").alias("v"), opened(n.getField("v")).alias("open"))
-    )
-    state = docs.select(*doc_id, F.array().cast("array<string>").alias("_leaves"), tag(F.array(root)).alias("_level"))
-    for level in range(depth + 1):
-        state = state.select(
-            *doc_id,
-            F.array_union(
-                "_leaves", F.transform(F.filter("_level", lambda n: ~n.getField("open")), lambda n: n.getField("path"))
-            ).alias("_leaves"),
-            F.filter("_level", lambda n: n.getField("open")).alias("_open"),
-        )
-        if level < depth:
-            state = state.select(*doc_id, "_leaves", tag(F.flatten(F.transform("_open", children))).alias("_level"))
-    checked = F.when(F.size("_open") > 0, F.raise_error(F.lit("document nested deeper than max_depth"))).otherwise(
-        F.col("_leaves")
-    )
-    return state.select(*doc_id, F.explode(checked).alias("path")).where(F.col("path") != "")
+def _walked(s: Column) -> Column:
+    """One level down: leaves among the nodes are noted, containers are replaced by what they hold."""
+    nodes = s["nodes"]
+    ended = F.filter(nodes, lambda n: ~_is_open(n) & n["fields"].isNull())
+    kids = F.flatten(F.transform(F.filter(nodes, _is_open), _children))
+    return F.when(F.size(nodes) == 0, s).otherwise(F.struct(F.array_union(s["leaves"], F.transform(ended, _leaf)).alias("leaves"), kids.alias("nodes")))
 
 
 def json_leaf_paths(df: DataFrame, doc_id: str | list[str], column: str, max_depth: int | None = None, max_chars: int | None = None) -> DataFrame:
     """(doc_id, path), each pair once; rejected documents give nothing.
 
-    ``.name`` for a field, ``[]`` for list items; an empty list is a leaf, an empty object nothing.
-    Without ``max_depth`` one extra pass finds the depth; a deeper document than stated fails the job.
+    ``.name`` for a field, ``[]`` for list items; an empty list is a leaf, an empty object nothing. Of fields with the
+    same name in one object the last counts. A document is opened level by level by a loop inside its own row, which
+    has no more rounds than the text has opening brackets. Documents nested deeper than ``MOST_LEVELS`` are rejected,
+    and fail the job where they are deeper than a ``max_depth`` that the caller states.
     """
     ids = [doc_id] if isinstance(doc_id, str) else list(doc_id)
     docs = scan_json_docs(df.select(*ids, column), column, max_chars).where(F.col("json").isNotNull())
-    depth = _deepest(docs, F.col(column)) if max_depth is None else max_depth
-    return _walk(docs, ids, _node(F.lit(""), F.col("json")), _json_children, depth)
+    brackets = F.length(column) - F.length(F.translate(column, "[{", ""))
+    rounds = F.least(brackets, F.lit(MOST_LEVELS if max_depth is None else max_depth)) + 1
+    start = F.struct(F.array().cast("array<string>").alias("leaves"), F.array(_node(F.lit(""), F.col("json"))).alias("nodes")).cast(STATE)
+    rest = F.lit(None) if max_depth is None else F.raise_error(F.lit("document nested deeper than max_depth"))
+    finish = lambda s: F.when(F.size(s["nodes"]) > 0, rest.cast("array<string>")).otherwise(s["leaves"])
+    leaves = F.aggregate(F.sequence(F.lit(1), rounds), start, lambda s, _: _walked(s), finish)
+    # The outer form keeps Spark from filtering by the list's size first, which would walk every document again.
+    return docs.select(*ids, leaves.alias("_leaves")).select(*ids, F.explode_outer("_leaves").alias("path")).where(F.col("path") != "")
+
+
+class _XmlPaths:
+    """Leaf paths of one document, from the events of its parser.
+
+    Every open element keeps, for each local name among its children, how many there are and the paths found below
+    them; whether a child's step gets ``[]`` is known when its parent ends.
+    """
+
+    def __init__(self):
+        self.open: list[tuple[list[str], dict[str, list]]] = [([], {})]
+        parser = self.parser = xml.parsers.expat.ParserCreate()
+        parser.StartElementHandler, parser.EndElementHandler = self.start, self.end
+        parser.StartDoctypeDeclHandler = self.doctype
+
+    @staticmethod
+    def local(name: str) -> str:
+        return name.rpartition(":")[2]
+
+    def doctype(self, *_):
+        raise ValueError("a document type is not accepted")
+
+    def start(self, name, attributes):
+        own = [f".@{self.local(a)}" for a in attributes if a != "xmlns" and not a.startswith("xmlns:")]
+        self.open.append((own, {}))
+
+    def end(self, name):
+        paths, children = self.open.pop()
+        found = set(paths)
+        if not children:
+            found.add("")
+        for child, (count, below) in children.items():
+            step = f".{child}[]" if count > 1 else f".{child}"
+            found.update(step + p for p in below)
+        met = self.open[-1][1].setdefault(self.local(name), [0, set()])
+        met[0] += 1
+        met[1] |= found
+
+    def of(self, text: str) -> list[str]:
+        self.parser.Parse(text, True)
+        return [root + p for root, (_, below) in self.open[0][1].items() for p in below]
+
+
+def xml_paths_of(text: str | None) -> list[str] | None:
+    """Distinct leaf paths of a document; None where it is null, blank, malformed or has a document type."""
+    try:
+        return _XmlPaths().of(text) if text and text.strip() else None
+    except (ValueError, xml.parsers.expat.ExpatError):
+        return None
+
+
+def _xml_batches(batches: Iterator[pa.RecordBatch], column: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [xml_paths_of(text) for text in batch.column(column).to_pylist()]
+        status = ["INVALID" if paths is None else "VALID" for paths in found]
+        kept = [batch.column(name) for name in schema.names[:-2]]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(status), pa.array(found, pa.list_(pa.string()))], schema=schema)
 
 
 def xml_documents(df: DataFrame, column: str) -> DataFrame:
-    """Adds ``xml`` (variant, null when malformed or with a DOCTYPE), ``xmlRoot`` and ``docStatus``."""
-    text = F.col(column)
-    rejected = F.expr(f"from_xml(`{column}`, '_corrupt_record string')").getField("_corrupt_record").isNotNull()
-    valid = filled(text) & ~text.contains("<!DOCTYPE") & ~rejected
-    pairs = ", ".join(f"'{k}', '{v}'" for k, v in XML_OPTIONS.items())
-    return (
-        df.withColumn("docStatus", F.when(~filled(text), "BLANK").when(valid, "VALID").otherwise("INVALID"))
-        .withColumn("xml", F.when(F.col("docStatus") == "VALID", F.expr(f"from_xml(`{column}`, 'variant', map({pairs}))")))
-        .withColumn("xmlRoot", F.regexp_extract(text, ROOT_NAME, 1))
-    )
+    """Adds ``docStatus`` (BLANK, VALID, or INVALID when malformed or with a document type) and ``paths``, null unless VALID."""
+    text = df.schema[column].dataType
+    schema = StructType([*df.schema.fields, StructField("docStatus", StringType()), StructField("paths", ArrayType(StringType()))])
+    made = df.mapInArrow(partial(_xml_batches, column=column, schema=to_arrow_schema(schema)), schema)
+    return made.withColumn("docStatus", F.when(~filled(F.col(column).cast(text)), "BLANK").otherwise(F.col("docStatus")))
+
 
+def xml_leaf_paths(df: DataFrame, doc_id: str | list[str], column: str) -> DataFrame:
+    """(doc_id, path), each pair once. The root is kept, repeated siblings get ``[]``, attributes ``.@name``.
 
-def xml_leaf_paths(df: DataFrame, doc_id: str | list[str], column: str, max_depth: int | None = None) -> DataFrame:
-    """(doc_id, path), each pair once. The root is kept, repeated siblings get ``[]``, attributes ``.@name``."""
+    Names count without their prefix, also when siblings are told to be repeated; name-space declarations are no
+    attributes. Documents that are malformed or have a document type give nothing.
+    """
     ids = [doc_id] if isinstance(doc_id, str) else list(doc_id)
-    docs = xml_documents(df.select(*ids, column), column).where(F.col("docStatus") == "VALID")
-    depth = _deepest(docs, F.to_json("xml")) if max_depth is None else max_depth
-    return _walk(docs, ids, _node(F.col("xmlRoot"), F.col("xml")), _xml_children, depth)
+    return xml_documents(df.select(*ids, column), column).select(*ids, F.explode("paths").alias("path"))
 
 
 def distinct_paths(paths: DataFrame) -> DataFrame:

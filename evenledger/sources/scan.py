@@ -1,4 +1,4 @@
-"""Readers. All are lazy except ``first_nonempty``, which looks for one row."""
+"""Readers. CSV readers count quotes in one pass beforehand, ``first_nonempty`` looks for one row; the others are lazy."""
 
 from __future__ import annotations
 
@@ -16,6 +16,9 @@ from evenledger.sources.contracts import (
     Field,
     schema_of,
 )
+from evenledger.sources.csv import scan_csv
+
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def alias_column(df: DataFrame, field: Field, strict: bool = True) -> Column:
@@ -38,18 +41,17 @@ def alias_column(df: DataFrame, field: Field, strict: bool = True) -> Column:
 
 
 def with_aliases(df: DataFrame, fields: tuple[Field, ...], strict: bool = True, position: bool = True) -> DataFrame:
-    """The contract's columns, plus ``_pos``, the row's place in its input."""
+    """The contract's columns, plus ``_pos``, the row's place in its input (by file and place in it for CSV files)."""
     columns = [alias_column(df, f, strict) for f in fields]
     if position:
-        columns.append(F.monotonically_increasing_id().alias("_pos"))
+        columns.append((F.col("_pos") if "_pos" in df.columns else F.monotonically_increasing_id()).alias("_pos"))
     return df.select(*columns)
 
 
 def scan_aliased_csv(
     spark: SparkSession, path: str, fields: tuple[Field, ...], strict: bool = True, position: bool = True
 ) -> DataFrame:
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"')
-    return with_aliases(raw, fields, strict, position)
+    return with_aliases(scan_csv(spark, path), fields, strict, position)
 
 
 def scan_statements(spark: SparkSession, path: str, strict: bool = True, drop_blank_ids: bool = False) -> DataFrame:
@@ -98,11 +100,7 @@ def first_nonempty(a: DataFrame | None, b: DataFrame | None) -> DataFrame:
 def scan_optional(spark: SparkSession, path: str, fields: tuple[Field, ...], fmt: str = "csv") -> DataFrame:
     """The scan, or an empty table of the same columns when the path does not exist."""
     try:
-        raw = (
-            spark.read.csv(path, header=True, multiLine=True, escape='"')
-            if fmt == "csv"
-            else spark.read.format(fmt).load(path)
-        )
+        raw = scan_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -152,10 +150,18 @@ def scan_xml_docs(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
 
 
 def scan_json_docs(df: DataFrame, column: str, max_chars: int | None = None) -> DataFrame:
-    """Adds ``json`` (variant, null when rejected) and ``docStatus``: VALID, BLANK, INVALID, or TOO_LARGE above ``max_chars``."""
+    """Adds ``json`` (variant, null when rejected) and ``docStatus``: VALID, BLANK, INVALID, or TOO_LARGE above ``max_chars``.
+
+    Of fields with the same name in one object the last counts.
+    """
     text = F.col(column)
     size_ok = F.lit(True) if max_chars is None else F.length(text) <= max_chars
-    parsed = df.withColumn("json", F.when(filled(text) & size_ok, F.try_parse_json(text)))
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(REPEATED_KEYS)
+    conf.set(REPEATED_KEYS, "true")  # read when the expression is made
+    try:
+        parsed = df.withColumn("json", F.when(filled(text) & size_ok, F.try_parse_json(text)))
+    finally:
+        conf.set(REPEATED_KEYS, before)
     return parsed.withColumn(
         "docStatus",
         F.when(~filled(text), "BLANK")

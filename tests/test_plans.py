@@ -39,7 +39,8 @@ def test_top_slowest_takes_ordered(spark):
 
 
 def test_candidates_read_their_tables_few_times(spark):
-    assert plan_of(QUERIES["build_candidates"](spark, SF_DIR)).count("FileScan") <= 26
+    assert plan_of(QUERIES["build_candidates"](spark, SF_DIR)).count("FileScan") <= 10
+    assert plan_of(QUERIES["match_baseline"](spark, SF_DIR)).count("FileScan") <= 12
 
 
 def test_library_never_collects_tables():
