@@ -59,6 +59,56 @@ def _tuple(spark, sf_dir):
     )
 
 
+# Columns that the statements of a table ask for, and the SQL text of their values.
+ASKED = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"),
+    "lineitem": ("l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_size"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey"),
+}
+PER_TABLE = 73
+
+
+def asked():
+    """Statement id -> (table, mappings): 73 statements a table with one to three parameters, some of them lower-cased."""
+    specs = {}
+    for t, columns in ASKED.items():
+        for k in range(PER_TABLE):
+            mappings = []
+            for i in range(1 + k % 3):
+                c = columns[(k // 3 + i * (1 + k % 2)) % len(columns)]
+                mappings.append(Mapping(i + 1, (i + 1,), f"v{i}", c, lower=k % 5 == 0 and c.endswith(("name", "status", "segment", "brand"))))
+            specs[f"{t}-{k}"] = (t, mappings)
+    return specs
+
+
+def asked_sql():
+    parts = []
+    for sql_id, (t, mappings) in asked().items():
+        shown = {m.index: f"lower({m.column})" if m.lower else m.column for m in mappings}
+        names = ", ".join(f"p{i}" for i in shown)
+        text = " || '|' || ".join(
+            f"strftime(p{m.index}, '%Y-%m-%dT%H:%M:%S.%f')" if m.column == "o_orderdate" else f"cast(p{m.index} as varchar)" for m in mappings
+        )
+        picked = ", ".join(f"{e} AS p{i}" for i, e in shown.items())
+        known = " AND ".join(f"{m.column} IS NOT NULL" for m in mappings)
+        parts.append(
+            f"SELECT '{sql_id}' AS \"sqlId\", row_number() OVER (ORDER BY {names}) AS \"sampleIndex\", {text} AS texts, count(*) OVER () AS \"collectedSampleCount\" "
+            f"FROM (SELECT DISTINCT {picked} FROM {t} WHERE {known} ORDER BY {names} LIMIT 3)"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("sample_parameters", asked_sql())
+def _sample_parameters(spark, sf_dir):
+    from evenledger.plans.capture import sample_parameters
+
+    found = sample_parameters(spark, {t: table(spark, sf_dir, t) for t in ASKED}, asked())
+    texts = F.array_join(F.transform("values", lambda v: v["value"]), "|")
+    return found.select("sqlId", F.col("sampleIndex").cast("long"), texts.alias("texts"), F.col("collectedSampleCount").cast("long"))
+
+
 PLAN = ["READY", "READY", "NO_PARAMETERS", "READY", "MANUAL_MAPPING_REQUIRED", "SKIPPED_UNSUPPORTED", "READY"]
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenledger.functions.canonical import normalization_version
 from evenledger.functions.chain import says
+from evenledger.functions.parameters import SAMPLE_VALUE
 from evenledger.operators.compare import (
     assemble_baseline_rows,
     assemble_comparison_rows,
@@ -21,7 +23,7 @@ from evenledger.operators.compare import (
     saved_side,
 )
 from evenledger.operators.eligibility import capture_eligibility, compare_eligibility, executable_later
-from evenledger.operators.sampling import SAMPLE_SIZE, Mapping, sample_tuples, tuple_column
+from evenledger.operators.sampling import SAMPLE_SIZE, Mapping, sample_table
 from evenledger.operators.skew import lookup_join
 from evenledger.plans.replay import SUMMARY_SCHEMA, pending_side, replay
 from evenledger.sources.scan import scan_baseline
@@ -33,22 +35,20 @@ def sample_parameters(
 ) -> DataFrame:
     """(sqlId, sampleIndex, values, collectedSampleCount) for each statement of a spec.
 
-    ``specs`` maps a statement id to (table, mappings). Without mappings: one empty tuple.
+    ``specs`` maps a statement id to (table, mappings). Each table is read once for all its statements. Without
+    mappings: one empty tuple.
     """
-    parts = []
+    by_table: dict[str, dict[str, list[Mapping]]] = {}
     for sql_id, (table, mappings) in specs.items():
         if mappings:
-            samples = tuple_column(sample_tuples(tables[table], mappings, n), mappings, table)
-        else:
-            samples = tuple_column(spark.range(1).select(F.lit(1).alias("sampleIndex")), [], table)
-        parts.append(samples.select(F.lit(sql_id).alias("sqlId"), "sampleIndex", "values"))
+            by_table.setdefault(table, {})[sql_id] = mappings
+    parts = [sample_table(tables[table], wanted, table, n) for table, wanted in by_table.items()]
+    empty = [(sql_id, 1, [], 1) for sql_id, (_, mappings) in specs.items() if not mappings]
+    if empty:
+        parts.append(spark.createDataFrame(empty, f"sqlId string, sampleIndex int, values array<{SAMPLE_VALUE}>, collectedSampleCount int"))
     if not parts:
         raise ValueError("no sampling specs")
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    counts = merged.groupBy("sqlId").agg(F.count(F.lit(1)).cast("int").alias("collectedSampleCount"))
-    return merged.join(counts, "sqlId")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def parameter_names(values) -> Column:
