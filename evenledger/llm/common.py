@@ -17,12 +17,8 @@ LOCAL_SHARED = "/tmp/checkpoints"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; set to a local one where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = LOCAL_SHARED
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``; a local one where it is unset."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED).rstrip("/")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -48,6 +44,31 @@ def drop_saved(*frames: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+#: Bits of the filter of ``likely_in``: so many for each id, and at most these, 32 MiB, which is what is broadcast.
+FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 28
+
+
+def likely_in(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is among the ids in the first column of ``ids``, and a few more: about one in 64.
+
+    The ids' hashes set bits of a bitmap, which is broadcast; ``df`` is not shuffled. With more than four million ids
+    the bitmap grows no further, so more rows pass by chance; none is ever lost but rows with a null key.
+    """
+    count = ids.count()
+    bits = min(MOST_FILTER_BITS, max(1 << 15, 1 << (FILTER_BITS * count).bit_length()))
+
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    at = place(ids.columns[0])
+    maps = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    rows = df.withColumn("_at", place(key))
+    met = rows.join(F.broadcast(maps.withColumnsRenamed({"bucket": "_bucket", "bits": "_bits"})), F.bitmap_bucket_number("_at") == F.col("_bucket"))
+    bit = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_at) div 8 as int) + 1, 1)")), 16, 10).cast("long")
+    return met.where(F.floor(byte / F.pow(F.lit(2.0), bit % 8)) % 2 == 1).select(*df.columns)
+
+
 def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone, so that no other column of the table can clash; the text of a null is empty."""
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenledger.llm.common import drop_saved, saved, small_batches, text_rows
+from evenledger.llm.common import drop_saved, likely_in, saved, small_batches, text_rows
 from evenledger.llm.graph import components
 from evenledger.llm.hashing import buffer_of, mix, words
 
@@ -134,9 +134,9 @@ def lowest_estimate(percent: int) -> float:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the similarity."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
+    """Pairs (a, b), of a saved table, whose full sets reach the similarity. Only the sets of the pairs are moved."""
+    left = likely_in(sets, "doc_id", pairs.select("a")).select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
+    right = likely_in(sets, "doc_id", pairs.select("b")).select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     held = pairs.join(left, "a").join(right, "b").withColumn("_both", both)
     return held.where(F.col("_both") * 100 >= percent * (F.size("set_a") + F.size("set_b") - F.col("_both"))).select("a", "b")
@@ -157,31 +157,41 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, key: str
     rows = text_rows(docs, key, text)
     signed = saved(rows.mapInArrow(partial(signature_batches, size=size), SIGNED), "signed")
     full = signed.where("n_shingles > 0")
-    classes = full.groupBy("n_shingles", "print_a", "print_b").agg(F.min("doc_id").alias("rep"))
+    classes = saved(full.groupBy("n_shingles", "print_a", "print_b").agg(F.min("doc_id").alias("rep")), "classes")
     reps = full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "planes", "bands")
-    met = saved(reps.select("doc_id", F.explode("bands").alias("bucket")), "met")
-    shared = saved(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    met = saved(met.join(shared, "bucket"), "met2")
+    reps = saved(reps, "reps")
+    every, signed = signed, saved(signed.select("doc_id", "n_shingles", "print_a", "print_b"), "prints")
+    drop_saved(every)
+    full = signed.where("n_shingles > 0")
+
+    bands = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = saved(bands.join(shared, "bucket"), "met")
     degree = met.groupBy("doc_id").agg(F.sum("n").alias("degree"))
-    met = saved(met.join(degree, "doc_id"), "met3")
-    drop_saved(shared)
-    marked = saved(signed.join(met.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "planes"), "planes")
-    sets = saved(rows.join(marked.select("doc_id"), "doc_id", "left_semi").mapInArrow(partial(set_batches, size=size), "doc_id long, shingles array<long>"), "sets")
+    marked = saved(reps.join(degree, "doc_id").select("doc_id", "n_shingles", "planes", "degree"), "planes")
+    sets = saved(likely_in(rows, "doc_id", marked.select("doc_id")).mapInArrow(partial(set_batches, size=size), "doc_id long, shingles array<long>"), "sets")
 
-    hubs = met.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("hub"))
+    ranked = met.join(marked.select("doc_id", "degree"), "doc_id")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("hub"))
     stars = met.join(hubs, "bucket").select("doc_id", (-F.col("hub.minus")).alias("hub")).where("doc_id <> hub")
     votes = stars.groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("votes"))
     first = votes.groupBy("doc_id").agg(F.max(F.struct("votes", (-F.col("hub")).alias("minus"))).alias("best"))
-    pairs = first.select(F.col("doc_id").alias("a"), (-F.col("best.minus")).alias("b"))
-    links = saved(confirmed(likely(pairs, marked, percent), sets, percent), "links")
+    pairs = saved(likely(first.select(F.col("doc_id").alias("a"), (-F.col("best.minus")).alias("b")), marked, percent), "pairs")
+    links = saved(confirmed(pairs, sets, percent), "links")
     labels = saved(labelled(marked, links), "labels")
+    drop_saved(pairs)
     pairs = saved(likely(hub_pairs(mixed_buckets(met, labels)), marked, percent), "pairs")
-    links = saved(links.unionByName(confirmed(pairs, sets, percent)), "links")
+    before, links = links, saved(links.unionByName(confirmed(pairs, sets, percent)), "links")
+    drop_saved(pairs, labels, before)
     labels = saved(labelled(marked, links), "labels")
     there = saved(mixed_buckets(met, labels), "mixed")
-    pairs = saved(open_pairs(there, sets, reps, percent), "pairs")
-    links = links.unionByName(confirmed(pairs, sets, percent))
+    drop_saved(met, labels, marked)
+    pairs = open_pairs(there, sets, reps, percent)
+    drop_saved(there, reps)
+    before, links = links, saved(links.unionByName(confirmed(pairs, sets, percent)), "links")
+    drop_saved(pairs, sets, before)
     linked = components(links)
+    drop_saved(links)
     by_class = full.join(classes, ["n_shingles", "print_a", "print_b"]).select("doc_id", "n_shingles", "rep")
     found = by_class.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
@@ -275,4 +285,6 @@ def open_pairs(there: DataFrame, sets: DataFrame, reps: DataFrame, percent: int)
     members = rows.groupBy("bucket", part).agg(F.collect_list(entry).alias("members")).drop("part")
     outside = rows.where("label <> main").groupBy("bucket", other).agg(F.collect_list(entry).alias("outside")).drop("part")
     met = outside.join(members, "bucket")
-    return met.mapInArrow(partial(block_pairs, percent=percent), "a long, b long").distinct()
+    found = saved(met.mapInArrow(partial(block_pairs, percent=percent), "a long, b long").distinct(), "pairs")
+    drop_saved(rows)
+    return found
