@@ -53,8 +53,11 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _digest(buf, removed):
     import hashlib
 
+    from evenledger.llm.suffix import whole_characters
+
     starts = int(removed[:1].sum()) + int((removed[1:] & ~removed[:-1]).sum())
-    return len(buf), int(removed.sum()), starts, hashlib.sha256(buf[~removed].tobytes()).hexdigest()
+    kept = hashlib.sha256(buf[~removed].tobytes()).hexdigest()
+    return len(buf), int(removed.sum()), starts, kept, whole_characters(buf, removed)
 
 
 @query()
@@ -64,8 +67,8 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evenledger.llm.suffix import cut_batches, with_spans
 
     rows = with_spans(table(spark, sf_dir, "documents"), length=400)
-    found = rows.mapInArrow(partial(cut_batches, digest=_digest), "doc_id long, c0 long, c1 long, c2 long, c3 string")
-    return found.toDF("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = rows.mapInArrow(partial(cut_batches, digest=_digest), "doc_id long, c0 long, c1 long, c2 long, c3 string, c4 string")
+    return found.toDF("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 @query(
