@@ -30,8 +30,14 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The table, saved with a number for each row in ``_row``; doc_id may be null or repeated."""
-    return saved(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    """The table with a number for each row in ``_row``; doc_id may be null or repeated.
+
+    Rows of a table of files have the same place in it each time it is read; any other table is saved first.
+    """
+    read = docs._jdf.queryExecution().analyzed()
+    if not (read.children().isEmpty() and docs.inputFiles()):
+        docs = saved(docs, "keyed")
+    return docs.withColumn("_row", F.monotonically_increasing_id())
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
