@@ -351,6 +351,38 @@ def _recheck(spark, sf_dir):
     return rows.select("baselineSqlId", "sampleIndex", "sampleComparisonStatus", "overallComparisonStatus")
 
 
+DRIFT_ROWS = [
+    ("Q1", 1, "RESULT_HASH_MISMATCH", "POSSIBLE_DATA_DRIFT"),
+    ("Q3", 1, "NONE", "NONE"),
+    ("Q4", 1, "NONE", "NONE"),
+    ("Q5", 1, "BASELINE_MAPPING_ERROR", "BASELINE_MAPPING_ERROR"),
+    ("Q6", 1, "BASELINE_MAPPING_ERROR", "BASELINE_MAPPING_ERROR"),
+    ("Q7", 1, "NONE", "NONE"),
+]
+
+
+@query(
+    "compare_with_baseline_drift",
+    f"""SELECT * FROM (VALUES {", ".join(f"('{i}', {n}, '{same}', '{changed}')" for i, n, same, changed in DRIFT_ROWS)}) v("baselineSqlId", "sampleIndex", same_data, changed_data)
+    UNION ALL SELECT 'Q2', row_number() OVER (ORDER BY n), 'NONE', 'NONE' FROM (SELECT DISTINCT l_linenumber AS n FROM lineitem ORDER BY 1 LIMIT 2)""",
+)
+def _drift(spark, sf_dir):
+    """A statement whose answer differs on the data of the capture, and again after its table has changed."""
+    a, b = sides(spark, sf_dir)
+    later = spark.newSession()
+    moved = table(later, sf_dir, "lineitem").withColumn("l_quantity", F.col("l_quantity") + 3)
+    view_side(later, {"orders": table(later, sf_dir, "orders"), "lineitem": moved})
+    samples = replay_cases(spark, sf_dir).drop("jdbcSql", "status")
+    path, kept = sink.scratch_path(spark, "captured"), sink.scratch_path(spark, "sources")
+    baseline = capture_baseline(spark, corpus_candidates(spark), samples, a, b, path, run_id="run-1", requested=2, sources=kept)
+    keys = ["baselineSqlId", "sampleIndex"]
+    found = [
+        compare_with_baseline(spark, baseline, corpus_candidates(spark), lambda s=s: s, sources=kept).select(*keys, F.col("differenceCategory").alias(name))
+        for s, name in ((b, "same_data"), (later, "changed_data"))
+    ]
+    return found[0].join(found[1], keys)
+
+
 @query("baseline_run_id", "SELECT count(*) AS statements, true AS well_formed FROM orders")
 def _run_id(spark, sf_dir):
     ids = [sink.baseline_run_id(None), sink.baseline_run_id(" run-9 ")]

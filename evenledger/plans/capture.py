@@ -25,6 +25,7 @@ from evenledger.operators.compare import (
 from evenledger.operators.eligibility import capture_eligibility, compare_eligibility, executable_later
 from evenledger.operators.sampling import SAMPLE_SIZE, Mapping, sample_table
 from evenledger.operators.skew import lookup_join
+from evenledger.plans.drift import drifted, save_sources
 from evenledger.plans.replay import SUMMARY_SCHEMA, pending_side, replay
 from evenledger.sources.scan import scan_baseline
 from evenledger.sources.sink import baseline_run_id, protect_baseline, write_baseline, write_comparison
@@ -72,10 +73,15 @@ def capture_baseline(
     max_rows: int | None = None,
     timeout_s: float | None = None,
     scale: int | None = None,
+    workers: int = 4,
+    journal: str | None = None,
+    sources: str | None = None,
 ) -> DataFrame:
     """Run executable candidates with their samples on both sides and return the baseline rows.
 
-    The target is checked before anything runs. Side B runs only for statements that passed there.
+    The target is checked before anything runs. Side B runs only for statements that passed there. With a ``journal``
+    (a folder) a run that was stopped goes on where it ended. ``sources`` names a folder that gets the prints of the
+    tables that the statements read on side B, by which a later comparison can tell drifted data.
     """
     if path:
         protect_baseline(spark, path)
@@ -85,8 +91,11 @@ def capture_baseline(
     cases = cases.withColumn("executionOnly", F.col("eligibilityStatus") == "EXECUTION_ONLY").persist()
     runs = cases.select("sqlId", "sampleIndex", "jdbcSql", "values", "postgresValidationStatus")
     passed = says(F.col("postgresValidationStatus"), "PASSED")
-    a = replay(spark, side_a, runs, max_rows, timeout_s, scale=scale)
-    on_b = replay(spark, side_b, runs.where(passed), max_rows, timeout_s, scale=scale)
+    kept = lambda side: f"{journal.rstrip('/')}/{side}" if journal else None
+    a = replay(spark, side_a, runs, max_rows, timeout_s, scale=scale, workers=workers, journal=kept("a"))
+    on_b = replay(spark, side_b, runs.where(passed), max_rows, timeout_s, scale=scale, workers=workers, journal=kept("b"))
+    if sources:
+        save_sources(spark, side_b, cases.select("sqlId", "sampleIndex", "jdbcSql", "values", "baselineKey"), sources, key="baselineKey")
     b = on_b.unionByName(pending_side(runs.where(~passed)))
     keys = ["sqlId", "sampleIndex"]
     marks = cases.select(*keys, "executionOnly")
@@ -111,8 +120,10 @@ def capture_baseline(
     )
     baseline = assemble_baseline_rows(described, meta)
     if path:
-        write_baseline(baseline, path)
-        cases.unpersist()
+        try:
+            write_baseline(baseline, path)
+        finally:
+            cases.unpersist()
         return scan_baseline(spark, path)
     return baseline
 
@@ -129,10 +140,15 @@ def compare_with_baseline(
     max_rows: int | None = None,
     timeout_s: float | None = None,
     scale: int | None = None,
+    workers: int = 4,
+    journal: str | None = None,
+    sources: str | None = None,
 ) -> DataFrame:
     """One comparison row per saved sample, with the saved parameter values and side B run now.
 
-    ``open_side_b`` is a function returning side B's session; it is called only when something runs.
+    ``open_side_b`` is a function returning side B's session; it is called only when something runs. ``journal`` is as
+    for ``capture_baseline``. With the ``sources`` that the capture wrote, another hash of a statement whose tables have
+    changed since is POSSIBLE_DATA_DRIFT.
     """
     version = version or normalization_version(max_rows, scale)
     decided = compare_eligibility(match_baseline(baseline.drop("overallComparisonStatus"), candidates), version).persist()
@@ -140,10 +156,13 @@ def compare_with_baseline(
         F.col("baselineKey").alias("sqlId"), "sampleIndex", F.col("current.jdbcSql").alias("jdbcSql"),
         F.col("parameterValues").alias("values"),
     )
+    drift = None
     if runs.limit(1).isEmpty():
         now = spark.createDataFrame([], SUMMARY_SCHEMA)
     else:
-        now = replay(spark, open_side_b(), runs, max_rows, timeout_s, scale=scale)
+        side_b = open_side_b()
+        now = replay(spark, side_b, runs, max_rows, timeout_s, scale=scale, workers=workers, journal=journal)
+        drift = drifted(spark, side_b, runs, sources) if sources else None
     b = now.select(
         F.col("sqlId").alias("baselineKey"), "sampleIndex",
         F.struct("status", "rowCount", "resultHash", "columnSignature", "executionTimeMs", "errorMessage").alias("b"),
@@ -155,7 +174,12 @@ def compare_with_baseline(
     )
     joined = saved_side(decided).join(b, ["baselineKey", "sampleIndex"], "left")
     only_run = F.coalesce(F.col("sampleComparisonStatus") == "EXECUTION_ONLY", F.lit(False))
-    judged = recheck_verdict(joined.withColumn("b", F.coalesce("b", not_run)), execution_only=only_run)
+    ready = joined.withColumn("b", F.coalesce("b", not_run))
+    if drift is None:
+        judged = recheck_verdict(ready, execution_only=only_run)
+    else:
+        marked = ready.join(drift.withColumnRenamed("sqlId", "baselineKey"), "baselineKey", "left")
+        judged = recheck_verdict(marked, execution_only=only_run, drifted=F.coalesce("dataDrifted", F.lit(False))).drop("dataDrifted")
     overall = overall_by_key(judged)
     rows = assemble_comparison_rows(judged.join(overall, "baselineKey", "left"), database, schema)
     if path:

@@ -7,19 +7,24 @@ import threading
 import time
 import uuid
 from collections.abc import Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, as_completed, wait
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evenledger.functions.canonical import UnsupportedResultType
+from evenledger.functions.canonical import UnsupportedResultType, normalization_version
 from evenledger.operators.results import summarize_result
+from evenledger.sources.sink import scratch_path
 
 SUMMARY_SCHEMA = (
     "sqlId string, sampleIndex int, status string, rowCount bigint, resultHash string, columnSignature string,"
     " executionTimeMs bigint, errorMessage string, sqlState string"
 )
+JOURNAL_SCHEMA = SUMMARY_SCHEMA + ", caseHash string"
+CASE_KEY = ("sqlId", "sampleIndex", "caseHash")
 
 # How the text of each parameter kind becomes a literal.
 READERS = {
@@ -58,10 +63,10 @@ def view_side(session: SparkSession, tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
-def _nodes(plan) -> list:
+def nodes_of(plan) -> list:
     """All nodes of a JVM plan, root first."""
     children = plan.children()
-    return [plan] + [n for i in range(children.size()) for n in _nodes(children.apply(i))]
+    return [plan] + [n for i in range(children.size()) for n in nodes_of(children.apply(i))]
 
 
 def changes_something(session: SparkSession, text: str) -> bool:
@@ -70,7 +75,7 @@ def changes_something(session: SparkSession, text: str) -> bool:
     logical = "org.apache.spark.sql.catalyst.plans.logical."
     load = session._jvm.org.apache.spark.util.Utils.classForName
     kinds = [load(logical + name, True, False) for name in ("Command", "ParsedStatement")]
-    return any(kind.isInstance(node) for node in _nodes(plan) for kind in kinds)
+    return any(kind.isInstance(node) for node in nodes_of(plan) for kind in kinds)
 
 
 def delivers_order(result: DataFrame) -> bool:
@@ -123,22 +128,66 @@ def _failure(status: str, message: str, state: str | None) -> dict:
     }
 
 
+def run_case(
+    session: SparkSession, case, max_rows: int | None = None, timeout_s: float | None = None, scale: int | None = None
+) -> dict:
+    """The summary of one case: sqlId, sampleIndex, jdbcSql, values (tuple column) and, optionally, ordered."""
+    case = case.asDict(recursive=True) if hasattr(case, "asDict") else case
+    identity = {k: case[k] for k in CASE_KEY if k in case}
+    try:
+        args = arguments(case.get("values"))
+    except (ValueError, KeyError, ArithmeticError) as broken:
+        return {**identity, **_failure("NOT_EXECUTED", f"Saved parameterValues could not be decoded: {broken}", None), "executionTimeMs": None}
+    return {**identity, **run_one(session, case["jdbcSql"], args, max_rows, timeout_s, bool(case.get("ordered")), scale)}
+
+
 def replay_rows(
-    session: SparkSession, cases: Iterable, max_rows: int | None = None, timeout_s: float | None = None, scale: int | None = None
-) -> Iterator[dict]:
-    """One summary per case. The loop is over statements; each statement runs distributed.
+    session: SparkSession, cases: Iterable, max_rows: int | None = None, timeout_s: float | None = None, scale: int | None = None,
+    workers: int = 1,
+) -> Iterator[dict]:
+    """One summary per case; each statement runs distributed.
 
-    A case has sqlId, sampleIndex, jdbcSql, values (tuple column) and, optionally, ordered.
+    Up to ``workers`` statements run at once, as many more wait; summaries come in order with one worker and as they
+    are ready with several.
     """
-    for case in cases:
-        case = case.asDict(recursive=True) if hasattr(case, "asDict") else case
-        identity = {"sqlId": case["sqlId"], "sampleIndex": case["sampleIndex"]}
-        try:
-            args = arguments(case.get("values"))
-        except (ValueError, KeyError, ArithmeticError) as broken:
-            yield {**identity, **_failure("NOT_EXECUTED", f"Saved parameterValues could not be decoded: {broken}", None), "executionTimeMs": None}
-            continue
-        yield {**identity, **run_one(session, case["jdbcSql"], args, max_rows, timeout_s, bool(case.get("ordered")), scale)}
+    if workers == 1:
+        for case in cases:
+            yield run_case(session, case, max_rows, timeout_s, scale)
+        return
+    with ThreadPoolExecutor(workers) as pool:
+        running: set[Future] = set()
+        for case in cases:
+            if len(running) >= 2 * workers:
+                ready, running = wait(running, return_when=FIRST_COMPLETED)
+                yield from (f.result() for f in ready)
+            running.add(pool.submit(run_case, session, case, max_rows, timeout_s, scale))
+        yield from (f.result() for f in as_completed(running))
+
+
+def with_case_hash(cases: DataFrame, max_rows: int | None, scale: int | None) -> DataFrame:
+    """``caseHash``: what is run and how, so that a changed statement, value or cap is another case."""
+    parts = ["jdbcSql", *(F.to_json(c) if c == "values" else F.col(c).cast("string") for c in ("values", "ordered") if c in cases.columns)]
+    how = F.lit(normalization_version(max_rows, scale) + f"-{max_rows}")
+    return cases.withColumn("caseHash", F.sha2(F.to_json(F.array(how, *parts)), 256))
+
+
+def read_journal(spark: SparkSession, path: str) -> DataFrame:
+    """Summaries written so far, one for each case; empty where there is no journal."""
+    try:
+        kept = spark.read.schema(JOURNAL_SCHEMA).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], JOURNAL_SCHEMA)
+    return kept.dropDuplicates(list(CASE_KEY))
+
+
+def _without(cases: DataFrame, done: DataFrame, how: str) -> DataFrame:
+    keys = done.select(*[F.col(c).alias(f"_{c}") for c in CASE_KEY])
+    met = F.lit(True)
+    for c in CASE_KEY:
+        met = met & cases[c].eqNullSafe(keys[f"_{c}"])
+    return cases.join(keys, met, how)
 
 
 def replay(
@@ -147,25 +196,37 @@ def replay(
     cases: DataFrame,
     max_rows: int | None = None,
     timeout_s: float | None = None,
-    batch: int = 1000,
+    batch: int = 200,
     scale: int | None = None,
+    workers: int = 4,
+    journal: str | None = None,
 ) -> DataFrame:
-    """Summaries of every case as a DataFrame of ``spark``. Starts one job per case.
+    """Summaries of every case as a DataFrame of ``spark``. Starts one job per case, ``workers`` at once.
 
-    Cases are streamed to the driver, which has to plan each statement anyway; results never are,
-    only their one-row summaries.
+    Cases are streamed to the driver, which has to plan each statement anyway; results never are, only their one-row
+    summaries, and of those at most ``batch`` are held before they are added to the journal, a folder of Parquet files.
+    A run that was stopped goes on where its ``journal`` ends: cases that are in it, unchanged, are not run again.
+    Without a name the journal is a new scratch folder.
     """
-    done, pending = None, []
-    for row in replay_rows(side, cases.toLocalIterator(prefetchPartitions=True), max_rows, timeout_s, scale):
-        pending.append(row)
-        if len(pending) == batch:
-            done, pending = _append(spark, done, pending), []
-    return _append(spark, done, pending)
+    path = journal or scratch_path(spark, "journal")
+    keyed = with_case_hash(cases, max_rows, scale)
+    todo = _without(keyed, read_journal(spark, path), "left_anti") if journal else keyed
+    pending: list[dict] = []
 
+    def write():
+        if pending:
+            spark.createDataFrame(pending, JOURNAL_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+            pending.clear()
 
-def _append(spark: SparkSession, done: DataFrame | None, rows: list[dict]) -> DataFrame:
-    made = spark.createDataFrame(rows, SUMMARY_SCHEMA)
-    return made if done is None else done.unionByName(made)
+    try:
+        for row in replay_rows(side, todo.toLocalIterator(prefetchPartitions=True), max_rows, timeout_s, scale, workers):
+            pending.append(row)
+            if len(pending) == batch:
+                write()
+    finally:
+        write()
+    found = read_journal(spark, path)
+    return (_without(found, keyed, "left_semi") if journal else found).drop("caseHash")
 
 
 def pending_side(cases: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +57,46 @@ def protect_baseline(spark: SparkSession, path: str, fmt: str = "parquet", fail_
         raise BaselineExists(f"baseline rows exist at {path}")
 
 
+def _claim(spark: SparkSession, path: str):
+    """Creates the marker of a writer next to ``path``, which only one of several can do; returns its release."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "._writing")
+    fs = marker.getFileSystem(conf)
+    fs.mkdirs(marker.getParent())
+    try:
+        if fs.getScheme() == "file":  # whose create() looks first and creates then
+            local = jvm.java.io.File(fs.makeQualified(marker).toUri())
+            if not local.createNewFile():
+                raise BaselineExists(f"another run writes to {path}; if none does, remove {marker.toString()}")
+        else:
+            fs.create(marker, False).close()
+    except Py4JJavaError as taken:
+        if "FileAlreadyExists" not in taken.java_exception.getClass().getName():
+            raise
+        raise BaselineExists(f"another run writes to {path}; if none does, remove {marker.toString()}") from taken
+    return lambda: fs.delete(marker, False)
+
+
 def write_baseline(df: DataFrame, path: str, fmt: str = "parquet", fail_if_exists: bool = True) -> None:
-    """Immutable artefact of one run. Give every run its own path."""
-    protect_baseline(df.sparkSession, path, fmt, fail_if_exists)
-    write_report(df, path, BASELINE, fmt, mode="overwrite")
+    """Immutable artefact of one run. Give every run its own path.
+
+    Of several writers to a path one holds its marker, the others fail. The rows are written beside the path and then
+    moved there, so that readers see all of them or none.
+    """
+    spark = df.sparkSession
+    protect_baseline(spark, path, fmt, fail_if_exists)
+    release = _claim(spark, path)
+    try:
+        protect_baseline(spark, path, fmt, fail_if_exists)  # another run may have ended since
+        beside = f"{path.rstrip('/')}._rows-{uuid.uuid4().hex}"
+        write_report(df, beside, BASELINE, fmt)
+        drop_path(spark, path)
+        of, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+        fs = to.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if not fs.rename(of, to):
+            raise OSError(f"{beside} cannot be moved to {path}")
+    finally:
+        release()
 
 
 def write_comparison(df: DataFrame, path: str, contract: list[str] | None = None, fmt: str = "parquet") -> None:
