@@ -240,13 +240,14 @@ def _xml(spark, sf_dir):
 def _manifest(spark, sf_dir):
     root = sink.scratch_path(spark, "release")
     o = table(spark, sf_dir, "orders")
-    o.repartition("o_orderstatus").write.partitionBy("o_orderstatus").csv(root)
-    digests = scan.scan_file_digests(spark, root).where(F.col("path").endswith(".csv"))
+    o.repartition(6).write.partitionBy("o_orderstatus").csv(root)
+    # Files of some kilobytes and more take the way of large files.
+    digests = scan.scan_file_digests(spark, root, streamed_bytes=20_000).where(F.col("path").endswith(".csv"))
     wrong = F.when(F.contains("path", F.lit("=F/")), F.reverse("sha256")).otherwise(F.upper("sha256"))
     lines = digests.select(F.concat_ws(" *", wrong, "path").alias("value"))
     others = spark.range(1).select(F.explode(F.array(F.lit("# note"), F.lit(" "), F.lit("00ff  *gone"), F.lit("bad line"))).alias("value"))
     checked = verify_manifest(digests, manifest_lines(lines.unionByName(others)))
-    return checked.select(F.coalesce(F.nullif(F.regexp_extract("path", "=([^/]+)/", 1), F.lit("")), "path").alias("folder"), "status")
+    return checked.select(F.coalesce(F.nullif(F.regexp_extract("path", "=([^/]+)/", 1), F.lit("")), "path").alias("folder"), "status").distinct()
 
 
 # Statements of the replayed corpus: (id, text, values of its sample or None, status of the validation run).

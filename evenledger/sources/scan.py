@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,14 +176,49 @@ def scan_json_docs(df: DataFrame, column: str, max_chars: int | None = None) ->
     )
 
 
-def scan_file_digests(spark: SparkSession, root: str) -> DataFrame:
-    """(path relative to root, size, sha256) of every file below ``root``."""
+#: Files from this size on are read in pieces instead of as one value.
+STREAMED_BYTES = 256 << 20
+PIECE_BYTES = 8 << 20
+
+
+def _streamed_digest(uri: str) -> str:
+    """SHA-256 of one file of a file system that executors reach, read piece by piece; ``uri`` is not escaped."""
+    scheme, _, rest = ("file", ":", uri) if uri.startswith("/") else uri.partition(":")
+    if scheme == "file":
+        system, path = pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        system, path = pafs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    made = hashlib.sha256()
+    with system.open_input_stream(path) as stream:
+        while piece := stream.read(PIECE_BYTES):
+            made.update(piece)
+    return made.hexdigest()
+
+
+def _digest_batches(batches):
+    for batch in batches:
+        for uri, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+            yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([length], pa.int64()), pa.array([_streamed_digest(uri)])], names=["path", "length", "sha256"])
+
+
+def scan_file_digests(spark: SparkSession, root: str, streamed_bytes: int = STREAMED_BYTES) -> DataFrame:
+    """(path relative to root, size, sha256) of every file below ``root``.
+
+    Small files are read by Spark, one a row. Files of ``streamed_bytes`` and more, which may be larger than a row can
+    be, are read in pieces by the task that gets their name; executors must reach their file system themselves (a
+    mounted or Hadoop path, or an object store that Arrow knows). Spark does not list files without a byte.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    large = F.col("length") >= streamed_bytes
+    whole = files.where(~large).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    # One partition for each name: a task reads one large file after another only where there are fewer slots than files.
+    names = files.where(large).select("path", "length").repartition("path")
+    pieces = names.mapInArrow(_digest_batches, "path string, length long, sha256 string")
     base = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    return files.select(
+    return whole.unionByName(pieces).select(
         F.regexp_replace("path", F.lit(f"^.*?{_literal(base)}"), F.lit("")).alias("path"),
         F.col("length").alias("size"),
-        F.sha2("content", 256).alias("sha256"),
+        "sha256",
     )
 
 
