@@ -11,6 +11,7 @@ from evenledger.functions.parameters import SAMPLE_VALUE
 from evenledger.operators import cases as cs
 from evenledger.operators.eligibility import case_eligibility
 from evenledger.sources.contracts import CROSSDB_LONG
+from evenledger.sources.sink import scratch_path, write_requests
 
 q = sql_text
 STATES_A = ["SUCCESS", "SUCCESS", "SUCCESS", "success", "SUCCESS", "EXECUTION_FAILED"]
@@ -139,6 +140,7 @@ def tool_results(spark, sf_dir, selected):
         F.when(k % 13 == 12, "v1").otherwise("v2").alias("resultVersion"),
         (k % 5 == 4).alias("timedOut"),
         F.when(k % 6 == 5, 1).otherwise(0).alias("exitCode"),
+        F.when(k % 19 == 18, "REPORT_GENERATION_FAILED").when(k % 23 == 22, "TIMEOUT").otherwise("SUCCESS").alias("resultStatus"),
         pick(RESULT_PATHS, k).alias("reportPath"),
         (k % 17 != 16).alias("reportExists"),
         F.when(k % 6 == 5, "BROKEN").otherwise("").alias("errorCode"),
@@ -153,16 +155,21 @@ def cs_ids(selected):
 
 
 OUTCOME_SQL = f"""outcome AS (SELECT case_id, grp, "sampleIndex" AS si, reason, pos, CASE WHEN pos % 7 <> 6 AND pos % 5 = 4 THEN 'TIMEOUT' WHEN pos % 7 = 6 OR pos % 13 = 12 OR pos % 11 = 10 THEN 'RESULT_JSON_INVALID'
-    WHEN pos % 6 = 5 THEN 'TOOL_FAILED' WHEN pos % 5 IN (2, 3) OR pos % 17 = 16 THEN 'REPORT_MISSING' ELSE 'SUCCESS' END AS status FROM selected),
-detailed AS (SELECT *, CASE WHEN status = 'SUCCESS' THEN {sql_pick(RESULT_PATHS, 'pos')} ELSE '' END AS path,
-    CASE status WHEN 'TIMEOUT' THEN 'TIMEOUT' WHEN 'RESULT_JSON_INVALID' THEN CASE WHEN pos % 7 = 6 THEN 'RESULT_JSON_MISSING' ELSE 'RESULT_JSON_MISMATCH' END
-      WHEN 'TOOL_FAILED' THEN 'BROKEN' WHEN 'REPORT_MISSING' THEN 'REPORT_MISSING' ELSE '' END AS code,
-    CASE WHEN pos % 7 <> 6 AND pos % 6 = 5 THEN 'it broke' ELSE '' END AS error FROM outcome)"""
+    WHEN pos % 23 = 22 AND pos % 19 <> 18 THEN 'TIMEOUT' WHEN pos % 6 = 5 OR pos % 19 = 18 OR pos % 5 IN (2, 3) THEN 'TOOL_FAILED' WHEN pos % 17 = 16 THEN 'REPORT_MISSING' ELSE 'SUCCESS' END AS status,
+    pos % 7 <> 6 AND pos % 5 = 4 AS late, CASE WHEN pos % 19 = 18 THEN 'REPORT_GENERATION_FAILED' WHEN pos % 23 = 22 THEN 'TIMEOUT' ELSE 'SUCCESS' END AS said FROM selected),
+detailed AS (SELECT *, CASE WHEN status = 'SUCCESS' THEN '/out/run/reports/' || case_id || '/' || {sql_pick(RESULT_PATHS, 'pos')} ELSE '' END AS path,
+    CASE WHEN late THEN 'TIMEOUT' WHEN status = 'RESULT_JSON_INVALID' THEN CASE WHEN pos % 7 = 6 THEN 'RESULT_JSON_MISSING' ELSE 'RESULT_JSON_CONTRACT_MISMATCH' END
+      WHEN status IN ('TIMEOUT', 'TOOL_FAILED') THEN CASE WHEN pos % 6 = 5 THEN 'BROKEN' WHEN said <> 'SUCCESS' THEN said ELSE 'VALIDATOR_INVOCATION_ERROR' END
+      WHEN status = 'REPORT_MISSING' THEN 'HTML_REPORT_MISSING' ELSE '' END AS code,
+    CASE WHEN late THEN 'Performance tool exceeded 60 seconds.' WHEN status = 'RESULT_JSON_INVALID' THEN
+        CASE WHEN pos % 7 = 6 THEN 'result.json is missing or invalid.' ELSE 'responseVersion or caseId does not match the request.' END
+      WHEN status IN ('TIMEOUT', 'TOOL_FAILED') THEN CASE WHEN pos % 6 = 5 THEN 'it broke' WHEN said <> 'SUCCESS' THEN 'Performance tool exit code: 0' ELSE 'htmlReport escapes the output directory.' END
+      WHEN status = 'REPORT_MISSING' THEN 'The tool returned SUCCESS but the HTML report does not exist.' ELSE '' END AS error FROM outcome)"""
 
 
 def outcome_rows(spark, sf_dir):
     selected = selected_rows(spark, sf_dir)
-    return cs.classify_outcome(cs_ids(selected), tool_results(spark, sf_dir, selected))
+    return cs.classify_outcome(cs_ids(selected), tool_results(spark, sf_dir, selected), "/out/run/reports", 60)
 
 
 @query(
@@ -178,7 +185,7 @@ STATUS_SQL = f"""{OUTCOME_SQL}, status_rows AS (SELECT j.pos AS row_pos, j."base
     CASE WHEN why <> '' OR d.grp IS NULL THEN NULL ELSE d.si END AS selected_index,
     CASE WHEN why <> '' OR d.grp IS NULL THEN 'NONE' ELSE d.reason END AS "selectionReason",
     CASE WHEN why <> '' THEN 'NOT_ELIGIBLE' WHEN d.grp IS NULL THEN 'NOT_SELECTED' WHEN j."sampleIndex" <> d.si THEN 'COVERED_BY_SELECTED_SAMPLE' ELSE d.status END AS "performanceStatus",
-    CASE WHEN why = '' AND d.grp IS NOT NULL AND j."sampleIndex" = d.si THEN d.path ELSE '' END AS "htmlReportPath",
+    CASE WHEN why = '' AND d.grp IS NOT NULL AND j."sampleIndex" = d.si THEN replace(d.path, '/out/run/', '') ELSE '' END AS "htmlReportPath",
     CASE WHEN why <> '' THEN 'NOT_ELIGIBLE' WHEN d.grp IS NOT NULL AND j."sampleIndex" = d.si THEN d.code ELSE '' END AS "errorCode",
     CASE WHEN why <> '' THEN why WHEN d.grp IS NOT NULL AND j."sampleIndex" = d.si THEN d.error ELSE '' END AS "errorMessage"
   FROM judged j LEFT JOIN detailed d ON d.grp = j.grp)"""
@@ -187,7 +194,7 @@ STATUS_SQL = f"""{OUTCOME_SQL}, status_rows AS (SELECT j.pos AS row_pos, j."base
 def status_rows(spark, sf_dir):
     from evenledger.plans.reports import select_slow_cases
 
-    return select_slow_cases(case_rows(spark, sf_dir), outcome_rows(spark, sf_dir), TOP, 2, include=INCLUDE)["status"]
+    return select_slow_cases(case_rows(spark, sf_dir), outcome_rows(spark, sf_dir), TOP, 2, include=INCLUDE, link_base="/out/run")["status"]
 
 
 @query(
@@ -300,8 +307,11 @@ def request_rows(spark, sf_dir):
       CASE WHEN pos % 4 = 0 OR ha <> 3 OR pa <> 3 THEN NULL ELSE effective || '|' || "sampleIndex" || '|' || pos || '|v2' END AS body FROM c""",
 )
 def _requests(spark, sf_dir):
-    selected = cs.select_cases(request_rows(spark, sf_dir), TOP, 2, include=INCLUDE)
-    made = cs.build_requests(selected).withColumn("r", F.from_json("request", cs.REQUEST_SCHEMA))
+    made = cs.build_requests(cs.select_cases(request_rows(spark, sf_dir), TOP, 2, include=INCLUDE))
+    folder = scratch_path(spark, "requests")
+    write_requests(made, folder)
+    written = spark.read.text(folder).select(F.from_json("value", cs.REQUEST_SCHEMA).alias("r"), F.col("value").alias("line"))
+    made = made.drop("request").join(written, made["caseId"] == written["r.caseId"], "left").withColumn("request", F.col("line"))
     second = F.get("r.parameters", F.lit(1)).getField("value")
     body = F.when(
         F.col("request").isNotNull(), F.concat_ws("|", "r.sqlId", F.col("r.sampleIndex").cast("string"), second, "r.requestVersion")
@@ -309,6 +319,24 @@ def _requests(spark, sf_dir):
     return made.select("caseId", "requestStatus", "errorMessage", body.alias("body"))
 
 
+@query(
+    "case_status_of_broken_requests",
+    f"""WITH {CASE_ROWS_SQL}, {STATUS_SQL}, c AS (SELECT *, length(regexp_replace(regexp_replace("h2JdbcSql", {MASK_RE}, '', 'g'), '[^?]', '', 'g')) AS ha,
+        length(regexp_replace(regexp_replace("postgresJdbcSql", {MASK_RE}, '', 'g'), '[^?]', '', 'g')) AS pa FROM selected),
+      broken AS (SELECT case_id, CASE WHEN pos % 4 = 0 THEN 'JDBC parameter indexes must be unique and contiguous from 1.' WHEN ha <> 3 THEN 'H2 placeholder count ' || ha || ' differs from parameter count 3'
+        ELSE 'PostgreSQL placeholder count ' || pa || ' differs from parameter count 3' END AS why FROM c WHERE pos % 4 = 0 OR ha <> 3 OR pa <> 3)
+    SELECT s."baselineKey", s."sampleIndex", s."baselineSqlId", CASE WHEN b.case_id IS NULL THEN s."caseId" ELSE '' END AS "caseId",
+      CASE WHEN hit THEN 'PARAMETER_DECODE_FAILED' ELSE "performanceStatus" END AS "performanceStatus", CASE WHEN hit THEN '' ELSE "htmlReportPath" END AS "htmlReportPath",
+      CASE WHEN hit THEN 'REQUEST_BUILD_FAILED' ELSE "errorCode" END AS "errorCode", CASE WHEN hit THEN b.why ELSE "errorMessage" END AS "errorMessage"
+    FROM (SELECT *, "caseId" <> '' AND "sampleIndex" = selected_index AS own FROM status_rows) s LEFT JOIN broken b ON b.case_id = s."caseId", LATERAL (SELECT own AND b.case_id IS NOT NULL AS hit)""",
+)
+def _status_of_broken(spark, sf_dir):
+    from evenledger.plans.reports import select_slow_cases
+
+    made = select_slow_cases(request_rows(spark, sf_dir), outcome_rows(spark, sf_dir), TOP, 2, include=INCLUDE, link_base="/out/run")
+    return made["status"].select("baselineKey", "sampleIndex", "baselineSqlId", "caseId", "performanceStatus", "htmlReportPath", "errorCode", "errorMessage")
+
+
 REQUEST_TEXTS = [
     "SELECT * FROM t WHERE a = ? AND b = ?", "SELECT 1", "UPDATE t SET a = ?", "SELECT a FROM t WHERE x = ? ; SELECT ?",
     "WITH d AS (DELETE FROM t WHERE a = ?) SELECT ?", "SELECT 'update' WHERE ? = ?", "", "SELECT * FROM t WHERE a = ? AND b = ? FOR UPDATE",

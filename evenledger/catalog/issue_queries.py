@@ -94,7 +94,20 @@ def _order(spark, sf_dir):
 
 @query("rank_rows", f'WITH {CLASSIFIED_SQL} SELECT "sqlId", row_number() OVER (ORDER BY {ORDER_SQL}) AS rank FROM counted')
 def _rank(spark, sf_dir):
-    return iss.detail_report(classified(spark, sf_dir).persist()).select("sqlId", "rank")
+    return iss.detail_report(classified(spark, sf_dir)).select("sqlId", "rank")
+
+
+@query(
+    "join_issue_inputs_repeated_ids",
+    f"""WITH {INPUT_SQL} SELECT "sqlId", "serviceName", 'second of ' || "sqlText" AS "sqlText", "bindingRows" FROM inputs""",
+)
+def _inputs_repeated(spark, sf_dir):
+    """Every statement twice in the input; the later one counts and no execution is doubled."""
+    s = statements(spark, sf_dir)
+    later = s.withColumn("sqlText", F.concat(F.lit("second of "), "sqlText")).withColumn("_turn", F.lit(2))
+    twice = s.withColumn("_turn", F.lit(1)).unionByName(later)
+    joined = iss.join_issue_inputs(executions(spark, sf_dir), twice, bindings(spark, sf_dir), keep="last", order="_turn")
+    return joined.select("sqlId", "serviceName", "sqlText", "bindingRows")
 
 
 @query(

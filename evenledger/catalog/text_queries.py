@@ -8,6 +8,7 @@ from evenledger.catalog.derive import (
     CORPUS_SQL,
     STATEMENTS_SQL,
     corpus,
+    pick,
     sql_normalized,
     sql_text,
     statements,
@@ -263,3 +264,29 @@ def _service(spark, sf_dir):
     folder = F.element_at(F.array(*[F.lit(f) for f in _FOLDERS]), (1 + F.col("p_partkey") % 8).cast("int"))
     named = F.concat(folder, F.lit("_"), F.col("p_brand"))
     return table(spark, sf_dir, "part").select("p_partkey", tx.service_label(named, _RULES).alias("label"))
+
+
+# Statements with the verdict written out by hand: (text, code, may be read).
+WITH_TEXTS = [
+    ("WITH x AS (SELECT 1 AS a) SELECT a FROM x", "SAFE_SELECT"),
+    ("WITH x AS (SELECT 1 AS a) INSERT INTO t SELECT a FROM x", "UNSAFE_SELECT"),
+    ("-- note\nwith x as (select ')' as a), y as (select 2)\n  delete from t where a in (select a from x)", "UNSAFE_SELECT"),
+    ("WITH x AS (SELECT 1) UPDATE t SET a = 1", "UNSAFE_SELECT"),
+    ("WITH x AS (SELECT 1) MERGE INTO t USING x ON true WHEN MATCHED THEN DELETE", "UNSAFE_SELECT"),
+    ("WITH x AS (SELECT ') insert into t' AS a) SELECT a FROM x", "SAFE_SELECT"),
+    ("WITH x AS (SELECT 1) /* ) delete from t */ SELECT max(update_count) FROM x", "SAFE_SELECT"),
+    ("SELECT (1) AS insert_into", "SAFE_SELECT"),
+    ("INSERT INTO t SELECT 1", "NOT_SELECT"),
+]
+
+
+@query(
+    "select_flags_of_writing_with",
+    "SELECT o_orderkey, code FROM orders JOIN (VALUES "
+    + ", ".join(f"({i}, '{code}')" for i, (_, code) in enumerate(WITH_TEXTS))
+    + f") v(i, code) ON i = o_orderkey % {len(WITH_TEXTS)}",
+)
+def _flags_of_with(spark, sf_dir):
+    text = pick([t for t, _ in WITH_TEXTS], F.col("o_orderkey"))
+    flags = tx.select_flags(text)
+    return table(spark, sf_dir, "orders").select("o_orderkey", flags["reason_code"].alias("code"))

@@ -21,6 +21,8 @@ UNSAFE = (
     r"(?i)\bfor\s+update\b|\bnextval\s*\(|\bsetval\s*\(|\bselect\s+into\b"
     r"|\bpg_(?:try_)?advisory_(?:xact_)?lock\s*\("
 )
+#: A statement that begins with common table expressions and writes after the last of them.
+WRITING_WITH = r"(?is)\A\s*with\b.*\)\s*(?:insert\s+(?:into|overwrite)|update\s+\S+\s+(?:\S+\s+)?set|delete\s+from|merge\s+into)\b"
 UNSTABLE = (
     r"(?i)\bcurrent_timestamp\b|\bcurrent_time\b|\bcurrent_date\b"
     r"|\brandom\s*\(|\brand\s*\(|\buuid\s*\(|\brandom_uuid\s*\("
@@ -151,7 +153,7 @@ def select_flags(c: Column, mask_comments: bool = True) -> Column:
             (statement_type(whole, "select") != "SELECT", finding("NOT_SELECT")),
             (masked.rlike(r";\s*\S"), finding("MULTIPLE_STATEMENTS", "select", "multi")),
             (whole.rlike(DYNAMIC_IDENTIFIER), finding("DYNAMIC_IDENTIFIER", "select", "dynamic_identifier")),
-            (whole.rlike(UNSAFE), finding("UNSAFE_SELECT", "select", "unsafe")),
+            (whole.rlike(UNSAFE) | masked.rlike(WRITING_WITH), finding("UNSAFE_SELECT", "select", "unsafe")),
             (whole.rlike(UNSTABLE), finding("NON_DETERMINISTIC_SELECT", "select", "non_deterministic")),
         ],
         finding("SAFE_SELECT", "select"),

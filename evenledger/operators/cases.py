@@ -84,10 +84,14 @@ def attach_selected(rows: DataFrame, selected: DataFrame) -> DataFrame:
     return lookup_join(rows, chosen, ["sqlGroupKey"])
 
 
-def case_status_row(rows: DataFrame, outcomes: DataFrame, require_match: bool = True) -> DataFrame:
+def case_status_row(
+    rows: DataFrame, outcomes: DataFrame, require_match: bool = True, requests: DataFrame | None = None, link_base: str | None = None
+) -> DataFrame:
     """One status per row: not eligible, not selected, covered by the selected sample, or the tool's outcome.
 
-    ``rows`` comes from ``attach_selected``; ``outcomes`` has (caseId, status, reportPath, errorCode, errorMessage).
+    ``rows`` comes from ``attach_selected``; ``outcomes`` has (caseId, status, reportPath, errorCode, errorMessage). A
+    case whose request, of those from ``build_requests``, could not be built has no id and no outcome but that failure.
+    Report links are relative to ``link_base``, the folder of the result, where it is given.
     """
     result = outcomes.select(
         "caseId",
@@ -97,6 +101,10 @@ def case_status_row(rows: DataFrame, outcomes: DataFrame, require_match: bool =
         F.col("errorMessage").alias("_error"),
     )
     joined = lookup_join(case_eligibility(rows, require_match), result, ["caseId"])
+    broken = F.lit(None).cast("string")
+    if requests is not None:
+        failed = requests.where(F.col("requestStatus") != "READY").select("caseId", F.col("errorMessage").alias("_broken"))
+        joined, broken = lookup_join(joined, failed, ["caseId"]), F.col("_broken")
     own = F.col("sampleIndex") == F.col("selectedSampleIndex")
     text = lambda c: F.coalesce(c, F.lit(""))
     verdict = first_verdict(
@@ -105,13 +113,19 @@ def case_status_row(rows: DataFrame, outcomes: DataFrame, require_match: bool =
             (~F.col("eligible"), ("NOT_ELIGIBLE", "", "NOT_ELIGIBLE", F.col("ineligibleReason"))),
             (F.col("caseId").isNull(), ("NOT_SELECTED", "", "", "")),
             (~own, ("COVERED_BY_SELECTED_SAMPLE", "", "", "")),
+            (broken.isNotNull(), ("PARAMETER_DECODE_FAILED", "", "REQUEST_BUILD_FAILED", broken)),
             (F.col("_status").isNull(), ("TOOL_FAILED", "", "NO_OUTCOME", "")),
         ],
-        (F.col("_status"), text(F.col("_path")), text(F.col("_code")), text(F.col("_error"))),
+        (
+            F.col("_status"),
+            relative_link(F.col("_path"), link_base) if link_base else text(F.col("_path")),
+            text(F.col("_code")),
+            text(F.col("_error")),
+        ),
     )
     shown = F.col("eligible")
     return joined.withColumn("_v", verdict).select(
-        F.when(shown, text(F.col("caseId"))).otherwise("").alias("caseId"),
+        F.when(shown & broken.isNull(), text(F.col("caseId"))).otherwise("").alias("caseId"),
         "baselineKey",
         "baselineSqlId",
         "currentSqlId",
@@ -247,32 +261,56 @@ def safe_link(path: Column) -> Column:
     return filled(path) & ~path.rlike(r"^(?:/|\\|[A-Za-z]:)|(?:^|[/\\])\.\.(?:[/\\]|$)")
 
 
-def classify_outcome(requests: DataFrame, results: DataFrame) -> DataFrame:
+def classify_outcome(requests: DataFrame, results: DataFrame, report_folder: str | None = None, timeout_s: int | None = None) -> DataFrame:
     """Status of each requested case from the tool's result rows.
 
-    ``results`` has (caseId, resultCaseId, resultVersion, timedOut, exitCode, reportPath, reportExists, errorCode,
-    errorMessage): caseId is the folder the result was found in, the rest is what it says.
+    ``results`` has (caseId, resultCaseId, resultVersion, resultStatus, timedOut, exitCode, reportPath, reportExists,
+    errorCode, errorMessage): caseId is the folder the result was found in, the rest is what it says. A result counts as
+    a success only if both the tool's exit code and its own status say so; without ``resultStatus`` the exit code
+    decides. An error without a code or a message gets the status or the exit code instead. With ``report_folder`` the
+    path of a report is below the case's folder in it.
     """
-    joined = lookup_join(requests.select("caseId"), results.withColumn("_found", F.lit(True)), ["caseId"])
+    given = results.withColumn("_found", F.lit(True))
+    if "resultStatus" not in results.columns:
+        given = given.withColumn("resultStatus", F.when(F.coalesce("exitCode", F.lit(1)) == 0, "SUCCESS").otherwise("INTERNAL_ERROR"))
+    joined = lookup_join(requests.select("caseId"), given, ["caseId"])
     says_other = (F.coalesce("resultVersion", F.lit("")) != REQUEST_VERSION) | (
         F.coalesce("resultCaseId", F.lit("")) != F.col("caseId")
     )
     text = lambda name: F.coalesce(name, F.lit(""))
+    said = F.coalesce("resultStatus", F.lit("INTERNAL_ERROR"))
+    or_else = lambda name, other: F.when(filled(F.col(name)), F.col(name)).otherwise(other)
+    exit_code = F.coalesce(F.col("exitCode").cast("string"), F.lit("unknown"))
+    failed = (F.coalesce("exitCode", F.lit(1)) != 0) | (said != "SUCCESS")
+    code = or_else("errorCode", said)
+    message = or_else("errorMessage", F.concat(F.lit("Performance tool exit code: "), exit_code))
+    too_long = text("errorMessage") if timeout_s is None else F.lit(f"Performance tool exceeded {timeout_s} seconds.")
+    path = F.concat(F.lit(report_folder.rstrip("/") + "/"), "caseId", F.lit("/"), "reportPath") if report_folder else F.col("reportPath")
+    # Status, code and message of each outcome.
     verdict = first_verdict(
-        ("status", "reportPath", "errorCode"),
+        ("status", "reportPath", "errorCode", "errorMessage"),
         [
-            (F.coalesce("timedOut", F.lit(False)), ("TIMEOUT", "", "TIMEOUT")),
-            (F.col("_found").isNull(), ("RESULT_JSON_INVALID", "", "RESULT_JSON_MISSING")),
-            (says_other, ("RESULT_JSON_INVALID", "", "RESULT_JSON_MISMATCH")),
-            (F.coalesce("exitCode", F.lit(1)) != 0, ("TOOL_FAILED", "", text("errorCode"))),
+            (F.coalesce("timedOut", F.lit(False)), ("TIMEOUT", "", "TIMEOUT", too_long)),
+            (F.col("_found").isNull(), ("RESULT_JSON_INVALID", "", "RESULT_JSON_MISSING", "result.json is missing or invalid.")),
+            (
+                says_other,
+                ("RESULT_JSON_INVALID", "", "RESULT_JSON_CONTRACT_MISMATCH", "responseVersion or caseId does not match the request."),
+            ),
+            (failed & (said == "TIMEOUT"), ("TIMEOUT", "", code, message)),
+            (failed, ("TOOL_FAILED", "", code, message)),
+            (blank(F.col("reportPath")), ("TOOL_FAILED", "", "VALIDATOR_INVOCATION_ERROR", "htmlReport is empty.")),
+            (
+                ~safe_link(F.col("reportPath")),
+                ("TOOL_FAILED", "", "VALIDATOR_INVOCATION_ERROR", "htmlReport escapes the output directory."),
+            ),
             (
-                ~safe_link(text("reportPath")) | ~F.coalesce("reportExists", F.lit(False)),
-                ("REPORT_MISSING", "", "REPORT_MISSING"),
+                ~F.coalesce("reportExists", F.lit(False)),
+                ("REPORT_MISSING", "", "HTML_REPORT_MISSING", "The tool returned SUCCESS but the HTML report does not exist."),
             ),
         ],
-        ("SUCCESS", F.col("reportPath"), ""),
+        ("SUCCESS", path, "", ""),
     )
-    return joined.withColumn("_v", verdict).select("caseId", "_v.*", text("errorMessage").alias("errorMessage"))
+    return joined.withColumn("_v", verdict).select("caseId", "_v.*")
 
 
 def relative_link(path: Column, base: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evenledger.functions.chain import first_match, first_verdict, lowered
 from evenledger.functions.text import UPDATE_ALIAS, executed_text, lookup, original_text, text_signals
-from evenledger.operators.ranking import rank_rows
+from evenledger.operators.ranking import dedupe, rank_rows
 from evenledger.operators.skew import lookup_join
 
 # Groups in report order with their display names.
@@ -230,11 +230,17 @@ def exec_status(df: DataFrame, mode: str) -> DataFrame:
     return df.withColumn("_v", verdict).select(*kept, F.lit(mode).alias("validationMode"), "_v.*")
 
 
-def join_issue_inputs(executions: DataFrame, statements: DataFrame, bindings: DataFrame) -> DataFrame:
+def join_issue_inputs(
+    executions: DataFrame, statements: DataFrame, bindings: DataFrame, keep: str | None = "last", order: str = "_pos"
+) -> DataFrame:
     """Executions with their statement and what the rules need of their bindings.
 
-    Bindings are reduced to one row per id (any String-typed, count), never to lists.
+    Bindings are reduced to one row per id (any String-typed, count), never to lists. Of statements with the same id
+    the last one in input order counts (``keep="first"``: the first, None: all, each with a row of its own).
     """
+    if keep:
+        place = [order] if order in statements.columns else sorted(statements.columns)
+        statements = dedupe(statements, ["sqlId"], place, keep)
     typed = bindings.groupBy("sqlId").agg(
         F.bool_or(F.contains(lowered(F.col("javaType")), F.lit("string"))).alias("stringBound"),
         F.count(F.lit(1)).alias("bindingRows"),

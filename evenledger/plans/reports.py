@@ -53,13 +53,15 @@ def select_slow_cases(
     require_match: bool = True,
     include: list[str] = (),
     order: str = "_pos",
+    link_base: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Selected cases, their requests and one status per input row."""
+    """Selected cases, their requests and one status per input row; requests that cannot be built decide the status of theirs."""
     keyed = case_columns(rows)
     selected = select_cases(rows, top, default, require_match, include, order)
-    made = {"selected": selected, "status": case_status_row(attach_selected(keyed, selected), outcomes, require_match)}
+    made = {"selected": selected}
     if "values" in rows.columns:
         made["requests"] = build_requests(selected)
+    made["status"] = case_status_row(attach_selected(keyed, selected), outcomes, require_match, made.get("requests"), link_base)
     return made
 
 
