@@ -285,3 +285,64 @@ def _crossdb(spark, sf_dir):
         pick(ELIGIBILITY, c + k).alias("eligibilityStatus"),
     )
     return sm.crossdb_kpis(rows)
+
+
+# Executions with the verdict and the signals written out by hand:
+# (status, message, text, a binding is a String, needs review) and (group, type, priority, source, signals).
+D, TEXT_TOO = "SQL_DIALECT_COMPATIBILITY", "ERROR_MESSAGE_AND_SQL_TEXT"
+BY_HAND = [
+    (("PASSED", "column \"x\" does not exist", "SELECT NVL(a, 1) FROM t", False, True), ("PASSED", "PASSED", "None", "STATUS", "NVL")),
+    (("Skipped_Safety", "", "SELECT ROWNUM", False, False), ("MANUAL_REVIEW", "SKIPPED_OR_NOT_EXECUTED", "Review", "STATUS", "ROWNUM")),
+    (("NOT EXECUTED", "syntax error", "x", False, False), ("MANUAL_REVIEW", "SKIPPED_OR_NOT_EXECUTED", "Review", "STATUS", "")),
+    (("FAILED", "operator does not exist: bigint = character varying", "SELECT a FROM t WHERE b = ?", True, False),
+     ("PARAMETER_TYPE_OR_BINDING", "PARAMETER_TYPE_MISMATCH", "High", "ERROR_MESSAGE_AND_BINDING_PLAN", "PARAMETERIZED SQL")),
+    (("FAILED", "Operator does not exist: DATE = character varying", "SELECT a FROM t", False, False),
+     ("PARAMETER_TYPE_OR_BINDING", "PARAMETER_TYPE_MISMATCH", "High", "ERROR_MESSAGE", "")),
+    (("FAILED", "operator does not exist: json = json", "SELECT 1", False, False), ("MANUAL_REVIEW", "UNKNOWN", "Review", "FALLBACK", "")),
+    (("FAILED", "The column index is out of range: 2, number of parameters: 1", "SELECT :id", False, False),
+     ("PARAMETER_TYPE_OR_BINDING", "PARAMETER_BINDING_ERROR", "High", "ERROR_MESSAGE", "PARAMETERIZED SQL")),
+    (("FAILED", "column \"t\" of relation \"o\" does not exist", "UPDATE o t SET t.a = 1", False, False),
+     (D, "UPDATE_TARGET_ALIAS", "High", TEXT_TOO, "UPDATE SET alias.column")),
+    (("FAILED", "column \"t\" of relation \"o\" does not exist", "UPDATE o SET a = 1", False, False),
+     ("SOURCE_SQL_DEFECT", "COLUMN_NOT_FOUND", "High", "ERROR_MESSAGE", "")),
+    (("FAILED", "missing FROM-clause entry for table \"order_seq\"", "SELECT order_seq.NEXTVAL FROM dual", False, False),
+     (D, "SEQUENCE_SYNTAX", "High", TEXT_TOO, "SEQUENCE/NEXTVAL; DUAL")),
+    (("FAILED", "relation \"dual\" does not exist", "SELECT 1", False, False), (D, "DUAL_TABLE", "High", TEXT_TOO, "")),
+    (("FAILED", "some error", "SELECT Nvl(a, b), SYSDATE FROM t", False, False), (D, "NVL_FUNCTION", "High", TEXT_TOO, "NVL; SYSDATE")),
+    (("FAILED", "column \"sysdate\" does not exist", "SELECT 1", False, False), (D, "SYSDATE_FUNCTION", "High", TEXT_TOO, "")),
+    (("FAILED", "", "SELECT a FROM t WHERE rownum <= 5", False, True), (D, "ROWNUM_PSEUDOCOLUMN", "High", TEXT_TOO, "ROWNUM")),
+    (("FAILED", "function to_char(integer) does not exist", "SELECT 1", False, False), (D, "TO_CHAR_FUNCTION", "Medium", TEXT_TOO, "")),
+    (("FAILED", "", "SELECT TO_TIMESTAMP('x', 'y')", False, False), (D, "TO_TIMESTAMP_FUNCTION", "Medium", TEXT_TOO, "TO_TIMESTAMP")),
+    (("FAILED", "", "SELECT DATEADD('DAY', 1, b)", False, False), (D, "DATEADD_FUNCTION", "High", TEXT_TOO, "DATEADD")),
+    (("FAILED", "syntax error at or near )", "SELECT CURRENT_TIMESTAMP()", False, False),
+     (D, "DATETIME_FUNCTION_SYNTAX", "Medium", "SQL_TEXT", "CURRENT_TIMESTAMP()")),
+    (("FAILED", "column \"VALUE\" does not exist", "SELECT v", False, False), (D, "QUOTED_IDENTIFIER_CASE_MISMATCH", "Medium", TEXT_TOO, "")),
+    (("FAILED", "column c does not exist", "SELECT \"Entity\" FROM t", False, False),
+     (D, "QUOTED_IDENTIFIER_CASE_MISMATCH", "Medium", TEXT_TOO, "QUOTED RESERVED IDENTIFIER")),
+    (("FAILED", "relation \"t\" does not exist", "MERGE INTO t USING u", False, False),
+     ("DATABASE_ENVIRONMENT", "RELATION_NOT_FOUND", "Environment", "ERROR_MESSAGE", "MERGE")),
+    (("FAILED", "missing FROM-clause entry for table \"a\"", "SELECT a.b", False, False), (D, "IDENTIFIER_CASE_OR_QUOTING", "Medium", "ERROR_MESSAGE", "")),
+    (("FAILED", "function f() does not exist", "SELECT f()", False, False), (D, "UNSUPPORTED_FUNCTION", "Medium", "ERROR_MESSAGE", "")),
+    (("FAILED", "", "Merge Into t USING u", False, False), (D, "MERGE_SYNTAX", "Medium", "SQL_TEXT", "MERGE")),
+    (("FAILED", "ERROR SQLState: 42601", "SELEC 1", False, True), (D, "GENERIC_SQL_SYNTAX", "Medium", "ERROR_MESSAGE", "")),
+    (("FAILED", "deadlock", "SELECT 1", False, True), ("MANUAL_REVIEW", "UNKNOWN", "Review", "SQL_TEXT", "")),
+    (("FAILED", "deadlock", "SELECT 1", True, False), ("MANUAL_REVIEW", "UNKNOWN", "Review", "FALLBACK", "")),
+]
+_HAND_ROWS = ", ".join(f"({i}, {', '.join(q(x) for x in verdict)})" for i, (_, verdict) in enumerate(BY_HAND))
+
+
+@query(
+    "classify_issue_by_hand",
+    f"""SELECT o_orderkey, v.g AS "issueGroup", v.t AS "issueType", v.p AS priority, v.s AS "classificationSource", v.d AS "detectedSignals"
+    FROM orders JOIN (VALUES {_HAND_ROWS}) v(i, g, t, p, s, d) ON i = o_orderkey % {len(BY_HAND)}""",
+)
+def _classify_by_hand(spark, sf_dir):
+    k = F.col("o_orderkey")
+    at = lambda n: pick([given[n] for given, _ in BY_HAND], k)
+    flag = lambda n: (k % len(BY_HAND)).isin([i for i, (given, _) in enumerate(BY_HAND) if given[n]])
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", at(0).alias("executionStatus"), at(1).alias("message"), at(2).alias("sqlText"), F.lit(None).cast("string").alias("normalizedSqlText"),
+        F.lit("").alias("jdbcSql"), F.lit("").alias("adaptedJdbcSql"), flag(3).alias("stringBound"), flag(4).alias("requiresManualReview"), F.lit(False).alias("dynamicSql"),
+    )
+    found = iss.classify_issue(rows)
+    return found.select("o_orderkey", "issueGroup", "issueType", "priority", "classificationSource", "detectedSignals")

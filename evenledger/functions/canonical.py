@@ -65,8 +65,18 @@ def plain_number(c: Column, kind: str, scale: int | None) -> Column:
     if scale is not None:
         source = c if kind == "double" else text
         return F.coalesce(plain_decimal(source.try_cast(f"decimal(38,{scale})")), text)
+    # Without an exponent the text has the digits already; decimals, which cost more, are for the others.
     exact = text.try_cast("decimal(38,18)")
-    return F.when(exact.cast(kind) == c, plain_decimal(exact)).otherwise(text)
+    large = F.when(exact.cast(kind) == c, plain_decimal(exact)).otherwise(text)
+    return F.when(F.contains(text, F.lit("E")), large).when(text == "-0.0", "0").otherwise(plain_decimal(text))
+
+
+def moment(c: Column) -> Column:
+    """Date and time to the millisecond; years of four digits come from the plain text, which is cheaper to make."""
+    text = c.cast("string")
+    fraction = F.rpad(F.substring(text, 21, 3), 3, "0")
+    plain = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), fraction)
+    return F.when(F.substring(text, 5, 1) == "-", plain).otherwise(F.date_format(c, MILLISECONDS))
 
 
 def canonical_value(c: Column, dtype: T.DataType, scale: int | None = None, nested: str = "error") -> Column:
@@ -87,10 +97,10 @@ def canonical_value(c: Column, dtype: T.DataType, scale: int | None = None, nest
     elif isinstance(dtype, T.DateType):
         tag, body = "DATE:", c.cast("string")
     elif isinstance(dtype, T.TimestampNTZType):
-        tag, body = "TIMESTAMP:", F.date_format(c, MILLISECONDS)
+        tag, body = "TIMESTAMP:", moment(c)
     elif isinstance(dtype, T.TimestampType):
         utc = F.to_utc_timestamp(c, F.current_timezone())
-        tag, body = "INSTANT:", F.concat(F.date_format(utc, MILLISECONDS), F.lit("Z"))
+        tag, body = "INSTANT:", F.concat(moment(utc), F.lit("Z"))
     elif isinstance(dtype, T.BinaryType):
         tag, body = "BYTES:", F.base64(c)
     elif isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):

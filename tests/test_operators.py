@@ -400,3 +400,18 @@ def test_default_values(spark):
 
 def test_contract_sizes():
     assert (len(BASELINE), len(COMPARISON), len(CROSSDB_LONG), len(CROSSDB_SHORT), len(DETAIL_REPORT)) == (43, 41, 27, 11, 19)
+
+
+def test_numbers_and_moments_by_the_short_way(spark):
+    numbers = [0.0, -0.0, 1.0, 100.0, -2.50, 0.001, 0.0001, 1e7, 12345678.125, 1e20, 1.5e-9, 1e300, float("inf"), float("-inf"), float("nan"), 0.1 + 0.2, 9999999.0, None]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    got = [r.v for r in df.select(canonical_value(F.col("x"), df.schema["x"].dataType).alias("v")).collect()]
+    assert got == [
+        "NUM:0", "NUM:0", "NUM:1", "NUM:100", "NUM:-2.5", "NUM:0.001", "NUM:0.0001", "NUM:10000000", "NUM:12345678.125", "NUM:1.0E20",
+        "NUM:0.0000000015", "NUM:1.0E300", "NUM:Infinity", "NUM:-Infinity", "NUM:NaN", "NUM:0.30000000000000004", "NUM:9999999", "NULL",
+    ]
+    texts = ["2026-01-02 03:04:05", "2026-01-02 03:04:05.1", "1999-12-31 23:59:59.123987", "0001-01-01 00:00:00.010"]
+    times = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("n"), F.col("t").cast("timestamp").alias("z"))
+    rows = times.select(canonical_value(F.col("n"), times.schema["n"].dataType).alias("n"), canonical_value(F.col("z"), times.schema["z"].dataType).alias("z")).collect()
+    want = ["2026-01-02T03:04:05.000", "2026-01-02T03:04:05.100", "1999-12-31T23:59:59.123", "0001-01-01T00:00:00.010"]
+    assert [(r.n, r.z) for r in rows] == [(f"TIMESTAMP:{w}", f"INSTANT:{w}Z") for w in want]
