@@ -27,7 +27,11 @@ TEXT_BYTES = 1 << 20
 WINDOWS_AT_ONCE = 2048
 #: At most so many labelled texts of either class are learned from, none over so many bytes; taken by hash of the id.
 POSITIVE, NEGATIVE, SAMPLE_BYTES = 1500, 2500, 1 << 16
-EPOCHS, BATCH, RATE = 5, 32, 0.01
+#: Texts of a step, fewer where there are under 640 texts, and the rate of learning.
+BATCH, RATE = 32, 0.01
+#: Steps of training, whatever the sample's size, within these numbers of epochs; the most that a positive text counts;
+#: and how many texts of a class are kept back at least.
+STEPS, LEAST_EPOCHS, MOST_EPOCHS, MOST_WEIGHT, LEAST_KEPT = 650, 5, 40, 2.0, 30
 
 #: Words of the network also end at ASCII punctuation.
 BETWEEN = SPACES.copy()
@@ -159,8 +163,8 @@ def start(seed: int = 5) -> dict:
     }
 
 
-def gradients(model: dict, found: Words, first: np.ndarray, count: np.ndarray, label: np.ndarray) -> tuple[float, dict]:
-    """(loss, gradients) over some windows; embedding gradients come as (rows, values)."""
+def gradients(model: dict, found: Words, first: np.ndarray, count: np.ndarray, label: np.ndarray, positive: float = 1.0) -> tuple[float, dict]:
+    """(loss, gradients) over some windows, those of label 1 counted ``positive`` times; embedding gradients come as (rows, values)."""
     ids, mask = steps_of(found, first, count)
     used, ids = np.unique(ids, return_inverse=True)
     ids = ids.reshape(mask.shape)
@@ -174,8 +178,9 @@ def gradients(model: dict, found: Words, first: np.ndarray, count: np.ndarray, l
     states = np.concatenate([run(vectors @ model[f"in{d}"] + model[f"b{d}"], ids, mask, model[f"re{d}"], d == 1, kept[d]) for d in (0, 1)], axis=2)
     logits, (hidden, weight, context) = pooled(model, states, mask)
     p = sigmoid(logits)
-    loss = -float(np.mean(np.where(label > 0, np.log(p + 1e-7), np.log(1 - p + 1e-7))))
-    error = (p - label) / len(label)
+    counted = np.where(label > 0, positive, 1.0).astype(label.dtype)
+    loss = -float(np.mean(counted * np.where(label > 0, np.log(p + 1e-7), np.log(1 - p + 1e-7))))
+    error = counted * (p - label) / len(label)
     grad = {"out": context.T @ error, "bias": np.array([error.sum()])}
     d_context = error[:, None] * model["out"]
     d_states = weight[:, :, None] * d_context
@@ -208,8 +213,28 @@ def gradients(model: dict, found: Words, first: np.ndarray, count: np.ndarray, l
     return loss, grad
 
 
+def kept_back(labels: np.ndarray) -> np.ndarray:
+    """True for every sixth text of each class: they choose when to stop; none of a sample too small to spare them."""
+    chosen = np.zeros(len(labels), dtype=bool)
+    for value in (0, 1):
+        of = np.flatnonzero(labels == value)
+        if len(of) >= LEAST_KEPT * 6:
+            chosen[of[::6]] = True
+    return chosen if chosen[labels == 1].any() and chosen[labels == 0].any() else np.zeros(len(labels), dtype=bool)
+
+
+def weighted_loss(logits: np.ndarray, labels: np.ndarray, weight: float) -> float:
+    """Mean logistic loss, the positive ones counted ``weight`` times."""
+    each = np.logaddexp(0, np.where(labels == 1, -logits, logits))
+    return float(np.average(each, weights=np.where(labels == 1, weight, 1.0)))
+
+
 def learn(texts: list[str], labels: list[int], seed: int = 5) -> dict:
-    """A model from labelled texts, by Adam; embeddings of rows met are moved by their own running scale."""
+    """A model from labelled texts, by Adam; embeddings of rows met are moved by their own running scale.
+
+    The number of steps is about the same for any number of texts. Positive texts count more where they are few. Some
+    texts are kept back, and the model of the epoch that fits them best is the one returned.
+    """
     model = start(seed)
     found = Words(pa.array(texts, pa.string()))
     row, first, count = found.windows()
@@ -219,19 +244,28 @@ def learn(texts: list[str], labels: list[int], seed: int = 5) -> dict:
     label = np.array(labels, dtype=np.float32)
     bounds = np.searchsorted(row, np.arange(found.texts + 1))
     usable = np.flatnonzero(np.diff(bounds) > 0)
+    back = kept_back(label[usable])
+    held, usable = usable[back], usable[~back]
+    positive = max(1.0, label[usable].sum())
+    weight = float(np.clip(((len(usable) - positive) / positive / 3) ** 0.5, 1, MOST_WEIGHT))  # 1 up to three to one
     moved = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
-    step = 0
-    for epoch in range(EPOCHS):
+    batches = max(1, len(usable) // int(np.clip(len(usable) // 20, 8, BATCH)))
+    epochs = int(np.clip(-(-STEPS // batches), LEAST_EPOCHS, MOST_EPOCHS))
+    best, kept, step = np.inf, None, 0
+    for epoch in range(epochs):
         if epoch < 2:
             chosen = bounds[usable] + (rng.random(len(usable)) * np.diff(bounds)[usable]).astype(np.int64)
         else:
             logits = window_logits(model, found, first, count)
             order = np.lexsort((logits, row))
-            chosen = order[bounds[usable + 1] - 1]
-        rate = RATE * (0.3 if epoch >= EPOCHS - 2 else 1)
-        for part in np.array_split(rng.permutation(len(usable)), max(1, len(usable) // BATCH)):
+            top = order[np.maximum(bounds[1:] - 1, 0)]
+            chosen = top[usable]
+            if len(held) and (loss := weighted_loss(logits[top[held]], label[held], weight)) < best:
+                best, kept = loss, {k: v.copy() for k, v in model.items()}
+        rate = RATE * (0.3 if epoch >= epochs * 0.6 else 1)
+        for part in np.array_split(rng.permutation(len(usable)), batches):
             own = chosen[part]
-            _, grad = gradients(model, found, first[own], count[own], label[usable[part]])
+            _, grad = gradients(model, found, first[own], count[own], label[usable[part]], weight)
             step += 1
             for name, g in grad.items():
                 mean, square = moved[name]
@@ -246,6 +280,11 @@ def learn(texts: list[str], labels: list[int], seed: int = 5) -> dict:
                     mean[...] = 0.9 * mean + 0.1 * g
                     square[...] = 0.99 * square + 0.01 * g**2
                     model[name] -= rate * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
+    if len(held):
+        logits = window_logits(model, found, first, count)
+        top = np.lexsort((logits, row))[np.maximum(bounds[1:] - 1, 0)]
+        if kept is not None and weighted_loss(logits[top[held]], label[held], weight) >= best:
+            model = kept
     return model
 
 
