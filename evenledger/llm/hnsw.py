@@ -2,8 +2,10 @@
 
 Vectors are dealt into shards of bounded size, and a graph of layers is built for each: a node's top layer is drawn
 from its id, it is linked to diverse near nodes of every layer below. Every vector is searched in every shard, from the
-top layer down. Beams widen while most of what they hold is linked, and the whole block is searched again with wider
-beams until an audit against brute force passes. Cosines are verified in double precision before a link counts.
+top layer down. An audit plants queries just within the bound beside known nodes, and the beams of a block widen until
+it passes. Where more than half of a beam is linked, as in a large group of near copies, the vector is compared with
+the whole shard instead. Cosines are verified in double precision before a link counts, and a link that one end finds
+counts at both.
 """
 
 from __future__ import annotations
@@ -16,14 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import saved
+from evenledger.llm.common import drop_saved, saved
 from evenledger.llm.graph import components
 from evenledger.llm.hashing import mix
-from evenledger.llm.vectors import classes, matrix, usable
+from evenledger.llm.vectors import classes, matrix, usable, usable_vector
 
 SHARD_ROWS, LEAST_SHARDS, BLOCK_ROWS = 50_000, 6, 4096
 LINKS, BASE_LINKS, BRIDGES, BUILD_BEAM, BEAM = 12, 24, 12, 48, 48
-AUDITED, AUDIT_RECALL = 48, 0.99
+#: Planted queries of an audit, how far within the bound they lie, and the share that must find their node.
+AUDITED, AUDIT_MARGIN, AUDIT_RECALL = 200, 0.002, 0.995
+#: Vectors compared with a whole shard at once.
+TOGETHER = 32
 #: A block whose audit fails even with this beam is compared with the whole shard.
 WIDEST = 1024
 
@@ -82,8 +87,8 @@ class Graph:
                         break
                 spread(np.array([node]))
 
-    def _beam(self, q: np.ndarray, start: np.ndarray, layer: int, width: int, least: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, cosines) of the beam; it widens while half of it reaches ``least``."""
+    def _beam(self, q: np.ndarray, start: np.ndarray, layer: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, cosines) of the beam."""
         self.clock += 1
         near, unit, stamp = self.near[layer], self.unit, self.stamp
         found = np.unique(start)
@@ -93,8 +98,6 @@ class Graph:
         while True:
             at = np.flatnonzero(fresh)
             if not len(at):
-                if least <= 1 and np.count_nonzero(score >= least) * 2 > width:
-                    return self._widened(q, layer, found, score, least, least - 0.05 * width / BEAM)
                 return found, score
             if len(at) > 8:
                 at = at[np.argpartition(-score[at], 8)[:8]]
@@ -114,22 +117,6 @@ class Graph:
                 top = np.argpartition(-score, width - 1)[:width]
                 found, score, fresh = found[top], score[top], fresh[top]
 
-    def _widened(self, q, layer, found, score, least, reach):
-        """Goes on from a beam whose links may reach beyond it, to every node that comes over ``reach``."""
-        near, unit, stamp = self.near[layer], self.unit, self.stamp
-        self.clock += 1
-        stamp[found] = self.clock
-        front = found[score >= reach]
-        while len(front):
-            more = near[front].ravel()
-            more = more[more >= 0]
-            more = np.unique(more[stamp[more] != self.clock])
-            stamp[more] = self.clock
-            gain = unit[more] @ q
-            found, score = np.concatenate((found, more)), np.concatenate((score, gain))
-            front = more[gain >= reach]
-        return found, score
-
     def _descend(self, q: np.ndarray, to: int) -> np.ndarray:
         at = np.array([self.entry])
         for layer in range(int(self.level[self.entry]), to, -1):
@@ -178,10 +165,11 @@ class Graph:
         if top > self.level[self.entry]:
             self.entry = node
 
-    def search(self, q: np.ndarray, width: int, least: float) -> np.ndarray:
-        """Nodes whose cosine reaches ``least``, as far as the beam finds them."""
-        found, score = self._beam(q, self._descend(q, 0), 0, width, least)
-        return found[score >= least]
+    def search(self, q: np.ndarray, width: int, least: float) -> np.ndarray | None:
+        """Nodes whose cosine reaches ``least``, as far as the beam finds them; None if they fill more than half of it."""
+        found, score = self._beam(q, self._descend(q, 0), 0, width)
+        found = found[score >= least]
+        return found if 2 * len(found) <= width else None
 
 
 def unit_rows(v: np.ndarray) -> np.ndarray:
@@ -192,11 +180,11 @@ def unit_rows(v: np.ndarray) -> np.ndarray:
 
 def build(table: pa.Table) -> pa.Table:
     """The graph of one shard, packed."""
-    table = table.sort_by("rep")
+    table = table.sort_by("id")
     v = unit_rows(matrix(table.column("v").combine_chunks()))
-    graph = Graph(np.asarray(table.column("rep")), v.astype(np.float32))
+    graph = Graph(np.asarray(table.column("id")), v.astype(np.float32))
     packed = pickle.dumps({"near": graph.near, "level": graph.level, "entry": graph.entry})
-    return pa.table({"shard": table.column("shard")[:1], "dim": table.column("dim")[:1], "ids": pa.array([table.column("rep").to_pylist()]), "copies": pa.array([table.column("copies").to_pylist()]), "vectors": pa.array([v.tobytes()]), "graph": pa.array([packed])})
+    return pa.table({"shard": table.column("shard")[:1], "dim": table.column("dim")[:1], "ids": pa.array([table.column("id").to_pylist()]), "copies": pa.array([table.column("copies").to_pylist()]), "vectors": pa.array([v.tobytes()]), "graph": pa.array([packed])})
 
 
 def loaded(ids, v, packed) -> Graph:
@@ -207,91 +195,139 @@ def loaded(ids, v, packed) -> Graph:
     return graph
 
 
-def roots_of(edges: np.ndarray) -> np.ndarray:
-    """A spanning forest of some edges."""
-    parent: dict[int, int] = {}
+def planted(unit: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, queries): nodes spread over the shard, each with a query at the given cosine in a random direction."""
+    nodes = np.unique(np.linspace(0, len(unit) - 1, min(AUDITED, len(unit))).astype(np.int64))
+    base = unit[nodes].astype(np.float64)
+    side = np.random.default_rng(17).normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    length = np.linalg.norm(side, axis=1, keepdims=True)
+    side = np.divide(side, length, out=np.zeros_like(side), where=length > 0)
+    return nodes, (cosine * base + (1 - cosine**2) ** 0.5 * side).astype(np.float32)
+
+
+def audited_width(graph: Graph, least: float) -> int:
+    """The first beam that finds enough of the planted queries' nodes; over ``WIDEST`` where none does."""
+    nodes, queries = planted(graph.unit, min(1.0, least + AUDIT_MARGIN))
+    width = BEAM
+    while width <= WIDEST:
+        hits = 0
+        for node, q in zip(nodes, queries):
+            got = graph.search(q, width, least - 1e-4)
+            hits += got is None or bool((got == node).any())
+        if hits >= AUDIT_RECALL * len(nodes):
+            break
+        width *= 2
+    return width
+
+
+class Forest:
+    """Which nodes of a shard are known to be connected; ``edges`` holds one edge for each thing learnt."""
 
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.root, self.edges = ids, np.arange(len(ids)), []
 
-    out = []
-    for a, b in edges.tolist():
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return np.array(out, dtype=np.int64).reshape(-1, 2)
+    def join(self, own: int, found: np.ndarray) -> None:
+        roots, first = np.unique(self.root[found], return_index=True)
+        if len(roots) > 1:
+            self.root[np.isin(self.root, roots)] = roots[0]
+        self.edges += [(own, int(self.ids[at])) for at in found[first]]
+
+
+PAIR, COUNT, EDGE = 0, 1, 2
 
 
 def link_batches(batches, least: float):
-    """(a, b, n): the number of links of vector a in a shard (b null), and edges enough to connect what is linked."""
+    """What the vectors of a block find in a shard, as (a, b, n, kind).
+
+    PAIR: a link. COUNT: that vector a has n links in shard b, for a vector that was compared with all of it; its links
+    are not listed, but EDGE rows connect what they connect.
+    """
     for batch in batches:
         for r in range(batch.num_rows):
             ids, copies = (np.asarray(batch.column(c)[r].values) for c in ("ids", "copies"))
             v = np.frombuffer(batch.column("vectors")[r].as_py(), dtype=np.float64).reshape(len(ids), -1)
             own = np.asarray(batch.column("own")[r].values)
             queries = unit_rows(matrix(batch.column("own_v")[r].values))
+            shard = batch.column("shard")[r].as_py()
             graph = loaded(ids, v, batch.column("graph")[r].as_py())
             q32 = queries.astype(np.float32)
-            audit = np.unique(np.linspace(0, len(own) - 1, min(AUDITED, len(own))).astype(np.int64))
-            exact = (q32[audit] @ graph.unit.T) >= least
-            width = BEAM
-            while width <= WIDEST:
-                met = hit = 0
-                for k, wanted in zip(audit, exact):
-                    got = graph.search(q32[k], width, least)
-                    met, hit = met + wanted.sum(), hit + wanted[got].sum()
-                if hit >= AUDIT_RECALL * met:
-                    break
-                width *= 2
-            counts, edges = [], []
+            width = audited_width(graph, least)
+            forest, dense, pairs, counts = Forest(ids), [], [], []
+
+            def verified(k, got):
+                return got[(v[got] @ queries[k] >= least) & (ids[got] != own[k])]
+
             for k in range(len(own)):
-                got = graph.search(q32[k], width, least - 1e-4) if width <= WIDEST else np.flatnonzero(graph.unit @ q32[k] >= least - 1e-4)
-                if len(got):
-                    got = got[(v[got] @ queries[k] >= least) & (ids[got] != own[k])]
+                got = graph.search(q32[k], width, least - 1e-4) if width <= WIDEST else None
+                if got is None:
+                    dense.append(k)
+                elif len(got := verified(k, got)):
+                    pairs.append(np.stack([np.full(len(got), own[k]), ids[got]]))
+            for at in range(0, len(dense), TOGETHER):
+                some = dense[at : at + TOGETHER]
+                near = q32[some] @ graph.unit.T >= least - 1e-4
+                for k, row in zip(some, near):
+                    got = verified(k, np.flatnonzero(row))
+                    counts.append((own[k], copies[got].sum()))
                     if len(got):
-                        counts.append((own[k], copies[got].sum()))
-                        edges.append(np.stack([np.full(len(got), own[k]), ids[got]], axis=1))
+                        forest.join(int(own[k]), got)
+            for kind, found in ((PAIR, np.concatenate(pairs, axis=1).T if pairs else ()), (EDGE, forest.edges)):
+                if len(found):
+                    a, b = np.asarray(found, dtype=np.int64).T
+                    yield rows_of(a, b, np.zeros(len(a), np.int64), kind)
             if counts:
-                a, n = zip(*counts)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array([None] * len(a), pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
-                tree = roots_of(np.concatenate(edges))
-                yield pa.RecordBatch.from_arrays([pa.array(tree[:, 0]), pa.array(tree[:, 1]), pa.array(np.zeros(len(tree), np.int64))], names=["a", "b", "n"])
+                a, n = (np.array(c, dtype=np.int64) for c in zip(*counts))
+                yield rows_of(a, np.full(len(a), shard, np.int64), n, COUNT)
+
+
+def rows_of(a: np.ndarray, b: np.ndarray, n: np.ndarray, kind: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n), pa.array(np.full(len(a), kind, np.int32))], names=["a", "b", "n", "kind"])
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id (smallest linked vec_id, itself included), kept (vec_id = component_id) of every row.
 
     Null, empty and zero vectors and those with null or non-finite components link with nothing; so do vectors of
-    different lengths. Equal vectors are one class, searched once. Keys must be distinct.
+    different lengths. A row with a null id links with nothing either and has a null component. An id given twice is two
+    vectors, each with its own links. Equal vectors are one class, searched once.
 
-    A shard has at most about ``SHARD_ROWS`` classes; each is met by all classes in blocks, of which only counts and
-    edges of a spanning forest leave the task.
+    A shard has at most about ``SHARD_ROWS`` classes; each is met by all classes in blocks. Links leave a task one by
+    one only where a vector has few in the shard; of others their number leaves it, and edges enough to connect what
+    they link.
     """
     rows = usable(vectors, key, vector)
-    same = saved(classes(rows), "vectors").withColumn("dim", F.size("v"))
+    same = classes(rows.where("vec_id is not null")).withColumn("id", F.monotonically_increasing_id())
+    same = saved(same, "vectors").withColumn("dim", F.size("v"))
     n = same.count()
     shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))
-    placed = same.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
+
+    def shard_of(c):
+        return F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
+
+    placed = same.withColumn("shard", shard_of("id"))
     graphs = placed.groupBy("dim", "shard").applyInArrow(build, "shard int, dim int, ids array<long>, copies array<long>, vectors binary, graph binary")
     graphs = saved(graphs, "graphs")
     blocks = max(LEAST_SHARDS, -(-n // BLOCK_ROWS))
-    asked = same.groupBy("dim", F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("rep", "v")).alias("own"))
-    asked = asked.select("dim", "block", F.col("own.rep").alias("own"), F.col("own.v").alias("own_v"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    asked = same.groupBy("dim", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("own"))
+    asked = asked.select("dim", "block", F.col("own.id").alias("own"), F.col("own.v").alias("own_v"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     tasks = asked.join(graphs, ["dim", "shard"]).drop("dim").repartition(max(1, shards * blocks), "shard", "block")
-    found = saved(tasks.mapInArrow(partial(link_batches, least=least), "a long, b long, n long"), "links")
-    counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    linked = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
-    known = same.join(counts, "rep", "left").join(linked, "rep", "left").select(
-        "v", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
-    )
-    every = vectors.select(F.col(f"`{key}`").alias("vec_id"))
-    found = every.join(rows.join(known, "v").drop("v"), "vec_id", "left")
-    return found.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"),
+    found = saved(tasks.mapInArrow(partial(link_batches, least=least), "a long, b long, n long, kind int"), "links")
+    drop_saved(graphs)
+
+    one_way = found.where(F.col("kind") == PAIR).select("a", "b")
+    dense = found.where(F.col("kind") == COUNT).select("a", F.col("b").cast("int").alias("shard"), "n")
+    both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().withColumn("shard", shard_of("b"))
+    open_pairs = both.join(dense.select("a", "shard"), ["a", "shard"], "left_anti")
+    weighed = open_pairs.join(same.select(F.col("id").alias("b"), "copies"), "b").select("a", F.col("copies").alias("n"))
+    counts = weighed.unionByName(dense.select("a", "n")).groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    linked = components(found.where(F.col("kind") != COUNT).select("a", "b")).withColumnRenamed("node", "id")
+    smallest = linked.join(same.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("component_id"))
+    known = same.join(counts, "id", "left").join(linked, "id", "left").join(smallest, "component", "left").select(
+        "v", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")
     )
+    with_vector = rows.where("vec_id is not null").join(known, "v").select("vec_id", "n_links", "component_id")
+    id_, fits = F.col(f"`{key}`"), usable_vector(vector)
+    others = vectors.where(id_.isNull() | ~fits).select(id_.alias("vec_id"), F.lit(0).cast("long").alias("n_links"), id_.alias("component_id"))
+    every = with_vector.unionByName(others)
+    return every.withColumn("kept", F.col("vec_id") == F.col("component_id"))

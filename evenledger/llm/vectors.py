@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(vec_id, v array<double>) of vectors that are not null, empty or zero and have no null or non-finite component."""
+def usable_vector(vector: str):
+    """True for a vector that is not null, empty or zero and has no null or non-finite component."""
     v = F.col(f"`{vector}`").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
-    return vectors.select(F.col(f"`{key}`").alias("vec_id"), F.when(F.size(v) > 0, v).alias("v")).where(F.coalesce(fine & F.col("v").isNotNull(), F.lit(False)))
+    return F.coalesce(fine & (F.size(v) > 0), F.lit(False))
+
+
+def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+    """(vec_id, v array<double>) of the rows with a usable vector."""
+    return vectors.where(usable_vector(vector)).select(F.col(f"`{key}`").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
 
 
 def classes(rows: DataFrame) -> DataFrame:

@@ -112,3 +112,30 @@ def test_search_recall_beyond_the_least_budget(spark, tmp_path):
         hit += len(got[q] & set(np.argsort(-score)[:20].tolist()))
         total += 20
     assert hit / total >= 0.9
+
+
+def test_links_count_at_both_ends_beside_a_hot_group(spark):
+    """Planted pairs just within the bound, a large group of near copies, repeated and null ids."""
+    rng = np.random.default_rng(8)
+    unit = rng.normal(size=(5000, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    side = rng.normal(size=(400, 32))
+    side -= (side * unit[:400]).sum(axis=1, keepdims=True) * unit[:400]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.951, 0.975, size=(400, 1))
+    pairs = cosine * unit[:400] + np.sqrt(1 - cosine**2) * side
+    hot = unit[4999] + rng.normal(size=(2500, 32)) * 0.01
+    every = np.concatenate([unit, pairs, hot])
+    given = [(k, [float(x) for x in v], 0, 0, "x") for k, v in enumerate(every)]
+    given += [(7, given[9][1], 0, 0, "x"), (None, given[3][1], 0, 0, "x"), (None, None, 0, 0, "x")]
+    got = near_duplicates(spark.createDataFrame(given, SCHEMA.replace("float", "double")).repartition(4)).collect()
+    assert len(got) == len(given)
+    normal = every / np.linalg.norm(every, axis=1, keepdims=True)
+    links = [set(np.flatnonzero(normal @ v >= 0.95).tolist()) - {k} for k, v in enumerate(normal)]
+    by_id = {r.vec_id: r for r in got if r.vec_id is not None and r.vec_id != 7}
+    wrong = {k: (r.n_links, len(links[k])) for k, r in by_id.items() if r.n_links != len(links[k]) + (9 in links[k] | {k})}
+    assert not wrong
+    assert sum(r.n_links for r in by_id.values()) > 2500 * 2499
+    assert sorted(r.n_links for r in got if r.vec_id == 7) == sorted([len(links[7]), len(links[9]) + 1])
+    assert all(r.n_links == 0 and r.component_id is None and r.kept is None for r in got if r.vec_id is None)
+    assert {by_id[k].component_id for k in range(5400, len(every))} == {4999}
