@@ -69,6 +69,17 @@ def likely_in(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return met.where(F.floor(byte / F.pow(F.lit(2.0), bit % 8)) % 2 == 1).select(*df.columns)
 
 
+def numbered(docs: DataFrame, out: str = "_row") -> DataFrame:
+    """The table with a number for each row, by which rows with null or repeated keys are told apart.
+
+    Rows of a table of files have the same place in it each time it is read; any other table is saved first.
+    """
+    read = docs._jdf.queryExecution().analyzed()
+    if not (read.children().isEmpty() and docs.inputFiles()):
+        docs = saved(docs, "numbered")
+    return docs.withColumn(out, F.monotonically_increasing_id())
+
+
 def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone, so that no other column of the table can clash; the text of a null is empty."""
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import drop_saved, saved, small_batches, text_rows
+from evenledger.llm.common import drop_saved, numbered, saved, small_batches, text_rows
 from evenledger.llm.hashing import buffer_of, mix, powers, prefix_sums, span_hashes
 
 STEP_BYTES = 1 << 19
@@ -167,7 +167,11 @@ def removed_mask(size: int, spans: pa.StructArray | None) -> np.ndarray:
 
 
 def with_spans(docs: DataFrame, length: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return text_rows(docs, key, text).join(repeated(docs, length, key, text), "doc_id", "left")
+    """doc_id, text and spans of every row; keys may be null or repeated, a row given twice is two texts."""
+    rows = numbered(docs)
+    spans = repeated(rows, length, "_row", text).withColumnRenamed("doc_id", "_row")
+    texts = rows.select("_row", F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    return texts.join(spans, "_row", "left").drop("_row")
 
 
 def cut_batches(batches, digest):
@@ -211,8 +215,12 @@ def text_batches(batches, text):
         yield batch.set_column(at, text, pa.array(out, pa.string())).drop_columns(["_spans"])
 
 
-def cut_texts(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The table with all its columns, its texts without the bytes that ``repeated`` covers; nulls stay null."""
-    spans = repeated(docs, length, key, text).toDF("_key", "_spans")
-    rows = docs.join(spans, docs[key] == spans["_key"], "left").select(*[docs[c] for c in docs.columns], "_spans")
-    return rows.mapInArrow(partial(text_batches, text=text), docs.schema)
+def cut_texts(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame:
+    """The table with all its columns, its texts without the bytes that ``repeated`` covers; nulls stay null.
+
+    No copy of a repeated passage stays, the first one neither. Rows are told apart by their place in the table.
+    """
+    rows = numbered(docs)
+    spans = repeated(rows, length, "_row", text).toDF("_key", "_spans")
+    found = rows.join(spans, rows["_row"] == spans["_key"], "left").select(*[rows[c] for c in docs.columns], "_spans")
+    return found.mapInArrow(partial(text_batches, text=text), docs.schema)

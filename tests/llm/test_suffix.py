@@ -88,3 +88,13 @@ def test_query_digest(spark, tmp_path):
         assert got[key].n_bytes == len(raw) and got[key].n_removed == len(gone[key])
         assert got[key].kept_sha256 == hashlib.sha256(left).hexdigest()
     assert got[1].n_spans == 1 and got[2].n_spans == 0
+
+
+def test_null_and_repeated_keys(spark, tmp_path):
+    from evenledger.llm.queries import op8_suffix
+
+    same, other = "x1 " + "abcdefg hij " * 50, "Q" + "zyxwvut srq" * 60
+    rows = [(1, same), (1, other), (None, same), (None, None), (2, "short"), (3, other + "!")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.text) for r in op8_suffix(spark, str(tmp_path)).collect())
+    assert got == sorted([(1, len(same), len(same), ""), (1, len(other), len(other), ""), (0, len(same), len(same), ""), (0, 0, 0, ""), (2, 5, 0, "short"), (3, len(other) + 1, len(other), "!")])
