@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import saved
+from evenledger.llm.common import numbered, saved
 from evenledger.llm.lines import drop_boilerplate
 from evenledger.llm.minhash import near_duplicates
 from evenledger.llm.packing import pack
@@ -18,7 +18,7 @@ from evenledger.llm.queries import tokenizer_path
 from evenledger.llm.suffix import cut_texts
 from evenledger.llm.toxicity import drop_toxic, fit
 
-#: A passage of over 50 words is longer than this many bytes in any of the corpus's languages.
+#: Bytes of a passage that is cut; one of over 50 words is longer but for rare ones of very short words (README).
 PASSAGE_BYTES = 200
 
 
@@ -29,17 +29,6 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The table with a number for each row in ``_row``; doc_id may be null or repeated.
-
-    Rows of a table of files have the same place in it each time it is read; any other table is saved first.
-    """
-    read = docs._jdf.queryExecution().analyzed()
-    if not (read.children().isEmpty() and docs.inputFiles()):
-        docs = saved(docs, "keyed")
-    return docs.withColumn("_row", F.monotonically_increasing_id())
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go; the network learns from a bounded sample of all labelled documents."""
     return drop_toxic(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), threshold=0.5)
@@ -56,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by their number: of several with the smallest id the first stays, a null id comes last.
     """
-    rows = _keyed(docs)
+    rows = numbered(docs)
     found = near_duplicates(rows, size=5, percent=80, key="_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
     kept = rows.select("_row", "doc_id").join(found, "_row").groupBy("_component").agg(F.min_by("_row", order).alias("_row"))
@@ -64,8 +53,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that also stand elsewhere are cut out of every document that has them."""
-    return _measured(cut_texts(_keyed(docs), length=PASSAGE_BYTES, key="_row"), docs.columns)
+    """Passages that also stand elsewhere are cut out of every document that has them; no copy stays, the first one neither."""
+    return _measured(cut_texts(docs, length=PASSAGE_BYTES), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
