@@ -10,7 +10,7 @@ precision.
 from __future__ import annotations
 
 import heapq
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -228,17 +228,23 @@ def nearest(vectors: DataFrame, asked, k: int = 20, key: str = "vec_id", vector:
     """query_id, rank, vec_id, score: the k rows with the largest inner product found for every row where ``asked`` holds.
 
     ``asked`` is a Column over ``vec_id``. A query is never its own neighbour. Ties go to the smaller vec_id. Null, empty
-    and zero vectors, those with null or non-finite components and those of another length take no part; only the
-    length that most vectors have is searched. With fewer than k candidates all are returned.
+    and zero vectors, those with null or non-finite components and rows with a null id take no part. Vectors are
+    searched among those of their own length, each length by a forest of its own. With fewer than k candidates all are
+    returned, with none no row.
 
     Equal vectors are one point with its k + 1 smallest ids, so a vector that a third of the rows share stays small;
     queries are points too. A leaf's vectors and queries meet in blocks. The budget is widened until the audited
     queries have the asked recall, so a search may read much of a table whose vectors have no clusters.
     """
-    spark = vectors.sparkSession
-    rows = usable(vectors, key, vector)
-    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("m"), "n").limit(1).collect()
-    rows = rows.where(F.size("v") == (sizes[0].n if sizes else 0))
+    rows = usable(vectors, key, vector).where("vec_id is not null")
+    lengths = sorted(r.n for r in rows.select(F.size("v").alias("n")).distinct().collect())
+    found = [_nearest(rows.where(F.size("v") == n), asked, k) for n in lengths or [0]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, asked, k: int) -> DataFrame:
+    """``nearest`` over usable vectors of one length."""
+    spark = rows.sparkSession
     first = Window.partitionBy("v").orderBy("vec_id")
     listed = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
     points = saved(listed.groupBy("v").agg(F.min("vec_id").alias("point"), F.array_sort(F.collect_list("vec_id")).alias("ids")), "points")

@@ -139,3 +139,17 @@ def test_links_count_at_both_ends_beside_a_hot_group(spark):
     assert sorted(r.n_links for r in got if r.vec_id == 7) == sorted([len(links[7]), len(links[9]) + 1])
     assert all(r.n_links == 0 and r.component_id is None and r.kept is None for r in got if r.vec_id is None)
     assert {by_id[k].component_id for k in range(5400, len(every))} == {4999}
+
+
+def test_search_among_vectors_of_one_length(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    given = [(k, [float(x) for x in rng.normal(size=8 if k % 4 else 5)], 0, 0, "x") for k in range(200)] + [(400, [1.0, 2.0], 0, 0, "x"), (None, [0.5] * 8, 0, 0, "x")]
+    spark.createDataFrame(given, SCHEMA.replace("float", "double")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {}
+    for r in op7_forest(spark, str(tmp_path)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    fine = {k: np.array(v) for k, v, *_ in given if k is not None}
+    assert set(got) == {k for k in range(0, 200, 20)}
+    for q, found in got.items():
+        want = sorted(((float(fine[q] @ v), k) for k, v in fine.items() if k != q and len(v) == len(fine[q])), key=lambda x: (-x[0], x[1]))[:20]
+        assert [k for _, k, _ in sorted(found)] == [k for _, k in want]
