@@ -146,7 +146,10 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, key: str
     """doc_id, n_shingles, component_id (smallest linked doc_id, itself included), kept (doc_id = component_id).
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their sets of ``size``-word shingles.
-    Null and empty texts and texts without words have an empty set and stand alone. Keys must be distinct.
+    Sets hold 64-bit hashes of shingles. Null and empty texts and texts without words have an empty set and stand alone.
+    Rows that share an id must share its text and are then one document given several times; a row with a null id gets
+    the component of its text and a null ``kept``. Where ids may be repeated at will, number the rows first
+    (``common.numbered``), as the pipeline does.
 
     Documents with the same set are one class first, whose smallest id stands for it. In each band bucket every class
     is compared with the bucket's hub (the class that meets most others), then classes outside the bucket's largest
