@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
@@ -85,8 +86,17 @@ def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
 
+def release_memory() -> None:
+    """Gives memory that a worker no longer uses back to the system: workers live on, and their neighbours need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts have about ``size`` bytes; a longer text makes a batch of its own."""
+    release_memory()
     for batch in batches:
         if not batch.num_rows:
             continue

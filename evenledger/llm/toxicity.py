@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import small_batches, text_rows
+from evenledger.llm.common import release_memory, small_batches, text_rows
 from evenledger.llm.hashing import SPACES, buffer_of, mix, words
 
 WINDOW, STRIDE = 64, 32
 HIDDEN, ATTENTION = 8, 8
 WORD_ROWS, WORD_SIZE, CHAR_ROWS, CHAR_SIZE = 1 << 15, 8, 1 << 13, 12
 TEXT_BYTES = 1 << 20
-WINDOWS_AT_ONCE = 2048
+WINDOWS_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 14
 #: At most so many labelled texts of either class are learned from, none over so many bytes; taken by hash of the id.
 POSITIVE, NEGATIVE, SAMPLE_BYTES = 1500, 2500, 1 << 16
 #: Texts of a step, fewer where there are under 640 texts, and the rate of learning.
@@ -89,7 +89,11 @@ def embedded(model: dict, found: Words) -> np.ndarray:
     """Vector of each distinct word."""
     if not len(found.bucket):
         return np.zeros((0, WORD_SIZE + CHAR_SIZE), dtype=np.float32)
-    sums = np.add.reduceat(model["chars"][found.grams], found.gram_starts, axis=0)
+    sums = np.empty((len(found.bucket), CHAR_SIZE), dtype=model["chars"].dtype)
+    for a in range(0, len(sums), WORDS_AT_ONCE):
+        starts = found.gram_starts[a : a + WORDS_AT_ONCE]
+        end = starts[-1] + found.gram_counts[a + len(starts) - 1]
+        sums[a : a + WORDS_AT_ONCE] = np.add.reduceat(model["chars"][found.grams[starts[0] : end]], starts - starts[0], axis=0)
     return np.concatenate([model["words"][found.bucket], sums / found.gram_counts[:, None]], axis=1)
 
 
@@ -237,6 +241,7 @@ def learn(texts: list[str], labels: list[int], seed: int = 5) -> dict:
     """
     model = start(seed)
     found = Words(pa.array(texts, pa.string()))
+    release_memory()
     row, first, count = found.windows()
     if not len(row):
         return model
@@ -324,6 +329,7 @@ def learn_batches(batches):
     if rows:
         _, texts, given = zip(*rows)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(list(texts), list(given)))], pa.binary())], names=["model"])
+        release_memory()
 
 
 def score_texts(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
