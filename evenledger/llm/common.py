@@ -22,8 +22,20 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED).rstrip("/")
 
 
+#: Bytes of an Arrow batch between Spark and its workers; with Spark's own 64 MiB a few long texts fill an executor.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's batch size to ``BATCH_BYTES`` where it is larger. Results do not depend on it."""
+    now = spark.conf.get(BATCH_SETTING).lower().rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: lineage ends here, and a lost executor costs no rework."""
+    bound_batches(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     release_shuffles(df.sparkSession)
@@ -83,6 +95,7 @@ def numbered(docs: DataFrame, out: str = "_row") -> DataFrame:
 
 def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone, so that no other column of the table can clash; the text of a null is empty."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
 
