@@ -415,3 +415,14 @@ def test_numbers_and_moments_by_the_short_way(spark):
     rows = times.select(canonical_value(F.col("n"), times.schema["n"].dataType).alias("n"), canonical_value(F.col("z"), times.schema["z"].dataType).alias("z")).collect()
     want = ["2026-01-02T03:04:05.000", "2026-01-02T03:04:05.100", "1999-12-31T23:59:59.123", "0001-01-01T00:00:00.010"]
     assert [(r.n, r.z) for r in rows] == [(f"TIMESTAMP:{w}", f"INSTANT:{w}Z") for w in want]
+
+
+def test_json_that_goes_on_is_rejected(spark):
+    from evenledger.sources.scan import scan_json_docs
+
+    valid = ["1", " -1.5e+3 ", '"a\\""', "true", "{}\n", '[1, "]"]', "[" * 1000 + "]" * 1000, "null"]
+    invalid = ["12 months", "12 3", '"a" b', '"a" "b"', "true false", "{} {}", "{} x", "[1] ]", "{}}", "{}\x0c", "null,"]
+    df = spark.createDataFrame([(t,) for t in [*valid, *invalid]], "c string")
+    got = {r.c: r for r in scan_json_docs(df, "c").select("c", "docStatus", F.col("json").isNull().alias("none")).collect()}
+    assert [t for t in valid if got[t].docStatus != "VALID" or got[t].none] == []
+    assert [t for t in invalid if got[t].docStatus != "INVALID" or not got[t].none] == []
