@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenledger.functions.chain import blank, filled, first_match, first_verdict
@@ -12,6 +12,7 @@ from evenledger.functions.text import placeholder_count, select_flags
 from evenledger.operators.eligibility import case_eligibility
 from evenledger.operators.ranking import dedupe
 from evenledger.operators.skew import lookup_join
+from evenledger.sources.sink import scratch_path
 
 REQUEST_VERSION = "v2"
 TOP_SLOWEST = 20
@@ -60,17 +61,39 @@ def select_cases(
     include: list[str] = (),
     order: str = "_pos",
 ) -> DataFrame:
-    """Top-N slowest groups and the requested ones, each once, with the reason."""
+    """Top-N slowest groups and the requested ones, each once, with the reason. Starts the jobs that find them.
+
+    Every selected case is a run of the timing tool, so there are few and they may be broadcast.
+    """
+    spark = df.sparkSession
     eligible = case_eligibility(case_columns(df), require_match).where("eligible").drop("eligible", "ineligibleReason")
-    chosen = representative_sample(eligible, default, order)
+    # Representatives are told by few columns; the wide rows of the selected ones alone are fetched afterwards.
+    place = ["sqlGroupKey", "sampleIndex", order]
+    narrow = eligible.select(*place, "rankingTimeMs", _listed(list(include)).alias("_manual"))
+    chosen = representative_sample(narrow, default, order)
     # ``top`` rows at most, so this side is safe to broadcast.
     slow = top_slowest(chosen, top).select("sqlGroupKey", F.lit(True).alias("_top"))
-    marked = chosen.join(F.broadcast(slow), "sqlGroupKey", "left").withColumn("_manual", _listed(list(include)))
+    marked = chosen.join(F.broadcast(slow), "sqlGroupKey", "left")
     is_top = F.coalesce("_top", F.lit(False))
     reason = first_match(
         [(is_top & F.col("_manual"), "TOP_SLOWEST_AND_MANUAL_INCLUDE"), (is_top, "TOP_SLOWEST")], "MANUAL_INCLUDE"
     )
-    return marked.where(is_top | F.col("_manual")).withColumn("selectionReason", reason).drop("_top", "_manual")
+    picked = marked.where(is_top | F.col("_manual")).select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(place)], reason.alias("selectionReason"), F.col("_manual").alias("_p3"))
+    picked = _kept(spark, picked, "picked")
+    same = F.lit(True)
+    for i, c in enumerate(place):
+        same = same & F.col(c).eqNullSafe(F.col(f"_p{i}"))
+    # Rows that share their place are told apart as far as the list of ids tells them.
+    found = eligible.join(F.broadcast(picked), same & (_listed(list(include)) == F.col("_p3"))).drop("_p0", "_p1", "_p2", "_p3")
+    selected = representative_sample(found, default, order)
+    return _kept(spark, selected.select("sqlGroupKey", *[c for c in selected.columns if c != "sqlGroupKey"]), "selected")
+
+
+def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The few rows of selected cases, written once for their many readers."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def attach_selected(rows: DataFrame, selected: DataFrame) -> DataFrame:
@@ -81,7 +104,7 @@ def attach_selected(rows: DataFrame, selected: DataFrame) -> DataFrame:
         "selectionReason",
         case_id(F.col("effectiveSqlId"), F.col("sqlGroupKey")).alias("caseId"),
     )
-    return lookup_join(rows, chosen, ["sqlGroupKey"])
+    return rows.join(F.broadcast(chosen), "sqlGroupKey", "left")
 
 
 def case_status_row(
@@ -100,11 +123,11 @@ def case_status_row(
         F.col("errorCode").alias("_code"),
         F.col("errorMessage").alias("_error"),
     )
-    joined = lookup_join(case_eligibility(rows, require_match), result, ["caseId"])
+    joined = case_eligibility(rows, require_match).join(F.broadcast(result), "caseId", "left")
     broken = F.lit(None).cast("string")
     if requests is not None:
         failed = requests.where(F.col("requestStatus") != "READY").select("caseId", F.col("errorMessage").alias("_broken"))
-        joined, broken = lookup_join(joined, failed, ["caseId"]), F.col("_broken")
+        joined, broken = joined.join(F.broadcast(failed), "caseId", "left"), F.col("_broken")
     own = F.col("sampleIndex") == F.col("selectedSampleIndex")
     text = lambda c: F.coalesce(c, F.lit(""))
     verdict = first_verdict(

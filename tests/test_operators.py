@@ -426,3 +426,16 @@ def test_json_that_goes_on_is_rejected(spark):
     got = {r.c: r for r in scan_json_docs(df, "c").select("c", "docStatus", F.col("json").isNull().alias("none")).collect()}
     assert [t for t in valid if got[t].docStatus != "VALID" or got[t].none] == []
     assert [t for t in invalid if got[t].docStatus != "INVALID" or not got[t].none] == []
+
+
+def test_wide_rows_stay_out_of_the_case_shuffles(spark):
+    """Selected cases are few: rows and their texts meet them by broadcast, ties and null places included."""
+    rows = [(f"key-{i % 7}", f"B{i % 7}", f"C{i % 7}", "SELECT", i % 3 or None, f"v{i}", "SELECT 1", "SELECT 1", "SUCCESS", "SUCCESS", "MATCH", i, i, i // 2) for i in range(60)]
+    names = "baselineKey baselineSqlId currentSqlId statementType sampleIndex parameterValues h2JdbcSql postgresJdbcSql h2ExecutionStatus postgresExecutionStatus sampleComparisonStatus h2ObservedTimeMs postgresObservedTimeMs _pos"
+    df = spark.createDataFrame(rows, names.split())
+    selected = cs.select_cases(df, 2, 2, include=["c1"])
+    got = {r.sqlGroupKey: (r.sampleIndex, r.selectionReason) for r in selected.collect()}
+    assert selected.count() == len(got) == 3 and got["key-1"] == (2, "MANUAL_INCLUDE") and all(i == 2 for i, _ in got.values())
+    shown = cs.attach_selected(cs.case_columns(df), selected)
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and shown.count() == 60
