@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenledger.functions.canonical import canonical_row, signature_of
-from evenledger.sources.sink import drop_path, scratch_path
+from evenledger.sources.sink import scratch_path
 
 
 @dataclass(frozen=True)
@@ -34,13 +34,18 @@ def _path(at: Column) -> Column:
     return F.lpad(F.hex(at.cast("long")), 16, "0")
 
 
+def _once(c: Column) -> Column:
+    """The column from a generator: Spark works it out once, and not again in every condition that it takes part in."""
+    return F.explode(F.array(c))
+
+
 def tree_rows(
-    df: DataFrame, by: list[str] = (), columns: list[str] | None = None, scale: int | None = None, at: str | None = None, keep: list[str] = ()
+    df: DataFrame, by: list[str] = (), columns: list[str] | None = None, scale: int | None = None, at: str | None = None, keep: list[str] = (), made=lambda c: c
 ) -> DataFrame:
     """by, keep, ``_row`` (canonical text), ``_digest`` and ``_path``; ``at`` names the rows' positions where order counts."""
     chosen = columns or [c for c in df.columns if c not in (*by, at)]
-    rows = df.select(*by, *keep, canonical_row(df, chosen, scale).alias("_row"), *([F.col(at).alias("_at")] if at else []))
-    rows = rows.withColumn("_digest", F.sha2("_row", 256))
+    rows = df.select(*by, *keep, made(canonical_row(df, chosen, scale)).alias("_row"), *([F.col(at).alias("_at")] if at else []))
+    rows = rows.withColumn("_digest", made(F.sha2("_row", 256)))
     return rows.withColumn("_path", _path(F.col("_at"))).drop("_at") if at else rows.withColumn("_path", F.col("_digest"))
 
 
@@ -120,6 +125,38 @@ def save_leaves(df: DataFrame, path: str, by: list[str] = (), columns: list[str]
     return df.sparkSession.read.parquet(path)
 
 
+#: Bits of a row's place among the leaves of ``tree_diff``, and hexadecimal digits of each lane of their sums.
+PLACE_BITS, LANE, LANES = 26, 7, 4
+
+
+def _placed(rows: DataFrame, by: list[str], at: str | None) -> DataFrame:
+    """``_whole`` (SHA-256 of a row with its group and, where order counts, its position) and ``_leaf``, its first bits."""
+    extra = [*by, *(["_path"] if at else [])]
+    named = F.concat_ws("\n", F.to_json(F.array(*[F.col(c).cast("string") for c in extra])), "_digest")
+    whole = rows.withColumn("_whole", F.sha2(named, 256) if extra else F.col("_digest"))
+    return whole.withColumn("_leaf", F.shiftright(F.conv(F.substring("_whole", 1, 7), 16, 10).cast("int"), 28 - PLACE_BITS))
+
+
+def _marks(sides: list[DataFrame]) -> DataFrame:
+    """(_bucket, _bits): the leaves that differ, a bit each, at most 8 MiB whatever the tables' size.
+
+    The rows of both sides are added up leaf by leaf, those of the second with a minus, in lanes of the digests: one
+    shuffle of a few numbers a row, and equal leaves add up to zero.
+    """
+    lanes = [F.conv(F.substring("_whole", 8 + LANE * i, LANE), 16, 10).cast("long") for i in range(LANES)]
+    signed = [side.select("_leaf", F.lit(n).cast("long").alias("_n"), *[(x * n).alias(f"_l{i}") for i, x in enumerate(lanes)]) for side, n in zip(sides, (1, -1))]
+    names = ["_n", *[f"_l{i}" for i in range(LANES)]]
+    sums = signed[0].unionByName(signed[1]).groupBy("_leaf").agg(*[F.sum(c).alias(c) for c in names])
+    differ = F.greatest(*[F.abs(F.col(c)) for c in names]) > 0
+    place = F.col("_leaf").bitwiseAND(F.lit((1 << 15) - 1)).cast("long")
+    return sums.where(differ).groupBy(F.shiftright("_leaf", 15).alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+
+
+def _marked() -> Column:
+    """Whether the row's leaf has its bit."""
+    return F.expr("getbit(cast(conv(hex(substring(_bits, 1 + ((_leaf & 32767) >> 3), 1)), 16, 10) as int), _leaf & 7) = 1")
+
+
 def tree_diff(
     a: DataFrame,
     b: DataFrame,
@@ -132,26 +169,21 @@ def tree_diff(
     """(by, keys, kind, aCopies, bCopies, aRow, bRow): the rows that one side has more often than the other.
 
     kind is ONLY_A, ONLY_B or, where ``keys`` pair a row of each side, CHANGED; rows are canonical texts. Only rows of
-    differing leaves are compared, so a few changes in a large result cost two scans and a few small joins.
+    differing leaves are compared, so a few changes in a large result cost two scans and a few small joins. Both sides
+    are at hand, so leaves are told apart by sums of their rows' digests, which need no sort inside a leaf.
     Both sides need the same column names. Keys may be null; a key with several differing rows on both sides pairs all.
     """
     by, keys = list(by), list(keys)
-    shape = BY_POSITION if at else BY_CONTENT
     chosen = columns or [c for c in a.columns if c not in (*by, at)]
-    rows = [tree_rows(side, by, chosen, scale, at, [k for k in keys if k not in by]) for side in (a, b)]
+    rows = [tree_rows(side, by, chosen, scale, at, [k for k in keys if k not in by], _once) for side in (a, b)]
     spark = a.sparkSession
-    places = [scratch_path(spark, f"leaves-{name}") for name in "ab"]
-    for side, place in zip(rows, places):
-        tree_leaves(side, by, shape).write.parquet(place)
     found = scratch_path(spark, "differing")
-    differing_leaves(*[spark.read.parquet(place) for place in places], by, shape).write.parquet(found)
-    for place in places:
-        drop_path(spark, place)
-    bad = spark.read.parquet(found)
+    _marks([_placed(side, by, at) for side in rows]).write.parquet(found)
+    bad = F.broadcast(spark.read.parquet(found))
 
     kept, shown = [], [*by, *[k for k in keys if k not in by], "_path", "_digest", "_row"]
     for side, n in zip(rows, (1, -1)):
-        inside = _within(side.withColumn("branch", F.substring("_path", 1, shape.leaf)), bad, [*by, "branch"])
+        inside = _placed(side, by, at).join(bad, F.shiftright("_leaf", 15) == F.col("_bucket")).where(_marked())
         kept.append(inside.select(*shown, F.lit(n).alias("n")))
     counted = kept[0].unionByName(kept[1]).groupBy(*shown).agg(F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("aCopies"), F.sum(F.when(F.col("n") < 0, 1).otherwise(0)).alias("bCopies"))
     odd = counted.where("aCopies <> bCopies")

@@ -116,3 +116,27 @@ def test_second_print_is_its_own(spark):
     parts = result_fingerprint(frame(spark, [(1, "a", "x")]), columns=["v"]).first().resultPrint.split("-")
     row = spark.range(1).select(F.hex(F.xxhash64(F.lit("again"), F.lit("TEXT:a"))).alias("h")).first().h
     assert parts[-1] == row and one.first().first != one.first().second
+
+
+def test_diff_by_position_and_group_and_null(spark):
+    """Rows that change place, group or number are found, also where a key is null and texts hold separators."""
+    from evenledger.operators.merkle import tree_diff
+
+    a = [(None, 0, "x"), ("g", 1, "y"), ("g", 2, "y"), ('h","', 3, "z"), ("h", 4, "z")]
+    b = [("g", 0, "x"), ("g", 2, "y"), ("g", 1, "y"), ("h", 3, "z"), ('h","', 4, "z")]
+    df = lambda rows: spark.createDataFrame(rows, "g string, at long, v string")
+    moved = tree_diff(df(a), df(b), by=["g"], at="at").collect()
+    assert sorted((r.g or "", r.kind) for r in moved) == [("", "ONLY_A"), ("g", "ONLY_B"), ("h", "ONLY_A"), ("h", "ONLY_B"), ('h","', "ONLY_A"), ('h","', "ONLY_B")]
+    assert tree_diff(df(a), df(a[::-1]), by=["g"], at="at").count() == 0
+    copies = tree_diff(df(a).select("v"), df([*b, b[0]]).select("v")).collect()
+    assert [(r.kind, r.aCopies, r.bCopies) for r in copies] == [("ONLY_B", 1, 2)]
+
+
+def test_diff_shuffles_no_texts_of_equal_rows(spark):
+    """Leaves are told apart by numbers alone: no list, and no sorted list of digests, is made."""
+    from evenledger.operators import merkle as mk
+
+    rows = mk.tree_rows(spark.range(1000).withColumn("v", F.lit("text")))
+    marks = mk._marks([mk._placed(rows, [], None)] * 2)
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and marks.isEmpty()
