@@ -39,15 +39,32 @@ def aggregate_bindings(bindings: DataFrame, order: str = "_pos") -> DataFrame:
     index is the placeholder row of a statement without parameters and counts nothing.
     """
     at = F.col(order)
-    explicit = F.max(F.coalesce("bindingCount", F.lit(0)))
+    text = lambda c: F.when(filled(F.col(c)), F.trim(c))
+    rows = bindings.where(filled(F.col("sqlId"))).select(
+        "sqlId",
+        nonblank(F.col("bindingIndex").cast("string")).alias("_index"),
+        text("jdbcSql").alias("_text"),
+        text("bindingStatus").alias("_status"),
+        F.coalesce("bindingCount", F.lit(0)).alias("_explicit"),
+        at.alias("_at"),
+    )
+    # One shuffle and one sort serve both levels: an index of a statement, then the statement.
+    placed = rows.repartition("sqlId").sortWithinPartitions("sqlId", "_index")
+    first = lambda c, by: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(by)))
+    by_index = placed.groupBy("sqlId", "_index").agg(
+        F.min(F.when(F.col("_text").isNotNull(), F.col("_at"))).alias("_text_at"),
+        F.min(F.when(F.col("_status").isNotNull(), F.col("_at"))).alias("_status_at"),
+        first("_text", "_at").alias("_text"),
+        first("_status", "_at").alias("_status"),
+        F.max("_explicit").alias("_explicit"),
+    )
     return (
-        bindings.where(filled(F.col("sqlId")))
-        .groupBy("sqlId")
+        by_index.groupBy("sqlId")
         .agg(
-            F.min_by(F.trim("jdbcSql"), F.when(filled(F.col("jdbcSql")), at)).alias("jdbcSql"),
-            F.min_by(F.trim("bindingStatus"), F.when(filled(F.col("bindingStatus")), at)).alias("bindingStatus"),
-            explicit.alias("_explicit"),
-            F.count_distinct(nonblank(F.col("bindingIndex").cast("string"))).alias("_indexes"),
+            first("_text", "_text_at").alias("jdbcSql"),
+            first("_status", "_status_at").alias("bindingStatus"),
+            F.max("_explicit").alias("_explicit"),
+            F.count("_index").alias("_indexes"),
         )
         .select(
             "sqlId",

@@ -12,6 +12,10 @@ from evenledger.operators.bindings import binding_usable
 from evenledger.operators.ranking import occurrence_index
 from evenledger.operators.skew import lookup_join, spread_join
 
+#: What names a statement's method; with its position there it makes the key.
+METHOD = ("serviceName", "className", "methodName", "sourceType", "sqlVariableName")
+
+
 def flag_duplicate_keys(df: DataFrame, key: str = "baselineKey", out: str = "duplicateBaselineKey") -> DataFrame:
     """True where a non-blank key occurs more than once.
 
@@ -24,6 +28,28 @@ def flag_duplicate_keys(df: DataFrame, key: str = "baselineKey", out: str = "dup
     return flagged.select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
 
 
+def _flag_shared_stems(placed: DataFrame, statements: DataFrame) -> DataFrame:
+    """``flag_duplicate_keys`` of the keys of numbered statements, without a shuffle of the statements.
+
+    Positions of a method run from 1 to its number of statements, so a key is met twice where another method with the
+    same key but for the position has as many statements. Only methods that share that stem are joined back.
+    """
+    trimmed = [f"_t{i}" for i in range(len(METHOD))]
+    names = [F.coalesce(F.trim(c), F.lit("")) for c in METHOD]
+    sizes = statements.groupBy(*[c.alias(t) for c, t in zip(names, trimmed)]).agg(F.count(F.lit(1)).alias("_rows"))
+    stem = baseline_key(*[F.col(t) for t in trimmed], F.lit(""))
+    stems = sizes.select(F.struct(*trimmed).alias("_method"), "_rows", stem.alias("_stem")).where("_stem is not null")
+    shared = stems.groupBy("_stem").agg(F.count(F.lit(1)).alias("_n"), F.max("_rows").alias("_most"), F.max_by("_method", F.struct("_rows", "_method")).alias("_first"))
+    shared = shared.where("_n > 1")
+    other = stems.join(shared, "_stem").where(F.col("_method") != F.col("_first")).groupBy("_stem").agg(F.max("_rows").alias("_second"))
+    met = stems.join(shared, "_stem").join(other, "_stem").select(
+        *[F.col(f"_method.{t}").alias(t) for t in trimmed],
+        F.when(F.col("_method") == F.col("_first"), F.col("_second")).otherwise(F.col("_most")).alias("_also"),
+    )
+    flagged = placed.select("*", *[c.alias(t) for c, t in zip(names, trimmed)]).join(met, trimmed, "left")
+    return flagged.select(*placed.columns, F.coalesce(F.col("occurrenceIndex") <= F.col("_also"), F.lit(False)).alias("duplicateBaselineKey"))
+
+
 def build_candidates(
     statements: DataFrame, bindings: DataFrame, executions: DataFrame, unique_ids: bool = True
 ) -> DataFrame:
@@ -33,15 +59,15 @@ def build_candidates(
     share a key and are flagged as duplicates.
     """
     placed = occurrence_index(statements)
-    if not unique_ids:
+    if unique_ids:
+        placed = _flag_shared_stems(placed, statements)
+    else:
         last = placed.groupBy("sqlId").agg(F.max("occurrenceIndex").alias("_last"))
         placed = lookup_join(placed, last, ["sqlId"]).withColumn("occurrenceIndex", F.coalesce("_last", "occurrenceIndex"))
     keyed = placed.withColumn(
         "baselineKey",
         F.coalesce(
-            baseline_key(
-                *[F.col(c) for c in ("serviceName", "className", "methodName", "sourceType", "sqlVariableName", "occurrenceIndex")]
-            ),
+            baseline_key(*[F.col(c) for c in (*METHOD, "occurrenceIndex")]),
             F.lit(""),
         ),
     )
@@ -50,7 +76,7 @@ def build_candidates(
         "sqlId", F.col("jdbcSql").alias("executionReportJdbcSql"), F.col("executionStatus").alias("postgresValidationStatus")
     )
     known = plan.join(run, "sqlId", "full_outer")
-    joined = lookup_join(flag_duplicate_keys(keyed), known, ["sqlId"])
+    joined = lookup_join(keyed if unique_ids else flag_duplicate_keys(keyed), known, ["sqlId"])
     text = F.coalesce("jdbcSql", F.lit(""))
     present = F.coalesce("_plan", F.lit(False))
     return joined.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenledger.functions.chain import blank, filled, first_match, first_verdict
+from evenledger.functions.text import select_flags
 from evenledger.operators.eligibility import baseline_usable
 from evenledger.operators.skew import lookup_join
 from evenledger.sources.contracts import BASELINE, COMPARISON
@@ -141,7 +142,8 @@ def overall_of_one(status: Column, labels=("H2", "POSTGRES")) -> Column:
 def match_baseline(baseline: DataFrame, current: DataFrame, order: str = "sqlId") -> DataFrame:
     """Every baseline row with the one current candidate of its key, if there is exactly one.
 
-    Current rows are reduced to one per key before the join; blank keys take no part in it.
+    Current rows are reduced to one per key before the join; blank keys take no part in it. ``_flags`` are the safety
+    flags of the candidate's text, found here once and not for each of its saved samples.
     """
     fields = [c for c in current.columns if c != "baselineKey"]
     by_key = (
@@ -149,6 +151,7 @@ def match_baseline(baseline: DataFrame, current: DataFrame, order: str = "sqlId"
         .groupBy("baselineKey")
         .agg(F.count(F.lit(1)).alias("_n"), F.min_by(F.struct(*fields), order).alias("_one"))
         .select("baselineKey", "_n", F.when(F.col("_n") == 1, F.col("_one")).alias("current"))
+        .withColumn("_flags", F.when(F.col("_n") == 1, select_flags(F.col("current.jdbcSql"))))
     )
     keyed = baseline.withColumn("_raw", F.col("baselineKey")).withColumn(
         "baselineKey", F.when(filled(F.col("baselineKey")), F.col("baselineKey"))
@@ -168,7 +171,7 @@ def match_baseline(baseline: DataFrame, current: DataFrame, order: str = "sqlId"
         ("MATCHED", ""),
     )
     columns = [key.alias("baselineKey") if c == "baselineKey" else F.col(c) for c in baseline.columns]
-    return joined.withColumn("_m", verdict).select(*columns, "current", "_m.*")
+    return joined.withColumn("_m", verdict).select(*columns, "current", "_flags", "_m.*")
 
 
 def saved_side(df: DataFrame) -> DataFrame:

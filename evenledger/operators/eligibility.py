@@ -108,7 +108,8 @@ def compare_eligibility(df: DataFrame, version: str = NORMALIZATION_VERSION) ->
     """
     c = F.col
     now = lambda name: F.col(f"current.{name}")
-    df = df.withColumn("_flags", select_flags(now("jdbcSql")))
+    if "_flags" not in df.columns:
+        df = df.withColumn("_flags", select_flags(now("jdbcSql")))
     flag = lambda name: F.col(f"_flags.{name}")
     found = lambda status: (status, flag("reason_code"), flag("reason"))
     same_version = F.lower(F.trim(F.coalesce(c("normalizationVersion"), F.lit("")))) == version.strip().lower()
