@@ -70,3 +70,19 @@ def test_within_cap_keeps_whole_groups(skewed):
     kept, sizes = within_cap(skewed.where("k is not null"), ["k"], 370, min_rows=1)
     expected = sizes.where("_n <= 370").agg(F.sum("_n")).first()[0]
     assert 0 < kept.count() == expected
+
+
+def test_rank_rows_reads_its_input_once(spark):
+    """Counting and dealing out do not work out the input again."""
+    from evenledger.operators.ranking import rank_rows
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5000).selectExpr("id", "pmod(id * 7919, 5000) as v").mapInArrow(counted, "id long, v long")
+    ranked = rank_rows(df, ["v"], split_rows=100)
+    assert [r["rank"] for r in ranked.orderBy("v").collect()] == list(range(1, 5001)) and seen.value == 5000
