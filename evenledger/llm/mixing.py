@@ -2,15 +2,23 @@
 
 A text is a row of lower-case words and one end. The most frequent words are the leaves of a Huffman tree, all others
 share one leaf and are told apart by their counts; words that training never met count together as often as words that
-it met once. So a word is a short row of binary decisions. Each is predicted from bit counts under four hashed contexts:
-none, the last very frequent word before it (which tells language and phrase), the punctuation before it, and both.
-Their log odds are added with weights picked by how much the contexts have seen, the weights are learned online
-(predict, then move along the error), and the sum is refined by an adaptive table from predicted to observed odds.
+it met once. So a word is a short row of binary decisions, each predicted by a mixer of two layers.
+
+1. Phrase: bit counts under four hashed contexts: none, the last very frequent word before it (which tells language and
+   phrase), the punctuation before it, and both. Their log odds are added with weights picked by how much the contexts
+   have seen, learned online over the cells (context, word), and refined. A cell has one chance however often it occurs, so
+   this layer is a table of states by leaves (``learned``) and, from sums over subtrees, by decisions (``node_odds``).
+2. Words: bit counts under the hash of the word before and of the two words before, whatever these words are. Their log
+   odds and those of the first layer are added with weights picked by how much the two contexts have seen. The weights are
+   learned online over the texts in their order (predict by what was met so far, move along the error, count), and so is
+   the adaptive table from predicted to observed odds that refines the sum. Tasks go through their own texts; their
+   weights are averaged, their counts added up.
+
 Each decision's two sides add up to one, so the scores are those of a proper distribution over known words and
 "unknown", as the base score's are.
 
-All counts are over all training texts. Weights and refinement see each word without one occurrence of its own.
-A cell (context, word) has one score however often it occurs, so texts are scored by looking their words up.
+All counts are over all training texts. The first layer's weights and refinement see each word without one occurrence of
+its own, the second's before it is counted.
 """
 
 from __future__ import annotations
@@ -24,11 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import saved, small_batches, text_rows
+from evenledger.llm.common import drop_saved, saved, small_batches, text_rows
 from evenledger.llm.hashing import LOWER, buffer_of, mix, words
 
-#: Leaves of the tree, frequent words told apart as contexts, and slots of a context's table (2**SLOT_BITS):
-#: the model's size does not grow with the corpus.
+#: Leaves of the tree, frequent words told apart as contexts, and slots of a context's table (2**SLOT_BITS).
 LEAVES, STOPS, SLOT_BITS = 1 << 15, 64, 22
 STATES = (STOPS + 1) * 3
 CONTEXTS = 4
@@ -39,6 +46,17 @@ TEXT_BYTES = 4 << 20
 CELLS = 1 << 15
 GATES = 32
 BINS, APM_LIMIT = 33, 8.0
+#: Contexts of preceding words, and slots of their table: 2**WORD_BITS at most, fewer for a small corpus. A slot takes a
+#: task eight bytes while it counts and one byte afterwards; beyond that contexts share slots, and none is left out.
+WORD_CONTEXTS, WORD_BITS, LEAST_WORD_BITS = 2, 23, 14
+WORD_BLOCK = 1 << 14
+#: Words that are predicted between two moves of the weights: few at first, later more.
+STEP_WORDS, CHUNK_WORDS = 1 << 7, 1 << 14
+#: What a slot has seen, in eight levels (up to 0, 1, 2, 4, 8, 32, 256 and beyond); a pair of levels picks the weights.
+LEVELS = 8
+LEVEL_OF = np.searchsorted([1, 2, 3, 5, 9, 33, 257], np.arange(258), side="right")
+WORD_GATES = LEVELS**WORD_CONTEXTS
+WORD_BINS, FINE_BINS, WORD_LIMIT = 49, 1 << 11, 12.0
 SHIFT, RATE = 0.3, 0.3
 END = np.uint64(0)
 
@@ -114,8 +132,8 @@ def leaf_of(hashes: np.ndarray, head: dict) -> np.ndarray:
     return np.where(head["leaf_hashes"][at] == hashes, head["leaves"][at], head["other"])
 
 
-def tokens(batch: pa.RecordBatch, head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, hash, leaf, state) of every word and end of a batch, in text order."""
+def tokens(batch: pa.RecordBatch, head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, leaf, state, hashes of the preceding words[WORD_CONTEXTS, n]) of every word and end, in text order."""
     buf, offsets = buffer_of(batch.column("text"))
     n = len(offsets) - 1
     parts = [(h, r, low[e - 1]) for low, _, e, h, r in words(buf, offsets)]
@@ -142,7 +160,20 @@ def tokens(batch: pa.RecordBatch, head: dict) -> tuple[np.ndarray, np.ndarray, n
     mark = np.zeros(len(own), dtype=np.int64)
     mark[1:] = np.where(tail[:-1] == 44, 1, np.where((tail[:-1] == 46) | (tail[:-1] == 33) | (tail[:-1] == 63), 2, 0))
     mark[begins] = 2
-    return row, own, leaf, before[seen] * 3 + mark
+    return row, own, leaf, before[seen] * 3 + mark, preceding(own, begins)
+
+
+def preceding(own: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Hashes of the word before each token and of the two words before it; before a text's first word there are ends."""
+    words_before = np.zeros((WORD_CONTEXTS, len(own)), dtype=np.uint64)
+    found = np.zeros(len(own), dtype=np.uint64)
+    back = own
+    for k in range(WORD_CONTEXTS):
+        back = np.concatenate((np.zeros(min(1, len(back)), np.uint64), back[:-1]))
+        back[begins] = END
+        found = mix(found * np.uint64(0x9E3779B97F4A7C15) + back + np.uint64(k + 1))
+        words_before[k] = found
+    return words_before
 
 
 def cell_batches(batches, head):
@@ -151,7 +182,7 @@ def cell_batches(batches, head):
     size = head["other"] + 1
     total = np.zeros(STATES * size, dtype=np.int64)
     for batch in small_batches(batches, "text", TEXT_BYTES):
-        row, _, leaf, state = tokens(batch, head)
+        _, _, leaf, state, _ = tokens(batch, head)
         total += np.bincount(state * size + leaf, minlength=STATES * size)
     cells = np.flatnonzero(total)
     for at in range(0, len(cells), CELLS):
@@ -294,7 +325,7 @@ def text_batches(batches, head):
     head = head.value
     known_hashes, known_logs = head["hashes"], head["logs"]
     for batch in small_batches(batches, "text", TEXT_BYTES):
-        row, own, leaf, state = tokens(batch, head)
+        row, own, leaf, state, contexts = tokens(batch, head)
         n = batch.num_rows
         found, inverse = np.unique(own, return_inverse=True)
         at = np.searchsorted(known_hashes, found)
@@ -303,7 +334,7 @@ def text_batches(batches, head):
         logs = np.where(known, known_logs[:, at], 0) if len(known_hashes) else np.zeros((2, len(found)))
         known, logs = known[inverse], logs[:, inverse]
         other = leaf == head["other"]
-        score = head["scores"][state, leaf] + np.where(other & known, logs[1] - head["other_log"], 0)
+        score = word_scores(head["words"], leaf, state, contexts) + np.where(other & known, logs[1] - head["other_log"], 0)
         sums = [np.bincount(row, weights=v, minlength=n) for v in (logs[0], score, known)]
         keys, times = np.unique(row[~known].astype(np.int64) * len(found) + inverse[~known], return_counts=True)
         bounds = np.searchsorted(keys // max(1, len(found)), np.arange(n + 1)).astype(np.int32)
@@ -378,6 +409,231 @@ def learned(cells: DataFrame, leaf_counts: list[int]) -> np.ndarray:
     return table
 
 
+def node_odds(scores: np.ndarray, tree) -> np.ndarray:
+    """Log odds of bit 1 of each decision in each state, from the chances of the leaves on its two sides."""
+    lengths, nodes, bits = tree
+    parts = []
+    for depth in range(nodes.shape[1]):
+        inside = np.flatnonzero(lengths > depth)
+        place = nodes[inside, depth].astype(np.int64) * 2 + bits[inside, depth]
+        order = np.argsort(place, kind="stable")
+        side, first = np.unique(place[order], return_index=True)
+        parts.append((inside[order], side, first))
+    odds = np.empty((len(scores), max(1, len(lengths) - 1)), dtype=np.float32)
+    for state, row in enumerate(scores):
+        chance = np.power(10.0, row)
+        sums = np.full((odds.shape[1], 2), 1e-30)
+        for leaf, side, first in parts:
+            sums.ravel()[side] += np.add.reduceat(chance[leaf], first)
+        odds[state] = np.clip(np.log(sums[:, 1] / sums[:, 0]), -14, 14)
+    return odds
+
+
+def word_paths(tree, bits: int) -> dict:
+    """The tree's decisions by depth: a hash of the node, and twice the node plus the bit, of every leaf."""
+    lengths, nodes, sides = tree
+    return {
+        "lengths": lengths.astype(np.uint8),
+        "keys": np.ascontiguousarray(mix((nodes.T + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))),
+        "steps": np.ascontiguousarray((nodes.T * np.uint64(2) + sides.T).astype(np.int64)),
+        "nodes": max(1, len(lengths) - 1),
+        "shift": np.uint64(64 - bits),
+    }
+
+
+def word_decisions(paths: dict, odds: np.ndarray, leaf, state, contexts):
+    """By depth (places, slots by context, bits, log odds of the first layer) of the decisions of some tokens."""
+    width = paths["lengths"][leaf]
+    order = np.argsort(-width.astype(np.int16), kind="stable")
+    deeper = len(leaf) - np.cumsum(np.bincount(width, minlength=len(paths["keys"]) + 1))
+    leaf, contexts = leaf[order], contexts[:, order]
+    row = state[order] * paths["nodes"]
+    odds = odds.ravel()
+    for key, step, n in zip(paths["keys"], paths["steps"], deeper):
+        if not n:
+            return
+        own, at = key[leaf[:n]], step[leaf[:n]]
+        slots = [((context[:n] ^ own) >> paths["shift"]).view(np.int64) for context in contexts]
+        yield order[:n], slots, at & 1, odds[row[:n] + (at >> 1)]
+
+
+def word_batches_online(batches, head, model):
+    """Goes through a task's training texts: predicts each word by what the task has met before, moves weights and
+    refinement along the error, then counts the word. Yields weights, refinement and packed blocks of the counts."""
+    head, model = head.value, model.value
+    paths = model["paths"]
+    table = np.zeros(2 << int(64 - paths["shift"]), dtype=np.uint32)
+    pairs = table.view(np.uint64)
+    one = np.uint32(1)
+    weights = first_word_weights()
+    inputs = weights.shape[1]
+    speed = np.full_like(weights, 0.1)
+    mass, ones, met = np.zeros(WORD_GATES), np.zeros(WORD_GATES * WORD_BINS), np.zeros(WORD_GATES * WORD_BINS)
+    done = 0
+    for batch in small_batches(batches, "text", TEXT_BYTES):
+        _, _, leaf, state, contexts = tokens(batch, head)
+        at = 0
+        while at < len(leaf):
+            part = slice(at, at + min(CHUNK_WORDS, max(STEP_WORDS, done // 16)))
+            moves, total = np.zeros_like(weights), np.zeros(WORD_GATES)
+            now = weights.astype(np.float32)
+            for _, slots, bit, first in word_decisions(paths, model["odds"], leaf[part], state[part], contexts[:, part]):
+                values, gate = [], 0
+                for slot in slots:
+                    pair = pairs[slot]
+                    zeros, hits = (pair & np.uint64(0xFFFFFFFF)).view(np.int64), (pair >> np.uint64(32)).view(np.int64)
+                    values.append(np.log((hits.astype(np.float32) + np.float32(SHIFT)) / (zeros.astype(np.float32) + np.float32(SHIFT))))
+                    gate = gate * LEVELS + LEVEL_OF[np.minimum(zeros + hits, len(LEVEL_OF) - 1)]
+                values.append(first)
+                x = sum((v * now[:, k][gate] for k, v in enumerate(values)), now[:, -1][gate])
+                cell = gate * WORD_BINS + word_bin(x)
+                ones += np.bincount(cell, weights=bit, minlength=len(ones))
+                met += np.bincount(cell, minlength=len(met))
+                error = bit - squash(x)
+                for k, v in enumerate([*(error * v for v in values), error]):
+                    moves[:, k] += np.bincount(gate, weights=v, minlength=WORD_GATES)
+                total += np.bincount(gate, minlength=WORD_GATES)
+                for slot in slots:
+                    np.add.at(table, slot * 2 + bit, one)
+            moves /= np.maximum(total, 1)[:, None]
+            speed += moves**2
+            weights += RATE * moves / np.sqrt(speed)
+            mass += total
+            done += part.stop - part.start
+            at = part.stop
+    learned_now = (
+        (0, np.arange(WORD_GATES * inputs), (weights * mass[:, None]).ravel(), np.repeat(mass, inputs)),
+        (1, np.arange(len(ones)), ones, met),
+    )
+    for kind, cell, value, weight in learned_now:
+        columns = [pa.array(np.full(len(cell), kind)), pa.array(cell), pa.array(value), pa.array(weight), pa.nulls(len(cell), pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "cell", "value", "mass", "counts"])
+    for at in range(0, len(table), 2 * WORD_BLOCK):
+        part = table[at : at + 2 * WORD_BLOCK]
+        if part.any():
+            columns = [pa.array([2]), pa.array([at // (2 * WORD_BLOCK)]), pa.array([0.0]), pa.array([0.0]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "cell", "value", "mass", "counts"])
+
+
+def word_bin(x) -> np.ndarray:
+    """The bin of log odds in the refinement of the second layer."""
+    return ((np.clip(x, -WORD_LIMIT, WORD_LIMIT) + np.float32(WORD_LIMIT)) * np.float32((WORD_BINS - 1) / (2 * WORD_LIMIT)) + np.float32(0.5)).astype(np.int64)
+
+
+def level_odds() -> np.ndarray:
+    """Largest log odds of each level's counts, with which the codes of a level are laid out."""
+    most = np.array([0, 1, 2, 4, 8, 32, 256, 1 << 13])
+    return np.log((most + SHIFT) / SHIFT)
+
+
+def code_of(zeros, ones) -> np.ndarray:
+    """A byte for what a slot has seen: three bits of level, five of log odds."""
+    level = LEVEL_OF[np.minimum(zeros + ones, len(LEVEL_OF) - 1)]
+    odds = np.log((ones + SHIFT) / (zeros + SHIFT)) / np.maximum(level_odds()[level], 1e-9)
+    return (level * 32 + np.rint((np.clip(odds, -1, 1) + 1) * 15)).astype(np.uint8)
+
+
+def add_word_blocks(table: pa.Table) -> pa.Table:
+    """The codes of a block's slots, from the sums of their counts over all tasks."""
+    total = 0
+    for packed in table.column("counts"):
+        total = total + np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.uint32).astype(np.int64)
+    codes = code_of(total[0::2], total[1::2])
+    return pa.table({"cell": table.column("cell")[:1], "counts": pa.array([zlib.compress(codes.tobytes(), 1)])})
+
+
+def first_word_weights() -> np.ndarray:
+    """Of each gate, for the words before, the first layer and a constant: what has seen nothing weighs nothing."""
+    weights = np.tile(np.array([0.0] * WORD_CONTEXTS + [1.0, 0.0]), (WORD_GATES, 1))
+    for k in range(WORD_CONTEXTS):
+        seen = np.arange(WORD_GATES) // LEVELS ** (WORD_CONTEXTS - 1 - k) % LEVELS > 0
+        weights[seen, k] = 0.3
+        weights[seen, WORD_CONTEXTS] -= 0.2
+    return weights
+
+
+def smoothed(moved, mass, ones, seen) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and refinement of all gates: one that was met little follows the gates one level below it, since a task meets
+    less than all tasks together. ``moved`` are sums of weights by mass, ``ones`` the bits among ``seen`` in each bin."""
+    weights, prior = first_word_weights(), 2000.0
+    cells = np.tile(squash(np.linspace(-WORD_LIMIT, WORD_LIMIT, WORD_BINS)), (WORD_GATES, 1))
+    ones, seen = ones.reshape(cells.shape), seen.reshape(cells.shape)
+    for gate in range(WORD_GATES):
+        below = [gate - LEVELS**k for k in range(WORD_CONTEXTS) if gate // LEVELS**k % LEVELS > 1]
+        if below:
+            weights[gate] = weights[below].mean(axis=0)
+            cells[gate] = cells[below].mean(axis=0)
+        weights[gate] = (weights[gate] * prior + moved[gate]) / (prior + mass[gate])
+        cells[gate] = (cells[gate] * 10 + ones[gate]) / (10 + seen[gate])
+    return weights, cells
+
+
+def word_tables(weights: np.ndarray, cells: np.ndarray) -> dict:
+    """By the codes of the two contexts: their part of the sum, the first layer's weight and the place of their gate in
+    ``chances``, the log10 probabilities of both bits by gate and sum."""
+    codes = np.arange(256)
+    level, odds = codes // 32, (codes % 32 / 15 - 1) * level_odds()[codes // 32]
+    two, one = np.repeat(codes, 256), np.tile(codes, 256)
+    gate = level[one] * LEVELS + level[two]
+    part = weights[gate, 0] * odds[one] + weights[gate, 1] * odds[two] + weights[gate, -1]
+    x = np.linspace(-WORD_LIMIT, WORD_LIMIT, FINE_BINS)
+    coarse = np.linspace(-WORD_LIMIT, WORD_LIMIT, WORD_BINS)
+    refined = np.stack([np.interp(x, coarse, c) for c in cells.reshape(WORD_GATES, WORD_BINS)])
+    p = np.clip((squash(x) + refined) / 2, 1e-6, 1 - 1e-6)
+    return {
+        "part": part.astype(np.float32),
+        "weight": weights[gate, WORD_CONTEXTS].astype(np.float32),
+        "gate": gate * FINE_BINS,
+        "chances": np.stack([np.log10(1 - p), np.log10(p)], axis=-1).ravel(),
+    }
+
+
+def word_scores(model, leaf, state, contexts) -> np.ndarray:
+    """log10 probability of each token after the words before it."""
+    codes, chances = model["codes"], model["chances"]
+    scores = np.zeros(len(leaf))
+    scale, middle = np.float32((FINE_BINS - 1) / (2 * WORD_LIMIT)), np.float32((FINE_BINS - 1) / 2 + 0.5)
+    for at in range(0, len(leaf), CHUNK_WORDS):
+        part = slice(at, at + CHUNK_WORDS)
+        found = scores[part]
+        for place, (one, two), bit, first in word_decisions(model["paths"], model["odds"], leaf[part], state[part], contexts[:, part]):
+            both = codes[two].astype(np.int64) << 8 | codes[one]
+            x = model["part"][both] + model["weight"][both] * first
+            fine = np.clip(x * scale + middle, 0, FINE_BINS - 1).astype(np.int64)
+            found[place] += chances[(model["gate"][both] + fine) * 2 + bit]
+    return scores
+
+
+def word_bits(total: int) -> int:
+    """Slots for about sixteen decisions a training token, as far as ``WORD_BITS`` goes."""
+    return max(LEAST_WORD_BITS, min(WORD_BITS, (16 * total).bit_length()))
+
+
+def learned_words(texts: DataFrame, head, scores: np.ndarray, leaf_counts: list[int], total: int) -> dict:
+    """The second layer, for ``word_scores``; ``head`` is broadcast, ``scores`` the first layer's table."""
+    context = texts.sparkSession.sparkContext
+    tree = huffman(leaf_counts)
+    bits = word_bits(total)
+    model = {"paths": word_paths(tree, bits), "odds": node_odds(scores, tree)}
+    sent = context.broadcast(model)
+    met = saved(texts.mapInArrow(partial(word_batches_online, head=head, model=sent), "kind long, cell long, value double, mass double, counts binary"), "word-counts")
+    moved, mass = np.zeros((WORD_GATES, WORD_CONTEXTS + 2)), np.zeros((WORD_GATES, 1))
+    ones, seen = np.zeros((2, WORD_GATES * WORD_BINS))
+    for r in met.where("kind < 2").groupBy("kind", "cell").agg(F.sum("value").alias("value"), F.sum("mass").alias("mass")).collect():
+        if r.kind:
+            ones[r.cell], seen[r.cell] = r.value, r.mass
+        else:
+            moved.flat[r.cell], mass[r.cell // moved.shape[1]] = r.value, r.mass
+    weights, cells = smoothed(moved, mass, ones, seen)
+    codes = np.full(1 << bits, code_of(np.zeros(1, np.int64), np.zeros(1, np.int64))[0], dtype=np.uint8)
+    blocks = met.where("kind = 2").select("cell", "counts").groupBy("cell").applyInArrow(add_word_blocks, "cell long, counts binary")
+    for r in blocks.toLocalIterator():  # 2**WORD_BITS / WORD_BLOCK blocks at most, whatever the corpus
+        codes[r.cell * WORD_BLOCK : (r.cell + 1) * WORD_BLOCK] = np.frombuffer(zlib.decompress(bytes(r.counts)), dtype=np.uint8)
+    drop_saved(met)
+    sent.destroy()
+    return model | {"codes": codes} | word_tables(weights, cells)
+
+
 def score_texts(docs: DataFrame, held, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), n_bytes, bits_per_byte of every text.
 
@@ -386,8 +642,8 @@ def score_texts(docs: DataFrame, held, key: str = "doc_id", text: str = "text")
     null ``held_out`` and is not learned from. With nothing to learn from, all counts are zero.
 
     Words are counted by Spark over all texts. The counts of the most frequent ones (at most ``HEAD_WORDS``) are
-    broadcast, those of all others are joined by a 64-bit hash. The score table (STATES * LEAVES floats at most) is of
-    fixed size.
+    broadcast, those of all others are joined by a 64-bit hash. The first layer's tables (STATES * LEAVES floats at most)
+    are of fixed size, the table of preceding words grows with the corpus up to 2**WORD_BITS slots.
     """
     spark = docs.sparkSession
     rows = text_rows(docs, key, text).withColumn("train", ~held)
@@ -416,7 +672,13 @@ def score_texts(docs: DataFrame, held, key: str = "doc_id", text: str = "text")
     sent = spark.sparkContext.broadcast(head)
     cells = rows.where("train").select("text").mapInArrow(partial(cell_batches, head=sent), "state int, leaf int, n long")
     cells = saved(cells.groupBy("state", "leaf").agg(F.sum("n").alias("n")), "cells")
-    head = head | {"scores": learned(cells, [*counts[ranked].tolist(), rest + once])}
+    leaf_counts = [*counts[ranked].tolist(), rest + once]
+    scores = learned(cells, leaf_counts)
+    drop_saved(cells)
+    layer = learned_words(rows.where("train").select("text"), sent, scores, leaf_counts, total)
+    sent.destroy()
+    del scores
+    head = head | {"words": layer}
     sent = spark.sparkContext.broadcast(head)
     schema = "doc_id long, train boolean, n_tokens long, n_known long, base double, score double, n_bytes long, tail array<struct<hash: long, k: long>>"
     parts = saved(rows.mapInArrow(partial(text_batches, head=sent), schema).withColumn("_row", F.monotonically_increasing_id()), "text-sums")

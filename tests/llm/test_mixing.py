@@ -65,3 +65,52 @@ def test_repeated_and_null_keys(spark, tmp_path):
     twice = [r for r in got if r.doc_id == 3]
     assert twice[0] == twice[1] and len({r.n_tokens for r in got if r.doc_id == 5}) == 2
     assert [(r.held_out, r.n_tokens) for r in got if r.doc_id is None] == [(None, 3)]
+
+
+def test_contexts_are_the_preceding_words():
+    """Two tokens have the same contexts where the one or two words before them are the same, however rare these are."""
+    import numpy as np
+    import pyarrow as pa
+
+    from evenledger.llm.mixing import WORD_CONTEXTS, tokens
+
+    texts = ["Zorn apfel birne, zorn apfel", "", "quitte zorn apfel birne", None, "apfel birne"]
+    head = {"leaf_hashes": np.array([1], dtype=np.uint64), "leaves": np.array([0]), "other": 0}
+    row, own, _, _, contexts = tokens(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]), head)
+    listed = []
+    for t in texts:
+        ws = [w.translate(LOWER) for w in (t or "").split()]
+        listed += [tuple(["", "", *ws][i : i + 2]) for i in range(len(ws) + 1)]
+    assert contexts.shape == (WORD_CONTEXTS, len(own)) and len(listed) == len(own) == len(row)
+    for k in range(WORD_CONTEXTS):
+        seen = {}
+        for words_before, context in zip(listed, contexts[k].tolist()):
+            assert seen.setdefault(words_before[1 - k :], context) == context
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_rare_preceding_words_predict(spark, tmp_path):
+    """Which word comes after each of 300 equally frequent words is learned, not only after the most frequent ones."""
+    import random
+
+    draw = random.Random(5)
+    texts = {k: " ".join(f"a{i} b{i}" for i in (draw.randrange(300) for _ in range(60))) for k in range(1, 400)}
+    got = agree(spark, tmp_path, texts)
+    held = [r for r in got.values() if r.held_out]
+    bits = -sum(r.score for r in held) * math.log2(10) / sum(r.n_tokens for r in held)
+    assert bits < 5.5  # a word that nothing tells has 8.2 bits, half of the words follow from the other half
+
+
+def test_words_after_any_words_are_a_distribution(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from evenledger.llm import mixing
+
+    layers, real = [], mixing.learned_words
+    monkeypatch.setattr(mixing, "learned_words", lambda *a: layers.append(real(*a)) or layers[-1])
+    texts = {k: f"the cat {k % 9}, sat on. the mat" if k % 4 else "le chat noir et le chien, et le rat" for k in range(1, 60)}
+    agree(spark, tmp_path, texts)
+    leaves = len(layers[0]["paths"]["lengths"])
+    for context in (mixing.preceding(np.array([7, 9, 0], dtype=np.uint64), np.array([0]))[:, 2:], np.zeros((2, 1), np.uint64)):
+        scores = mixing.word_scores(layers[0], np.arange(leaves), np.full(leaves, 5), np.repeat(context, leaves, axis=1))
+        assert abs((10.0**scores).sum() - 1) < 1e-4
