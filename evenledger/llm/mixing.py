@@ -50,6 +50,8 @@ BINS, APM_LIMIT = 33, 8.0
 #: task eight bytes while it counts and one byte afterwards; beyond that contexts share slots, and none is left out.
 WORD_CONTEXTS, WORD_BITS, LEAST_WORD_BITS = 2, 23, 14
 WORD_BLOCK = 1 << 14
+#: Depths of the tree whose decisions after one context lie together in the table.
+BUCKET_DEPTHS = 3
 #: Words that are predicted between two moves of the weights: few at first, later more.
 STEP_WORDS, CHUNK_WORDS = 1 << 7, 1 << 14
 #: What a slot has seen, in eight levels (up to 0, 1, 2, 4, 8, 32, 256 and beyond); a pair of levels picks the weights.
@@ -430,14 +432,20 @@ def node_odds(scores: np.ndarray, tree) -> np.ndarray:
 
 
 def word_paths(tree, bits: int) -> dict:
-    """The tree's decisions by depth: a hash of the node, and twice the node plus the bit, of every leaf."""
+    """The tree's decisions by depth, of every leaf: twice the node plus the bit, the place in a bucket, and a hash of the
+    node by which buckets are found. The nodes of ``BUCKET_DEPTHS`` depths below it share a bucket: one line of memory."""
     lengths, nodes, sides = tree
+    places = np.ones(nodes.T.shape, dtype=np.int64)
+    for depth in range(len(places)):
+        if depth % BUCKET_DEPTHS:
+            places[depth] = places[depth - 1] * 2 + sides.T[depth - 1]
     return {
         "lengths": lengths.astype(np.uint8),
-        "keys": np.ascontiguousarray(mix((nodes.T + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))),
+        "keys": np.ascontiguousarray(mix((nodes.T[::BUCKET_DEPTHS] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))),
+        "places": places,
         "steps": np.ascontiguousarray((nodes.T * np.uint64(2) + sides.T).astype(np.int64)),
         "nodes": max(1, len(lengths) - 1),
-        "shift": np.uint64(64 - bits),
+        "shift": np.uint64(64 - bits + BUCKET_DEPTHS),
     }
 
 
@@ -445,16 +453,19 @@ def word_decisions(paths: dict, odds: np.ndarray, leaf, state, contexts):
     """By depth (places, slots by context, bits, log odds of the first layer) of the decisions of some tokens."""
     width = paths["lengths"][leaf]
     order = np.argsort(-width.astype(np.int16), kind="stable")
-    deeper = len(leaf) - np.cumsum(np.bincount(width, minlength=len(paths["keys"]) + 1))
+    deeper = len(leaf) - np.cumsum(np.bincount(width, minlength=len(paths["steps"]) + 1))
     leaf, contexts = leaf[order], contexts[:, order]
     row = state[order] * paths["nodes"]
     odds = odds.ravel()
-    for key, step, n in zip(paths["keys"], paths["steps"], deeper):
+    for depth, n in enumerate(deeper[:-1]):
         if not n:
             return
-        own, at = key[leaf[:n]], step[leaf[:n]]
-        slots = [((context[:n] ^ own) >> paths["shift"]).view(np.int64) for context in contexts]
-        yield order[:n], slots, at & 1, odds[row[:n] + (at >> 1)]
+        own = leaf[:n]
+        if depth % BUCKET_DEPTHS == 0:
+            key = paths["keys"][depth // BUCKET_DEPTHS][own]
+            buckets = [((context[:n] ^ key) >> paths["shift"]).view(np.int64) << BUCKET_DEPTHS for context in contexts]
+        at, place = paths["steps"][depth][own], paths["places"][depth][own]
+        yield order[:n], [bucket[:n] | place for bucket in buckets], at & 1, odds[row[:n] + (at >> 1)]
 
 
 def word_batches_online(batches, head, model):
@@ -462,7 +473,7 @@ def word_batches_online(batches, head, model):
     refinement along the error, then counts the word. Yields weights, refinement and packed blocks of the counts."""
     head, model = head.value, model.value
     paths = model["paths"]
-    table = np.zeros(2 << int(64 - paths["shift"]), dtype=np.uint32)
+    table = np.zeros(2 << int(64 - paths["shift"] + BUCKET_DEPTHS), dtype=np.uint32)
     pairs = table.view(np.uint64)
     one = np.uint32(1)
     weights = first_word_weights()
@@ -486,13 +497,13 @@ def word_batches_online(batches, head, model):
                     gate = gate * LEVELS + LEVEL_OF[np.minimum(zeros + hits, len(LEVEL_OF) - 1)]
                 values.append(first)
                 x = sum((v * now[:, k][gate] for k, v in enumerate(values)), now[:, -1][gate])
-                cell = gate * WORD_BINS + word_bin(x)
-                ones += np.bincount(cell, weights=bit, minlength=len(ones))
-                met += np.bincount(cell, minlength=len(met))
-                error = bit - squash(x)
+                cells = np.bincount((gate * WORD_BINS + word_bin(x)) * 2 + bit, minlength=2 * len(met)).reshape(-1, 2)
+                ones += cells[:, 1]
+                met += cells.sum(axis=1)
+                error = bit.astype(np.float32) - squash(x)
                 for k, v in enumerate([*(error * v for v in values), error]):
                     moves[:, k] += np.bincount(gate, weights=v, minlength=WORD_GATES)
-                total += np.bincount(gate, minlength=WORD_GATES)
+                total += cells.sum(axis=1).reshape(WORD_GATES, WORD_BINS).sum(axis=1)
                 for slot in slots:
                     np.add.at(table, slot * 2 + bit, one)
             moves /= np.maximum(total, 1)[:, None]
@@ -511,6 +522,7 @@ def word_batches_online(batches, head, model):
     for at in range(0, len(table), 2 * WORD_BLOCK):
         part = table[at : at + 2 * WORD_BLOCK]
         if part.any():
+            part = part.astype(np.uint8) if part.max() < 256 else part
             columns = [pa.array([2]), pa.array([at // (2 * WORD_BLOCK)]), pa.array([0.0]), pa.array([0.0]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["kind", "cell", "value", "mass", "counts"])
 
@@ -537,7 +549,8 @@ def add_word_blocks(table: pa.Table) -> pa.Table:
     """The codes of a block's slots, from the sums of their counts over all tasks."""
     total = 0
     for packed in table.column("counts"):
-        total = total + np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.uint32).astype(np.int64)
+        raw = zlib.decompress(packed.as_py())
+        total = total + np.frombuffer(raw, dtype=np.uint8 if len(raw) == 2 * WORD_BLOCK else np.uint32).astype(np.int64)
     codes = code_of(total[0::2], total[1::2])
     return pa.table({"cell": table.column("cell")[:1], "counts": pa.array([zlib.compress(codes.tobytes(), 1)])})
 
