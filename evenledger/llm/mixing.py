@@ -136,6 +136,12 @@ def leaf_of(hashes: np.ndarray, head: dict) -> np.ndarray:
 
 def tokens(batch: pa.RecordBatch, head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, hash, leaf, state, hashes of the preceding words[WORD_CONTEXTS, n]) of every word and end, in text order."""
+    row, own, leaf, state, begins, _, _ = placed(batch, head)
+    return row, own, leaf, state, preceding(own, begins)
+
+
+def placed(batch: pa.RecordBatch, head: dict) -> tuple:
+    """(row, hash, leaf, state, where texts begin, distinct hashes, place of each hash among them), in text order."""
     buf, offsets = buffer_of(batch.column("text"))
     n = len(offsets) - 1
     parts = [(h, r, low[e - 1]) for low, _, e, h, r in words(buf, offsets)]
@@ -162,7 +168,7 @@ def tokens(batch: pa.RecordBatch, head: dict) -> tuple[np.ndarray, np.ndarray, n
     mark = np.zeros(len(own), dtype=np.int64)
     mark[1:] = np.where(tail[:-1] == 44, 1, np.where((tail[:-1] == 46) | (tail[:-1] == 33) | (tail[:-1] == 63), 2, 0))
     mark[begins] = 2
-    return row, own, leaf, before[seen] * 3 + mark, preceding(own, begins)
+    return row, own, leaf, before[seen] * 3 + mark, begins, found, inverse
 
 
 def preceding(own: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -184,7 +190,7 @@ def cell_batches(batches, head):
     size = head["other"] + 1
     total = np.zeros(STATES * size, dtype=np.int64)
     for batch in small_batches(batches, "text", TEXT_BYTES):
-        _, _, leaf, state, _ = tokens(batch, head)
+        _, _, leaf, state, *_ = placed(batch, head)
         total += np.bincount(state * size + leaf, minlength=STATES * size)
     cells = np.flatnonzero(total)
     for at in range(0, len(cells), CELLS):
@@ -327,9 +333,9 @@ def text_batches(batches, head):
     head = head.value
     known_hashes, known_logs = head["hashes"], head["logs"]
     for batch in small_batches(batches, "text", TEXT_BYTES):
-        row, own, leaf, state, contexts = tokens(batch, head)
+        row, own, leaf, state, begins, found, inverse = placed(batch, head)
+        contexts = preceding(own, begins)
         n = batch.num_rows
-        found, inverse = np.unique(own, return_inverse=True)
         at = np.searchsorted(known_hashes, found)
         at[at == len(known_hashes)] = 0
         known = known_hashes[at] == found if len(known_hashes) else np.zeros(len(found), bool)
@@ -487,7 +493,7 @@ def word_batches_online(batches, head, model):
         while at < len(leaf):
             part = slice(at, at + min(CHUNK_WORDS, max(STEP_WORDS, done // 16)))
             moves, total = np.zeros_like(weights), np.zeros(WORD_GATES)
-            now = weights.astype(np.float32)
+            now = np.ascontiguousarray(weights.T, dtype=np.float32)
             for _, slots, bit, first in word_decisions(paths, model["odds"], leaf[part], state[part], contexts[:, part]):
                 values, gate = [], 0
                 for slot in slots:
@@ -496,7 +502,7 @@ def word_batches_online(batches, head, model):
                     values.append(np.log((hits.astype(np.float32) + np.float32(SHIFT)) / (zeros.astype(np.float32) + np.float32(SHIFT))))
                     gate = gate * LEVELS + LEVEL_OF[np.minimum(zeros + hits, len(LEVEL_OF) - 1)]
                 values.append(first)
-                x = sum((v * now[:, k][gate] for k, v in enumerate(values)), now[:, -1][gate])
+                x = sum((v * now[k][gate] for k, v in enumerate(values)), now[-1][gate])
                 cells = np.bincount((gate * WORD_BINS + word_bin(x)) * 2 + bit, minlength=2 * len(met)).reshape(-1, 2)
                 ones += cells[:, 1]
                 met += cells.sum(axis=1)
