@@ -98,15 +98,15 @@ def smoke_probe(df: DataFrame) -> DataFrame:
     return df.limit(1).agg(F.count(F.lit(1)).alias("rowCount"))
 
 
-def fingerprint_columns(row: Column) -> list[Column]:
-    """Partial-and-final aggregates that identify a multiset of rows of any size.
+def fingerprint_columns(*row: Column) -> list[Column]:
+    """Partial-and-final aggregates that identify a multiset of rows of any size; a row may be one cell or several.
 
     Three 21-bit slices of one 64-bit hash are summed as longs, which cannot overflow below 2^42
     rows, and a second hash is XORed.
     """
-    h = F.xxhash64(row)
+    h = F.xxhash64(*row)
     slices = [F.sum(F.shiftrightunsigned(h, 21 * i).bitwiseAND(F.lit(SLICE))) for i in range(3)]
-    second = F.bit_xor(F.xxhash64(F.lit("again"), row))  # the other way round it would go on from the first hash
+    second = F.bit_xor(F.xxhash64(F.lit("again"), *row))  # the other way round it would go on from the first hash
     parts = [*[F.coalesce(s, F.lit(0)) for s in slices], F.coalesce(second, F.lit(0))]
     return [F.count(F.lit(1)).alias("rowCount"), F.concat_ws("-", *[F.hex(p) for p in parts]).alias("resultPrint")]
 

@@ -148,7 +148,7 @@ def compare_with_baseline(
 
     ``open_side_b`` is a function returning side B's session; it is called only when something runs. ``journal`` is as
     for ``capture_baseline``. With the ``sources`` that the capture wrote, another hash of a statement whose tables have
-    changed since is POSSIBLE_DATA_DRIFT.
+    changed since is POSSIBLE_DATA_DRIFT; only the tables of statements with another hash are read for that.
     """
     version = version or normalization_version(max_rows, scale)
     decided = compare_eligibility(match_baseline(baseline.drop("overallComparisonStatus"), candidates), version).persist()
@@ -156,13 +156,12 @@ def compare_with_baseline(
         F.col("baselineKey").alias("sqlId"), "sampleIndex", F.col("current.jdbcSql").alias("jdbcSql"),
         F.col("parameterValues").alias("values"),
     )
-    drift = None
+    side_b = None
     if runs.limit(1).isEmpty():
         now = spark.createDataFrame([], SUMMARY_SCHEMA)
     else:
         side_b = open_side_b()
         now = replay(spark, side_b, runs, max_rows, timeout_s, scale=scale, workers=workers, journal=journal)
-        drift = drifted(spark, side_b, runs, sources) if sources else None
     b = now.select(
         F.col("sqlId").alias("baselineKey"), "sampleIndex",
         F.struct("status", "rowCount", "resultHash", "columnSignature", "executionTimeMs", "errorMessage").alias("b"),
@@ -175,9 +174,11 @@ def compare_with_baseline(
     joined = saved_side(decided).join(b, ["baselineKey", "sampleIndex"], "left")
     only_run = F.coalesce(F.col("sampleComparisonStatus") == "EXECUTION_ONLY", F.lit(False))
     ready = joined.withColumn("b", F.coalesce("b", not_run))
-    if drift is None:
-        judged = recheck_verdict(ready, execution_only=only_run)
-    else:
+    judged = recheck_verdict(ready, execution_only=only_run)
+    if side_b is not None and sources:
+        # Only another hash can be laid to changed data, so only the tables of such statements are read for their prints.
+        another = judged.where(F.col("differenceCategory") == "RESULT_HASH_MISMATCH").select(F.col("baselineKey").alias("sqlId")).distinct()
+        drift = drifted(spark, side_b, runs.join(another, "sqlId", "left_semi"), sources)
         marked = ready.join(drift.withColumnRenamed("sqlId", "baselineKey"), "baselineKey", "left")
         judged = recheck_verdict(marked, execution_only=only_run, drifted=F.coalesce("dataDrifted", F.lit(False))).drop("dataDrifted")
     overall = overall_by_key(judged)

@@ -5,13 +5,17 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from evenledger.operators.results import result_fingerprint
+from evenledger.functions.canonical import plain_decimal
+from evenledger.operators.results import fingerprint_columns
 from evenledger.plans.replay import arguments, nodes_of
 
 SOURCES = "sqlId string, sourceTable string"
+#: How tables are printed; prints made in another way are never compared.
+PRINT_VERSION = "values-1:"
 
 
 def source_tables(session: SparkSession, text: str, args: list | None = None) -> list[str]:
@@ -45,14 +49,50 @@ def statement_sources(spark: SparkSession, side: SparkSession, cases: DataFrame)
 def table_prints(spark: SparkSession, side: SparkSession, names: list[str]) -> DataFrame:
     """(sourceTable, tablePrint): an order-free print of every row of each table, one pass a table."""
     empty = spark.createDataFrame([], "sourceTable string, tablePrint string")
-    parts = [result_fingerprint(_plain(side.table(name))).select(F.lit(name).alias("sourceTable"), F.col("resultPrint").alias("tablePrint")) for name in names]
+    parts = [table_print(side.table(name)).select(F.lit(name).alias("sourceTable"), "tablePrint") for name in names]
     return reduce(DataFrame.unionByName, parts, empty)
 
 
-def _plain(df: DataFrame) -> DataFrame:
-    """Nested columns as JSON: a print needs a text for every cell."""
-    nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct", "variant")]
-    return df.withColumns({c: F.to_json(f"`{c}`") for c in nested}) if nested else df
+def table_print(df: DataFrame) -> DataFrame:
+    """(tablePrint) from the values of all cells, without making their canonical text, which costs most of a print.
+
+    Equal numbers print alike whatever their declared width; time stamps count to the microsecond.
+    """
+    df = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
+    fields = [(F.col(f.name), f.dataType) for f in df.schema.fields]
+    kinds = F.lit("|".join("STRING" if _nested(t) else "NUMBER" if isinstance(t, T.NumericType) else t.typeName().upper() for _, t in fields))
+    values = [v for c, t in fields for v in _values(c, t)]
+    count, rows = fingerprint_columns(*_nulls([c for c, _ in fields]), *values)
+    return df.agg(F.concat_ws("-", F.lit(PRINT_VERSION), F.hex(F.xxhash64(kinds)), count, rows).alias("tablePrint"))
+
+
+def _nested(dtype: T.DataType) -> bool:
+    return dtype.typeName() in ("array", "map", "struct", "variant")
+
+
+def _nulls(cells: list[Column], width: int = 60) -> list[Column]:
+    """Which cells are null, as bits: a hash alone passes over nulls."""
+    bits = [F.when(c.isNull(), F.lit(1 << i % width).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(cells)]
+    return [reduce(Column.bitwiseOR, bits[at : at + width]) for at in range(0, len(bits), width)]
+
+
+def _values(c: Column, dtype: T.DataType) -> list[Column]:
+    """What is hashed of a cell. Of a number: the nearest double and, where that does not give the number back, its text."""
+    if isinstance(dtype, T.FloatType):
+        return [c.cast("string").cast("double") + F.lit(0.0)]
+    if isinstance(dtype, T.NumericType):
+        near = c.cast("double") + F.lit(0.0)
+        if not isinstance(dtype, (T.DecimalType, T.LongType)):
+            return [near]
+        text = plain_decimal(c) if isinstance(dtype, T.DecimalType) and dtype.scale > 0 else c.cast("string")
+        return [near, F.when(~near.try_cast(dtype).eqNullSafe(c), text)]
+    if _nested(dtype):
+        return [F.to_json(c)]
+    if isinstance(dtype, T.StringType):
+        return [c.cast("binary")]  # a collation would hide differences
+    if isinstance(dtype, (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)):
+        return [c]
+    return [c.cast("string")]
 
 
 def source_prints(spark: SparkSession, side: SparkSession, cases: DataFrame) -> DataFrame:
@@ -74,8 +114,8 @@ def save_sources(spark: SparkSession, side: SparkSession, cases: DataFrame, path
 def drifted(spark: SparkSession, side: SparkSession, cases: DataFrame, path: str) -> DataFrame:
     """(sqlId, dataDrifted): whether the tables that a statement reads have other rows than when ``path`` was written.
 
-    A statement without a saved print, or that cannot be analysed now, is not said to have drifted.
+    A statement without a saved print of this version, or that cannot be analysed now, is not said to have drifted.
     """
-    saved = spark.read.parquet(path).withColumnRenamed("sourcePrint", "_then")
+    saved = spark.read.parquet(path).withColumnRenamed("sourcePrint", "_then").where(F.contains("_then", F.lit(f"={PRINT_VERSION}")))
     now = source_prints(spark, side, cases)
     return now.join(saved, "sqlId").select("sqlId", (F.col("_then") != F.col("sourcePrint")).alias("dataDrifted"))
