@@ -43,7 +43,7 @@ BLOCK = 1 << 17
 #: Words whose counts are broadcast; the counts of all others are joined.
 HEAD_WORDS = 1 << 18
 TEXT_BYTES = 4 << 20
-CELLS = 1 << 15
+CELLS, SLICE_CELLS = 1 << 15, 1 << 11
 GATES = 32
 BINS, APM_LIMIT = 33, 8.0
 #: Contexts of preceding words, and slots of their table: 2**WORD_BITS at most, fewer for a small corpus. A slot takes a
@@ -206,19 +206,31 @@ def decisions(batch: pa.RecordBatch, tree) -> tuple[np.ndarray, np.ndarray, np.n
     owner = np.repeat(np.arange(len(leaf)), width)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(width) - width, width)
     node = nodes[leaf[owner], depth]
-    slots = np.empty((CONTEXTS, len(owner)), dtype=np.int64)
-    none = np.zeros(len(leaf), dtype=np.uint64)
+    return slots_of(state, node, owner), bits[leaf[owner], depth], owner
+
+
+def slots_of(state: np.ndarray, node: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Slots by context of the decisions at some nodes, in the states of their owners."""
+    slots = np.empty((CONTEXTS, len(node)), dtype=np.int64)
+    none = np.zeros(len(state), dtype=np.uint64)
     for k, context in enumerate((none, state // np.uint64(3) + np.uint64(1), state % np.uint64(3) + np.uint64(1), state + np.uint64(1))):
-        key = mix(context[owner] * np.uint64(1 << 32) + node * np.uint64(CONTEXTS) + np.uint64(k))
-        slots[k] = (key >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    return slots, bits[leaf[owner], depth], owner
+        key = mix((context * np.uint64(1 << 32) + np.uint64(k))[owner] + node * np.uint64(CONTEXTS))
+        slots[k] = (key >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+    return slots
+
+
+def cell_slices(batches):
+    """Cells few enough that their decisions stay in a processor's cache."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_CELLS):
+            yield batch.slice(at, SLICE_CELLS)
 
 
 def count_batches(batches, tree):
     """Bit counts of all slots over a task's cells, as packed blocks."""
     tree = tree.value
     tables = np.zeros((2, 1 << SLOT_BITS), dtype=np.int64)
-    for batch in batches:
+    for batch in cell_slices(batches):
         weight = np.asarray(batch.column("n"))
         slots, bits, owner = decisions(batch, tree)
         for bit in (0, 1):
@@ -272,20 +284,18 @@ def weight_batches(batches, model):
     weights = first_weights()
     speed = np.full_like(weights, 0.1)
     mass = np.zeros(GATES)
-    for whole in batches:
-        for at in range(0, whole.num_rows, 2048):
-            batch = whole.slice(at, 2048)
-            count = np.asarray(batch.column("n"))
-            slots, bits, owner = decisions(batch, model["tree"])
-            odds, gate = stretched(model, slots, bits)
-            share = count[owner].astype(np.float64)
-            error = share * (bits - squash(mixed(weights, odds, gate)))
-            total = np.bincount(gate, weights=share, minlength=GATES)
-            for k in range(CONTEXTS + 1):
-                step = np.bincount(gate, weights=error * odds[k] if k < CONTEXTS else error, minlength=GATES) / np.maximum(total, 1)
-                speed[:, k] += step**2
-                weights[:, k] += RATE * step / np.sqrt(speed[:, k])
-            mass += total
+    for batch in cell_slices(batches):
+        count = np.asarray(batch.column("n"))
+        slots, bits, owner = decisions(batch, model["tree"])
+        odds, gate = stretched(model, slots, bits)
+        share = count[owner].astype(np.float64)
+        error = share * (bits - squash(mixed(weights, odds, gate)))
+        total = np.bincount(gate, weights=share, minlength=GATES)
+        for k in range(CONTEXTS + 1):
+            step = np.bincount(gate, weights=error * odds[k] if k < CONTEXTS else error, minlength=GATES) / np.maximum(total, 1)
+            speed[:, k] += step**2
+            weights[:, k] += RATE * step / np.sqrt(speed[:, k])
+        mass += total
     rows = [(g, k, weights[g, k] * mass[g], mass[g]) for g in range(GATES) for k in range(CONTEXTS + 1)]
     g, k, w, m = zip(*rows)
     yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(k), pa.array(w), pa.array(m)], names=["gate", "input", "weight", "mass"])
@@ -302,7 +312,7 @@ def refine_batches(batches, model):
     """Bits met in each bin of predicted odds, by gate, over a task's cells."""
     model = model.value
     ones, met = np.zeros(GATES * BINS), np.zeros(GATES * BINS)
-    for batch in batches:
+    for batch in cell_slices(batches):
         weight = np.asarray(batch.column("n")).astype(np.float64)
         slots, bits, owner = decisions(batch, model["tree"])
         odds, gate = stretched(model, slots, bits)
@@ -313,19 +323,27 @@ def refine_batches(batches, model):
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(GATES * BINS)), pa.array(ones), pa.array(met)], names=["cell", "ones", "met"])
 
 
-def cell_scores(batches, model):
-    """log10 probability of each (state, leaf)."""
+def leaf_scores(batches, model):
+    """log10 probability of each leaf, by state: each decision's once, then the sums along the paths."""
     model = model.value
-    cells = model["cells"]
+    cells, (lengths, nodes, bits) = model["cells"], model["tree"]
+    steps = []
+    for depth in range(nodes.shape[1]):
+        inside = np.flatnonzero(lengths > depth)
+        steps.append((inside, nodes[inside, depth].astype(np.int64) * 2 + bits[inside, depth]))
+    node = np.arange(len(lengths) - 1, dtype=np.uint64)
     for batch in batches:
-        slots, bits, owner = decisions(batch, model["tree"])
-        odds, gate = stretched(model, slots)
-        x = mixed(model["weights"], odds, gate)
-        low, share = bin_of(x)
-        refined = (1 - share) * cells[gate * BINS + low] + share * cells[gate * BINS + low + 1]
-        p = np.clip((squash(x) + refined) / 2, 1e-6, 1 - 1e-6)
-        score = np.bincount(owner, weights=np.log10(np.where(bits == 1, p, 1 - p)), minlength=batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("state"), batch.column("leaf"), pa.array(score.astype(np.float32))], names=["state", "leaf", "score"])
+        for state in batch.column("id").to_pylist():
+            odds, gate = stretched(model, slots_of(np.array([state], dtype=np.uint64), node, np.zeros(len(node), dtype=np.int64)))
+            x = mixed(model["weights"], odds, gate)
+            low, share = bin_of(x)
+            refined = (1 - share) * cells[gate * BINS + low] + share * cells[gate * BINS + low + 1]
+            p = np.clip((squash(x) + refined) / 2, 1e-6, 1 - 1e-6)
+            chances = np.stack([np.log10(1 - p), np.log10(p)], axis=-1).ravel()
+            score = np.zeros(len(lengths))
+            for inside, step in steps:
+                score[inside] += chances.take(step)
+            yield pa.RecordBatch.from_arrays([pa.array([state]), pa.array([score.astype(np.float32).tobytes()], pa.binary())], names=["state", "scores"])
 
 
 def text_batches(batches, head):
@@ -409,10 +427,9 @@ def learned(cells: DataFrame, leaf_counts: list[int]) -> np.ndarray:
     sent.unpersist()
     sent = spark.sparkContext.broadcast(model)
     leaves = len(leaf_counts)
-    grid = spark.range(STATES * leaves).select((F.col("id") / leaves).cast("int").alias("state"), (F.col("id") % leaves).cast("int").alias("leaf"))
     table = np.zeros((STATES, leaves), dtype=np.float32)
-    rows = grid.mapInArrow(partial(cell_scores, model=sent), "state int, leaf int, score float").toArrow()
-    table[np.asarray(rows.column("state")), np.asarray(rows.column("leaf"))] = np.asarray(rows.column("score"))
+    for r in spark.range(STATES).mapInArrow(partial(leaf_scores, model=sent), "state long, scores binary").toLocalIterator(prefetchPartitions=True):
+        table[r.state] = np.frombuffer(r.scores, dtype=np.float32)
     sent.unpersist()
     return table
 
@@ -438,40 +455,56 @@ def node_odds(scores: np.ndarray, tree) -> np.ndarray:
 
 
 def word_paths(tree, bits: int) -> dict:
-    """The tree's decisions by depth, of every leaf: twice the node plus the bit, the place in a bucket, and a hash of the
-    node by which buckets are found. The nodes of ``BUCKET_DEPTHS`` depths below it share a bucket: one line of memory."""
+    """The tree's decisions by depth, of every leaf: node, bit and place in a bucket as one number, and a hash of the node
+    by which buckets are found. The nodes of ``BUCKET_DEPTHS`` depths below it share a bucket: one line of memory."""
     lengths, nodes, sides = tree
     places = np.ones(nodes.T.shape, dtype=np.int64)
     for depth in range(len(places)):
         if depth % BUCKET_DEPTHS:
             places[depth] = places[depth - 1] * 2 + sides.T[depth - 1]
+    ranks = np.empty(len(lengths), dtype=np.uint16 if len(lengths) <= 1 << 16 else np.int64)
+    ranks[np.argsort(-lengths, kind="stable")] = np.arange(len(lengths))
+    steps = (nodes.T * np.uint64(2) + sides.T).astype(np.int64)
     return {
         "lengths": lengths.astype(np.uint8),
+        "ranks": ranks,
         "keys": np.ascontiguousarray(mix((nodes.T[::BUCKET_DEPTHS] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))),
-        "places": places,
-        "steps": np.ascontiguousarray((nodes.T * np.uint64(2) + sides.T).astype(np.int64)),
-        "nodes": max(1, len(lengths) - 1),
+        "steps": np.ascontiguousarray(steps << BUCKET_DEPTHS | places),
         "shift": np.uint64(64 - bits + BUCKET_DEPTHS),
     }
 
 
-def word_decisions(paths: dict, odds: np.ndarray, leaf, state, contexts):
-    """By depth (places, slots by context, bits, log odds of the first layer) of the decisions of some tokens."""
-    width = paths["lengths"][leaf]
-    order = np.argsort(-width.astype(np.int16), kind="stable")
+def deepest_first(paths: dict, leaf: np.ndarray) -> np.ndarray:
+    """An order of tokens by falling length of their paths, those of a word together."""
+    return np.argsort(paths["ranks"].take(leaf), kind="stable")
+
+
+def word_decisions(paths: dict, odds: np.ndarray, leaf, state, contexts, read):
+    """By depth (what ``read`` finds in the buckets, by context; places in them; bits; log odds of the first layer) of the
+    decisions of the tokens that have so many; these come first, since tokens are given in the order of ``deepest_first``.
+    Odds are laid out by node, so a word's in all states lie together."""
+    width = paths["lengths"].take(leaf)
     deeper = len(leaf) - np.cumsum(np.bincount(width, minlength=len(paths["steps"]) + 1))
-    leaf, contexts = leaf[order], contexts[:, order]
-    row = state[order] * paths["nodes"]
-    odds = odds.ravel()
+    states, odds = odds.shape[1], odds.ravel()
     for depth, n in enumerate(deeper[:-1]):
         if not n:
             return
         own = leaf[:n]
         if depth % BUCKET_DEPTHS == 0:
-            key = paths["keys"][depth // BUCKET_DEPTHS][own]
-            buckets = [((context[:n] ^ key) >> paths["shift"]).view(np.int64) << BUCKET_DEPTHS for context in contexts]
-        at, place = paths["steps"][depth][own], paths["places"][depth][own]
-        yield order[:n], [bucket[:n] | place for bucket in buckets], at & 1, odds[row[:n] + (at >> 1)]
+            key = paths["keys"][depth // BUCKET_DEPTHS].take(own)
+            buckets = [read(((context[:n] ^ key) >> paths["shift"]).view(np.int64)) for context in contexts]
+        step = paths["steps"][depth].take(own)
+        place = step & ((1 << BUCKET_DEPTHS) - 1)
+        step >>= BUCKET_DEPTHS
+        bit = step & 1
+        step >>= 1
+        step *= states
+        step += state[:n]
+        yield [bucket[:n] for bucket in buckets], place, bit, odds.take(step)
+
+
+def first_slots(buckets: np.ndarray) -> np.ndarray:
+    return buckets << BUCKET_DEPTHS
 
 
 def word_batches_online(batches, head, model):
@@ -481,37 +514,47 @@ def word_batches_online(batches, head, model):
     paths = model["paths"]
     table = np.zeros(2 << int(64 - paths["shift"] + BUCKET_DEPTHS), dtype=np.uint32)
     pairs = table.view(np.uint64)
-    one = np.uint32(1)
+    one = np.array([1, 1 << 32], dtype=np.uint64)
     weights = first_word_weights()
     inputs = weights.shape[1]
     speed = np.full_like(weights, 0.1)
-    mass, ones, met = np.zeros(WORD_GATES), np.zeros(WORD_GATES * WORD_BINS), np.zeros(WORD_GATES * WORD_BINS)
+    mass, met = np.zeros(WORD_GATES), np.zeros(2 * WORD_GATES * WORD_BINS, dtype=np.int64)
     done = 0
     for batch in small_batches(batches, "text", TEXT_BYTES):
         _, _, leaf, state, contexts = tokens(batch, head)
         at = 0
         while at < len(leaf):
             part = slice(at, at + min(CHUNK_WORDS, max(STEP_WORDS, done // 16)))
-            moves, total = np.zeros_like(weights), np.zeros(WORD_GATES)
+            moves, cells = np.zeros_like(weights), np.zeros_like(met)
             now = np.ascontiguousarray(weights.T, dtype=np.float32)
-            for _, slots, bit, first in word_decisions(paths, model["odds"], leaf[part], state[part], contexts[:, part]):
+            order = deepest_first(paths, leaf[part])
+            for buckets, place, bit, first in word_decisions(paths, model["odds"], leaf[part][order], state[part][order], contexts[:, part][:, order], first_slots):
                 values, gate = [], 0
+                slots = [bucket | place for bucket in buckets]
                 for slot in slots:
-                    pair = pairs[slot]
-                    zeros, hits = (pair & np.uint64(0xFFFFFFFF)).view(np.int64), (pair >> np.uint64(32)).view(np.int64)
-                    values.append(np.log((hits.astype(np.float32) + np.float32(SHIFT)) / (zeros.astype(np.float32) + np.float32(SHIFT))))
-                    gate = gate * LEVELS + LEVEL_OF[np.minimum(zeros + hits, len(LEVEL_OF) - 1)]
+                    pair = pairs.take(slot).view(np.uint32)
+                    gate = gate * LEVELS + LEVEL_OF.take(pair[::2] + pair[1::2], mode="clip")
+                    pair = pair.astype(np.float32)
+                    pair += np.float32(SHIFT)
+                    odds = pair[1::2] / pair[::2]
+                    values.append(np.log(odds, out=odds))
                 values.append(first)
-                x = sum((v * now[k][gate] for k, v in enumerate(values)), now[-1][gate])
-                cells = np.bincount((gate * WORD_BINS + word_bin(x)) * 2 + bit, minlength=2 * len(met)).reshape(-1, 2)
-                ones += cells[:, 1]
-                met += cells.sum(axis=1)
-                error = bit.astype(np.float32) - squash(x)
+                x = now[-1].take(gate)
+                for k, v in enumerate(values):
+                    x += v * now[k].take(gate)
+                cell = word_bin(x)
+                cell += gate * WORD_BINS
+                cell <<= 1
+                cell |= bit
+                cells += np.bincount(cell, minlength=len(met))
+                error = bit - squash(x)
                 for k, v in enumerate([*(error * v for v in values), error]):
                     moves[:, k] += np.bincount(gate, weights=v, minlength=WORD_GATES)
-                total += cells.sum(axis=1).reshape(WORD_GATES, WORD_BINS).sum(axis=1)
+                more = one.take(bit)
                 for slot in slots:
-                    np.add.at(table, slot * 2 + bit, one)
+                    np.add.at(pairs, slot, more)
+            met += cells
+            total = cells.reshape(WORD_GATES, -1).sum(axis=1)
             moves /= np.maximum(total, 1)[:, None]
             speed += moves**2
             weights += RATE * moves / np.sqrt(speed)
@@ -520,7 +563,7 @@ def word_batches_online(batches, head, model):
             at = part.stop
     learned_now = (
         (0, np.arange(WORD_GATES * inputs), (weights * mass[:, None]).ravel(), np.repeat(mass, inputs)),
-        (1, np.arange(len(ones)), ones, met),
+        (1, np.arange(len(met) // 2), met[1::2].astype(np.float64), (met[::2] + met[1::2]).astype(np.float64)),
     )
     for kind, cell, value, weight in learned_now:
         columns = [pa.array(np.full(len(cell), kind)), pa.array(cell), pa.array(value), pa.array(weight), pa.nulls(len(cell), pa.binary())]
@@ -528,14 +571,30 @@ def word_batches_online(batches, head, model):
     for at in range(0, len(table), 2 * WORD_BLOCK):
         part = table[at : at + 2 * WORD_BLOCK]
         if part.any():
-            part = part.astype(np.uint8) if part.max() < 256 else part
-            columns = [pa.array([2]), pa.array([at // (2 * WORD_BLOCK)]), pa.array([0.0]), pa.array([0.0]), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())]
+            columns = [pa.array([2]), pa.array([at // (2 * WORD_BLOCK)]), pa.array([0.0]), pa.array([0.0]), pa.array([packed_counts(part)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["kind", "cell", "value", "mass", "counts"])
 
 
+def packed_counts(part: np.ndarray) -> bytes:
+    """The counts of a block: the width of one, then all of them, compressed."""
+    part = part.astype(np.uint8) if part.max() < 256 else part
+    return bytes([part.itemsize]) + pa.compress(part.tobytes(), codec="zstd", asbytes=True)
+
+
+def counts_of(packed: bytes) -> np.ndarray:
+    """What ``packed_counts`` packed."""
+    width = packed[0]
+    size = 2 * WORD_BLOCK * width
+    return np.frombuffer(pa.decompress(memoryview(packed)[1:], decompressed_size=size, codec="zstd", asbytes=True), dtype=np.uint8 if width == 1 else np.uint32)
+
+
 def word_bin(x) -> np.ndarray:
     """The bin of log odds in the refinement of the second layer."""
-    return ((np.clip(x, -WORD_LIMIT, WORD_LIMIT) + np.float32(WORD_LIMIT)) * np.float32((WORD_BINS - 1) / (2 * WORD_LIMIT)) + np.float32(0.5)).astype(np.int64)
+    x = np.minimum(np.maximum(x, np.float32(-WORD_LIMIT)), np.float32(WORD_LIMIT))
+    x += np.float32(WORD_LIMIT)
+    x *= np.float32((WORD_BINS - 1) / (2 * WORD_LIMIT))
+    x += np.float32(0.5)
+    return x.astype(np.int64)
 
 
 def level_odds() -> np.ndarray:
@@ -555,8 +614,7 @@ def add_word_blocks(table: pa.Table) -> pa.Table:
     """The codes of a block's slots, from the sums of their counts over all tasks."""
     total = 0
     for packed in table.column("counts"):
-        raw = zlib.decompress(packed.as_py())
-        total = total + np.frombuffer(raw, dtype=np.uint8 if len(raw) == 2 * WORD_BLOCK else np.uint32).astype(np.int64)
+        total = total + counts_of(packed.as_py()).astype(np.int64)
     codes = code_of(total[0::2], total[1::2])
     return pa.table({"cell": table.column("cell")[:1], "counts": pa.array([zlib.compress(codes.tobytes(), 1)])})
 
@@ -603,23 +661,36 @@ def word_tables(weights: np.ndarray, cells: np.ndarray) -> dict:
         "part": part.astype(np.float32),
         "weight": weights[gate, WORD_CONTEXTS].astype(np.float32),
         "gate": gate * FINE_BINS,
-        "chances": np.stack([np.log10(1 - p), np.log10(p)], axis=-1).ravel(),
+        "chances": np.stack([np.log10(1 - p), np.log10(p)], axis=-1).ravel().astype(np.float32),
     }
 
 
 def word_scores(model, leaf, state, contexts) -> np.ndarray:
     """log10 probability of each token after the words before it."""
-    codes, chances = model["codes"], model["chances"]
+    codes, chances, low = model["codes"].view(f"u{1 << BUCKET_DEPTHS}"), model["chances"], np.uint64(255)  # a bucket is one number
     scores = np.zeros(len(leaf))
-    scale, middle = np.float32((FINE_BINS - 1) / (2 * WORD_LIMIT)), np.float32((FINE_BINS - 1) / 2 + 0.5)
+    scale, middle, most = np.float32((FINE_BINS - 1) / (2 * WORD_LIMIT)), np.float32((FINE_BINS - 1) / 2 + 0.5), np.float32(FINE_BINS - 1)
     for at in range(0, len(leaf), CHUNK_WORDS):
         part = slice(at, at + CHUNK_WORDS)
-        found = scores[part]
-        for place, (one, two), bit, first in word_decisions(model["paths"], model["odds"], leaf[part], state[part], contexts[:, part]):
-            both = codes[two].astype(np.int64) << 8 | codes[one]
-            x = model["part"][both] + model["weight"][both] * first
-            fine = np.clip(x * scale + middle, 0, FINE_BINS - 1).astype(np.int64)
-            found[place] += chances[(model["gate"][both] + fine) * 2 + bit]
+        order = deepest_first(model["paths"], leaf[part])
+        found = np.zeros(len(order))
+        for buckets, place, bit, first in word_decisions(model["paths"], model["odds"], leaf[part][order], state[part][order], contexts[:, part][:, order], codes.take):
+            place <<= 3
+            one, two = ((bucket >> place.view(np.uint64) & low).view(np.int64) for bucket in buckets)
+            both = two
+            both <<= 8
+            both |= one
+            x = model["weight"].take(both)
+            x *= first
+            x += model["part"].take(both)
+            x *= scale
+            x += middle
+            fine = np.minimum(np.maximum(x, np.float32(0), out=x), most, out=x).astype(np.int64)
+            fine += model["gate"].take(both)
+            fine <<= 1
+            fine |= bit
+            found[: len(fine)] += chances.take(fine)
+        scores[part][order] = found
     return scores
 
 
@@ -633,7 +704,7 @@ def learned_words(texts: DataFrame, head, scores: np.ndarray, leaf_counts: list[
     context = texts.sparkSession.sparkContext
     tree = huffman(leaf_counts)
     bits = word_bits(total)
-    model = {"paths": word_paths(tree, bits), "odds": node_odds(scores, tree)}
+    model = {"paths": word_paths(tree, bits), "odds": np.ascontiguousarray(node_odds(scores, tree).T)}
     sent = context.broadcast(model)
     met = saved(texts.mapInArrow(partial(word_batches_online, head=head, model=sent), "kind long, cell long, value double, mass double, counts binary"), "word-counts")
     moved, mass = np.zeros((WORD_GATES, WORD_CONTEXTS + 2)), np.zeros((WORD_GATES, 1))

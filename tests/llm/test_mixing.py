@@ -114,3 +114,74 @@ def test_words_after_any_words_are_a_distribution(spark, tmp_path, monkeypatch):
     for context in (mixing.preceding(np.array([7, 9, 0], dtype=np.uint64), np.array([0]))[:, 2:], np.zeros((2, 1), np.uint64)):
         scores = mixing.word_scores(layers[0], np.arange(leaves), np.full(leaves, 5), np.repeat(context, leaves, axis=1))
         assert abs((10.0**scores).sum() - 1) < 1e-4
+
+
+def learned_model(rng, leaves):
+    """A first layer with made-up counts."""
+    import numpy as np
+
+    from evenledger.llm import mixing
+
+    tree = mixing.huffman(rng.integers(1, 1000, leaves).tolist())
+    zero, one = rng.integers(0, 50, (2, 1 << mixing.SLOT_BITS)).astype(np.int32)
+    return {"tree": tree, "zero": zero, "one": one, "weights": mixing.first_weights(), "cells": rng.random(mixing.GATES * mixing.BINS)}
+
+
+def test_first_layer_works_a_decision_out_once_a_state(monkeypatch):
+    """A leaf's score is the sum over its own path, though its decisions are shared with other leaves."""
+    import numpy as np
+    import pyarrow as pa
+
+    from evenledger.llm import mixing
+
+    model, leaves = learned_model(np.random.default_rng(3), 300), 300
+    worked, real = [], mixing.stretched
+    monkeypatch.setattr(mixing, "stretched", lambda m, slots, *a: worked.append(slots.shape[1]) or real(m, slots, *a))
+    sent = type("Sent", (), {"value": model})
+    rows = [r for b in mixing.leaf_scores([pa.RecordBatch.from_arrays([pa.array([0, 7, 194])], names=["id"])], sent) for r in b.to_pylist()]
+    assert worked == [leaves - 1] * 3
+    for row in rows:
+        batch = pa.RecordBatch.from_arrays([pa.array(np.full(leaves, row["state"])), pa.array(np.arange(leaves))], names=["state", "leaf"])
+        slots, bits, owner = mixing.decisions(batch, model["tree"])
+        odds, gate = real(model, slots)
+        x = mixing.mixed(model["weights"], odds, gate)
+        low, share = mixing.bin_of(x)
+        refined = (1 - share) * model["cells"][gate * mixing.BINS + low] + share * model["cells"][gate * mixing.BINS + low + 1]
+        p = np.clip((mixing.squash(x) + refined) / 2, 1e-6, 1 - 1e-6)
+        want = np.bincount(owner, weights=np.log10(np.where(bits == 1, p, 1 - p)))
+        assert np.allclose(np.frombuffer(row["scores"], np.float32), want, rtol=1e-6)
+
+
+def test_buckets_hold_the_slots_of_single_decisions():
+    """What is read bucket by bucket, words together, is what each token's own path names."""
+    import numpy as np
+
+    from evenledger.llm import mixing
+
+    rng = np.random.default_rng(4)
+    tree, bits = mixing.huffman(rng.integers(1, 1000, 200).tolist()), 16
+    lengths, nodes, sides = tree
+    paths, odds = mixing.word_paths(tree, bits), rng.random((199, mixing.STATES)).astype(np.float32)
+    leaf, state, contexts = rng.integers(0, 200, 500), rng.integers(0, mixing.STATES, 500), rng.integers(0, 2**63, (2, 500)).astype(np.uint64)
+    order, got = mixing.deepest_first(paths, leaf), {}
+    found = mixing.word_decisions(paths, odds, leaf[order], state[order], contexts[:, order], mixing.first_slots)
+    for depth, (buckets, place, bit, first) in enumerate(found):
+        for i, (a, b, x, at) in enumerate(zip(buckets[0] | place, buckets[1] | place, bit, first)):
+            got[order[i], depth] = (int(a), int(b), int(x), float(at))
+    assert len(got) == lengths[leaf].sum() and all(0 <= v < 1 << bits for a, b, *_ in got.values() for v in (a, b))
+    for (token, depth), (a, b, x, at) in got.items():
+        node = nodes[leaf[token], depth]
+        assert x == sides[leaf[token], depth] and at == float(odds[int(node), state[token]])
+    again = {}
+    for (token, depth), (a, b, *_) in got.items():
+        assert again.setdefault((int(nodes[leaf[token], depth]), int(contexts[0, token])), a) == a
+
+
+def test_packed_counts_come_back_whole():
+    import numpy as np
+
+    from evenledger.llm import mixing
+
+    few = np.arange(2 * mixing.WORD_BLOCK, dtype=np.uint32) % 256
+    for counts in (few, few + np.uint32(2**31)):
+        assert (mixing.counts_of(mixing.packed_counts(counts)) == counts).all()
