@@ -4,7 +4,8 @@ Every tree splits space by hyperplanes halfway between two random points of a bo
 vectors are sent to their leaf of every tree. A query looks through all trees with one priority queue, ordered by the
 margin of the worst hyperplane on the way, and takes leaves until they promise enough candidates; how many are enough
 is measured on the table itself, against brute force. The vectors of these leaves are ranked again exactly, in double
-precision.
+precision: queries with the numbers of their leaves meet blocks of vectors, each vector once whatever its leaves, and
+leave with the best of a block.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenledger.llm.common import saved
-from evenledger.llm.vectors import matrix, usable
+from evenledger.llm.common import drop_saved, release_memory, saved
+from evenledger.llm.vectors import HELD, classes, matrix, met, runs, usable
 
 #: CANDIDATES is the least budget of a search; the audit widens it.
 TREES, LEAF, CANDIDATES = 12, 64, 3000
@@ -27,13 +28,29 @@ TREES, LEAF, CANDIDATES = 12, 64, 3000
 RECALL, AUDIT, DEVIATIONS = 0.9, 600, 4
 #: Vectors that hyperplanes are drawn from (picked by hash of the id), whatever the table's size.
 SAMPLE = 32_768
-BLOCK_ROWS, BLOCK_QUERIES, ROWS_AT_ONCE = 1024, 256, 256
+ROWS_AT_ONCE, MORE_AT_ONCE, PAIRS_AT_ONCE = 256, 2048, 65_536
+#: Vectors and queries that meet in a task, the least number of blocks, and the vectors moved at once at least.
+BLOCK_ROWS, BLOCK_QUERIES, LEAST_BLOCKS, MOVED = 65_536, 32_768, 6, 1_000_000
+#: How far a cosine in single precision may lie from the exact one.
+ROUNDING = np.float32(1e-5)
+
+
+class ByLeaf:
+    """Which rows lie in each leaf, given the leaves of each row."""
+
+    def __init__(self, leaves: np.ndarray, n: int):
+        flat = leaves.ravel()
+        self.rows = (np.argsort(flat, kind="stable") // max(1, leaves.shape[1])).astype(np.int32)
+        self.ends = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=n))))
+
+    def of(self, leaf: int) -> np.ndarray:
+        return self.rows[self.ends[leaf] : self.ends[leaf + 1]]
 
 
 class Forest:
     """Hyperplanes of all trees; children below zero are leaves (-1 - number)."""
 
-    def __init__(self, sample: np.ndarray, seed: int = 3):
+    def __init__(self, sample: np.ndarray, points: np.ndarray, seed: int = 3):
         self.normals: list[np.ndarray] = []
         self.shifts: list[float] = []
         self.children: list[list[int]] = []
@@ -42,6 +59,11 @@ class Forest:
         self.roots = [self._grow(sample, np.arange(len(sample)), rng) for _ in range(TREES)]
         self.normals = np.array(self.normals) if self.normals else np.zeros((0, sample.shape[1]))
         self.shifts, self.sizes = np.array(self.shifts), np.array(self.sizes)
+        self.branches = np.array(self.children, dtype=np.int64).reshape(-1, 2)
+        self.sample, self.once = sample, np.zeros(len(sample), dtype=bool)
+        self.once[np.unique(points, return_index=True)[1]] = True
+        parts = [self.leaves(sample[at : at + ROWS_AT_ONCE]) for at in range(0, len(sample), ROWS_AT_ONCE)]
+        self.by_leaf = ByLeaf(np.concatenate(parts) if parts else np.zeros((0, TREES), np.int64), len(self.sizes))
 
     def _leaf(self, n: int) -> int:
         self.sizes.append(n)
@@ -70,15 +92,15 @@ class Forest:
 
     def leaves(self, v: np.ndarray) -> np.ndarray:
         """Leaf of each vector in each tree."""
-        side = v @ self.normals.T + self.shifts > 0
-        children = np.array(self.children, dtype=np.int64).reshape(-1, 2)
         out = np.empty((len(v), TREES), dtype=np.int64)
-        rows = np.arange(len(v))
         for t, root in enumerate(self.roots):
             at = np.full(len(v), root)
-            while (at >= 0).any():
-                go = at >= 0
-                at[go] = children[at[go], side[rows[go], at[go]].astype(np.int64)]
+            go = np.flatnonzero(at >= 0)
+            while len(go):
+                node = at[go]
+                side = np.einsum("ij,ij->i", v[go], self.normals[node]) + self.shifts[node] > 0
+                at[go] = self.branches[node, side.astype(np.int64)]
+                go = go[at[go] >= 0]
             out[:, t] = -1 - at
         return out
 
@@ -122,20 +144,31 @@ class Forest:
                 break
         return out
 
+    def bar(self, q: np.ndarray, leaves: list[int], k: int) -> float:
+        """The score of the k-th best sample vector in these leaves, which k points of the table reach; no bar if there are fewer."""
+        there = np.zeros(len(self.sample), dtype=bool)
+        there[np.concatenate([self.by_leaf.of(leaf) for leaf in leaves])] = True
+        there &= self.once
+        if there.sum() < k:
+            return -np.inf
+        score = self.sample[there] @ q
+        return float(np.partition(score, len(score) - k)[len(score) - k])
+
 
-def pieces(batches):
-    """The same rows, few at a time: each is met by every hyperplane."""
+def pieces(batches, size: int = ROWS_AT_ONCE):
+    """The same rows, few at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(at, ROWS_AT_ONCE)
+        for at in range(0, batch.num_rows, size):
+            yield batch.slice(at, size)
 
 
 def leaf_batches(batches, forest):
+    """The same rows with their leaves."""
+    release_memory()
     forest = forest.value
-    for batch in pieces(batches):
-        leaves = forest.leaves(matrix(batch.column("v")))
-        for t in range(TREES):
-            yield pa.RecordBatch.from_arrays([pa.array(leaves[:, t]), batch.column("point"), batch.column("v")], names=["leaf", "point", "v"])
+    for batch in pieces(batches, MORE_AT_ONCE):
+        leaves = forest.leaves(matrix(batch.column("v"))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("point"), batch.column("v"), pa.array(list(leaves), pa.list_(pa.int32()))], names=["block", "point", "v", "leaves"])
 
 
 def exact_batches(batches, asked, k: int):
@@ -143,14 +176,18 @@ def exact_batches(batches, asked, k: int):
     points, q = asked.value
     none = np.zeros(0)
     best = [(none, none.astype(np.int64), np.zeros((0, q.shape[1])))] * len(points)
-    for batch in pieces(batches):
+    bars = np.full(len(points), -np.inf)
+    for batch in pieces(batches, MORE_AT_ONCE):
         v, own = matrix(batch.column("v")), np.asarray(batch.column("point"))
         scores = q @ v.T
-        for i, point in enumerate(points):
-            there = own != point
+        high = scores >= bars[:, None]
+        for i in np.flatnonzero(high.any(axis=1)):
+            there = high[i] & (own != points[i])
             score, ids, rows = (np.concatenate(x) for x in zip(best[i], (scores[i][there], own[there], v[there])))
             top = np.lexsort((ids, -score))[:k]
             best[i] = score[top], ids[top], rows[top]
+            if len(top) == k:
+                bars[i] = score[top[-1]]
     for point, (score, ids, rows) in zip(points, best):
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(ids), point)), pa.array(ids), pa.array(score), pa.array(list(rows), pa.list_(pa.float64()))], names=["query", "point", "score", "v"]
@@ -198,30 +235,111 @@ def audited(points: DataFrame, asking: DataFrame, forest, k: int) -> int:
     return least_budget([r.held for r in rows.mapInArrow(partial(reach_batches, forest=forest), "held array<long>").collect()])
 
 
-def route_batches(batches, forest, budget: int):
+def route_batches(batches, forest, budget: int, k: int):
+    """Each query with the leaves it takes, as bytes, and a score that k of their vectors reach."""
+    release_memory()
     forest = forest.value
     for batch in pieces(batches):
         v = matrix(batch.column("v"))
         margins = v @ forest.normals.T + forest.shifts
         found = [forest.search(row, budget) for row in margins]
-        yield pa.RecordBatch.from_arrays([batch.column("point"), batch.column("v"), pa.array(found, pa.list_(pa.int64()))], names=["point", "v", "leaves"])
+        bars = [forest.bar(q, leaves, k) for q, leaves in zip(v, found)]
+        steps = [np.diff(np.sort(leaves), prepend=0).astype(np.int32).tobytes() for leaves in found]
+        yield pa.RecordBatch.from_arrays([batch.column("point"), batch.column("v"), pa.array(steps, pa.binary()), pa.array(bars, pa.float64())], names=["point", "v", "taken", "bar"])
+
+
+class Members:
+    """A block of vectors by their leaves."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        self.points = np.concatenate([np.asarray(x.column("point")) for x in rows])
+        self.v = np.concatenate([matrix(x.column("v")) for x in rows])
+        leaves = np.concatenate([np.asarray(x.column("leaves").flatten()) for x in rows]).reshape(len(self.v), -1)
+        self.leaves = int(leaves.max()) + 1
+        self.by_leaf = ByLeaf(leaves, self.leaves)
+        length = np.linalg.norm(self.v, axis=1, keepdims=True)
+        self.unit, self.shrink = (self.v / length).astype(np.float32), (1 / length[:, 0])
+
+    def best(self, rows: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        """(query point, point, score): the k best of the block for each query, among the vectors of the leaves it takes."""
+        asked, q, bar = np.asarray(rows.column("point")), matrix(rows.column("v")), np.asarray(rows.column("bar"))
+        length = np.linalg.norm(q, axis=1, keepdims=True)
+        unit, least = (q / length).astype(np.float32), bar / length[:, 0]
+        taken = [np.cumsum(np.frombuffer(x.as_buffer(), dtype=np.int32)) for x in rows.column("taken")]
+        visits = ByVisit(taken, self.leaves)
+        pairs = [np.zeros(0, np.int64)]
+        for leaf in range(self.leaves):
+            queries, own = visits.of(leaf), self.by_leaf.of(leaf)
+            if len(queries) and len(own):
+                low = unit[queries] @ self.unit[own].T + ROUNDING < least[queries, None] * self.shrink[own]
+                i, j = np.nonzero(~low)
+                pairs.append(queries[i].astype(np.int64) * len(self.points) + own[j])
+        i, j = np.divmod(np.unique(np.concatenate(pairs)), len(self.points))
+        parts = [slice(at, at + PAIRS_AT_ONCE) for at in range(0, len(i), PAIRS_AT_ONCE)]
+        score = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", self.v[j[x]], q[i[x]]) for x in parts)])
+        order = np.lexsort((-score, self.points[j], i))  # of vectors that share a point the nearest counts
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (np.diff(i[order]) != 0) | (np.diff(self.points[j[order]]) != 0)
+        order = order[new]
+        order = order[np.lexsort((self.points[j[order]], -score[order], i[order]))]
+        owner = i[order]
+        top = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < k]
+        return pa.RecordBatch.from_arrays([pa.array(asked[i[top]]), pa.array(self.points[j[top]]), pa.array(score[top])], names=["query", "point", "score"])
+
+
+class ByVisit(ByLeaf):
+    """Which queries take each leaf, given the leaves of each; those from ``n`` on are none of the block's."""
+
+    def __init__(self, taken: list[np.ndarray], n: int):
+        owner = np.repeat(np.arange(len(taken), dtype=np.int32), [len(x) for x in taken])
+        flat = np.concatenate(taken)
+        owner, flat = owner[flat < n], flat[flat < n]
+        self.rows = owner[np.argsort(flat, kind="stable")]
+        self.ends = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=n))))
 
 
 def rank_batches(batches, k: int):
-    """(query point, point, score): the k best of a block of vectors for each of a block of queries, ties with the last kept."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            queries, members = batch.column("queries")[r].values, batch.column("members")[r].values
-            q, v = matrix(queries.field("v")), matrix(members.field("v"))
-            asked, points = np.asarray(queries.field("point")), np.asarray(members.field("point"))
-            rows, columns, values = [], [], []
-            for i in range(len(q)):
-                score = np.einsum("ij,j->i", v, q[i])
-                own = np.arange(len(score)) if len(score) <= k else np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
-                rows.append(np.full(len(own), asked[i]))
-                columns.append(points[own])
-                values.append(score[own])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (rows, columns, values)], names=["query", "point", "score"])
+    """(query point, point, score): the k best of a block of vectors for each query. A task holds one block at a time."""
+    release_memory()
+    now, held, block = None, [], None
+    for key, side, rows in runs(batches, ("block", "part")):
+        if key != now:
+            now, held, block = key, [], None
+        if side == HELD:
+            held.append(rows)
+            continue
+        if held:
+            block, held = Members(held), []
+        if block is not None:
+            yield block.best(rows, k)
+
+
+def best_of(found: DataFrame, k: int) -> DataFrame:
+    """The k best points of each query, a point with its highest score."""
+    found = found.repartition("query").groupBy("query", "point").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "point")
+    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place")
+
+
+def ranked(points: DataFrame, routed: DataFrame, forest, k: int) -> DataFrame:
+    """(query, point, score): the k best points in the leaves of each query, by some blocks of the table at a time."""
+    n, asking = points.count(), routed.count()
+    blocks, parts = max(LEAST_BLOCKS, -(-n // BLOCK_ROWS)), max(2, -(-asking // BLOCK_QUERIES))
+    dealt = points.select(F.pmod(F.xxhash64("point"), F.lit(blocks)).cast("int").alias("block"), "point", "v")
+    part = F.pmod(F.xxhash64("point", F.lit(1)), F.lit(parts)).cast("int").alias("part")
+    at_once = max(1, max(5 * n // 4, MOVED) // max(1, -(-n // blocks) * parts + 3 * asking))
+    found = None
+    for first in range(0, blocks, at_once):
+        last = min(blocks, first + at_once) - 1
+        held = dealt.where(F.col("block").between(first, last)).mapInArrow(partial(leaf_batches, forest=forest), "block int, point long, v array<double>, leaves array<int>")
+        held = held.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))), "piece": F.lit(0)})
+        asked = routed.select(part, "point", "v", "taken", "bar", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("block"))
+        tasks = met(held, asked, ("block", "part"), 2 * (last - first + 1) * parts)
+        more = tasks.mapInArrow(partial(rank_batches, k=k), "query long, point long, score double")
+        before, found = found, saved(best_of(more if found is None else more.unionByName(found), k), "found")
+        if before is not None:
+            drop_saved(before)
+    return found
 
 
 def nearest(vectors: DataFrame, asked, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -233,8 +351,8 @@ def nearest(vectors: DataFrame, asked, k: int = 20, key: str = "vec_id", vector:
     returned, with none no row.
 
     Equal vectors are one point with its k + 1 smallest ids, so a vector that a third of the rows share stays small;
-    queries are points too. A leaf's vectors and queries meet in blocks. The budget is widened until the audited
-    queries have the asked recall, so a search may read much of a table whose vectors have no clusters.
+    queries are points too. The budget is widened until the audited queries have the asked recall, so a search may read
+    much of a table whose vectors have no clusters.
     """
     rows = usable(vectors, key, vector).where("vec_id is not null")
     lengths = sorted(r.n for r in rows.select(F.size("v").alias("n")).distinct().collect())
@@ -242,30 +360,38 @@ def nearest(vectors: DataFrame, asked, k: int = 20, key: str = "vec_id", vector:
     return reduce(DataFrame.unionByName, found)
 
 
+def drawn_from(points: DataFrame, most: int) -> pa.Table:
+    """The points with the smallest hashes. Where to stop is found on narrow rows, so that few vectors are sorted."""
+    by_hash = (F.xxhash64("point"), F.col("point"))
+    last = points.select("point").orderBy(*by_hash).limit(most).agg(F.max(by_hash[0])).first()[0]
+    return points.where(by_hash[0] <= F.lit(last)).orderBy(*by_hash).limit(most).select("point", "v").toArrow().combine_chunks()
+
+
 def _nearest(rows: DataFrame, asked, k: int) -> DataFrame:
-    """``nearest`` over usable vectors of one length."""
+    """``nearest`` over usable vectors of one length. Rows meet their class only where it has several."""
     spark = rows.sparkSession
-    first = Window.partitionBy("v").orderBy("vec_id")
-    listed = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
-    points = saved(listed.groupBy("v").agg(F.min("vec_id").alias("point"), F.array_sort(F.collect_list("vec_id")).alias("ids")), "points")
-    queries = saved(rows.where(asked).join(points.select("v", "point"), "v").select("vec_id", "point"), "queries")
-    sample = points.orderBy(F.xxhash64("point"), "point").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
-    forest = spark.sparkContext.broadcast(Forest(matrix(sample) if len(sample) else np.zeros((0, 1))))
-    asking = saved(points.join(queries.select("point").distinct(), "point").select("point", "v"), "asking")
+    points = classes(rows).withColumnRenamed("rep", "point").withColumn("class", F.monotonically_increasing_id())
+    points = saved(points, "points")
+    alone, several = points.where("copies = 1").withColumn("vec_id", F.col("point")), points.where("copies > 1")
+    queries, asking, ids = alone.where(asked).select("vec_id", "point"), alone.where(asked).select("point", "v"), alone.select("point", F.array("point").alias("ids"))
+    if not several.isEmpty():
+        owned = saved(rows.join(several.select("v", "point", "class"), "v").select("class", "point", "vec_id"), "owned")
+        more = owned.where(asked).select("vec_id", "point")
+        queries = queries.unionByName(more)
+        asking = asking.unionByName(several.join(more.select("point").distinct(), "point").select("point", "v"))
+        first = owned.withColumn("place", F.row_number().over(Window.partitionBy("class").orderBy("vec_id"))).where(F.col("place") <= k + 1)
+        ids = ids.unionByName(first.groupBy("class", "point").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select("point", "ids"))
+    queries, asking = saved(queries, "queries"), saved(asking, "asking")
+    sample = drawn_from(points, SAMPLE)
+    drawn = matrix(sample.column("v").combine_chunks()) if sample.num_rows else np.zeros((0, 1))
+    forest = spark.sparkContext.broadcast(Forest(drawn, np.asarray(sample.column("point"))))
     budget = audited(points, asking, forest, k)
-    routed = asking.repartition(spark.sparkContext.defaultParallelism).mapInArrow(partial(route_batches, forest=forest, budget=budget), "point long, v array<double>, leaves array<long>")
-    leafs = points.select("point", "v").mapInArrow(partial(leaf_batches, forest=forest), "leaf long, point long, v array<double>")
-    counts = leafs.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    pair = F.struct("point", "v")
-    members = leafs.join(counts, "leaf").groupBy("leaf", F.pmod(F.xxhash64("point"), F.ceil(F.col("n") / BLOCK_ROWS)).alias("block")).agg(F.collect_list(pair).alias("members"))
-    visits = routed.select("point", "v", F.explode("leaves").alias("leaf"))
-    crowd = visits.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    crowds = visits.join(crowd, "leaf").groupBy("leaf", F.pmod(F.xxhash64("point", F.lit(1)), F.ceil(F.col("n") / BLOCK_QUERIES)).alias("part")).agg(F.collect_list(pair).alias("queries"))
-    met = crowds.join(members, "leaf").select("queries", "members").mapInArrow(partial(rank_batches, k=k + 1), "query long, point long, score double")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "point")
-    found = met.groupBy("query", "point").agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
-    found = saved(found.select("query", "point", "score"), "found")
-    spread = found.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
+    routed = asking.repartition(spark.sparkContext.defaultParallelism).mapInArrow(partial(route_batches, forest=forest, budget=budget, k=k + 1), "point long, v array<double>, taken binary, bar double")
+    routed = saved(routed, "routed")
+    drop_saved(asking)
+    found = ranked(points, routed, forest, k + 1)
+    drop_saved(routed)
+    spread = found.join(ids, "point").select("query", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     pairs = queries.select(F.col("vec_id").alias("query_id"), F.col("point").alias("query")).join(spread, "query").where("query_id <> vec_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

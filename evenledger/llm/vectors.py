@@ -30,3 +30,26 @@ def matrix(column: pa.Array) -> np.ndarray:
     n = len(column)
     flat = np.asarray(column.flatten(), dtype=np.float64)
     return flat.reshape(n, -1) if n else np.zeros((0, 0))
+
+
+HELD, ASKED = 0, 1
+
+
+def met(held: DataFrame, asked: DataFrame, keys: tuple[str, ...], tasks: int) -> DataFrame:
+    """Rows of both tables that have the same keys in one task, those of ``held`` first, sorted by their ``piece``.
+
+    No row holds more than one of its table, however many of the other it meets; ``runs`` reads them again.
+    """
+    first = held.withColumn("side", F.lit(HELD))
+    rest = asked.withColumns({"side": F.lit(ASKED), "piece": F.lit(0)})
+    return first.unionByName(rest, allowMissingColumns=True).repartition(max(1, tasks), *keys).sortWithinPartitions(*keys, "side", "piece")
+
+
+def runs(batches, keys: tuple[str, ...]):
+    """(keys, side, rows) of the batches of ``met``, cut where keys or side change."""
+    for batch in batches:
+        if batch.num_rows:
+            marks = np.stack([np.asarray(batch.column(c), dtype=np.int64) for c in (*keys, "side")])
+            cuts = np.flatnonzero((np.diff(marks) != 0).any(axis=0)) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                yield tuple(marks[:-1, a].tolist()), int(marks[-1, a]), batch.slice(a, b - a)

@@ -153,3 +153,30 @@ def test_search_among_vectors_of_one_length(spark, tmp_path):
     for q, found in got.items():
         want = sorted(((float(fine[q] @ v), k) for k, v in fine.items() if k != q and len(v) == len(fine[q])), key=lambda x: (-x[0], x[1]))[:20]
         assert [k for _, k, _ in sorted(found)] == [k for _, k in want]
+
+
+def test_search_moves_each_vector_once(spark, monkeypatch):
+    """A vector is not repeated for each tree, nor a query for each leaf."""
+    from evenledger.llm.forest import nearest
+
+    frame, made = type(spark.range(0)), {}
+    step = frame.mapInArrow
+
+    def counted(self, fn, schema, *more, **options):
+        out = step(self, fn, schema, *more, **options)
+        if "v" in out.columns and "query" not in out.columns:
+            made[schema] = max(made.get(schema, 0), out.count())
+        return out
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    rng = np.random.default_rng(4)
+    given = [(k, [float(x) for x in rng.normal(size=12)]) for k in range(1500)]
+    got = {}
+    for r in nearest(spark.createDataFrame(given, "vec_id long, embedding array<double>").repartition(3), 'vec_id % 20 = 0', k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert made and max(made.values()) <= len(given)
+    v = np.array([x for _, x in given])
+    assert set(got) == set(range(0, 1500, 20))
+    for q, found in got.items():
+        want = sorted((-s, k) for k, s in enumerate((v @ v[q]).tolist()) if k != q)[:5]
+        assert [k for _, k, _ in sorted(found)] == [k for _, k in want] and np.allclose([s for _, _, s in sorted(found)], [-s for s, _ in want], rtol=0, atol=1e-12)
