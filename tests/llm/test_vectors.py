@@ -180,3 +180,29 @@ def test_search_moves_each_vector_once(spark, monkeypatch):
     for q, found in got.items():
         want = sorted((-s, k) for k, s in enumerate((v @ v[q]).tolist()) if k != q)[:5]
         assert [k for _, k, _ in sorted(found)] == [k for _, k in want] and np.allclose([s for _, _, s in sorted(found)], [-s for s, _ in want], rtol=0, atol=1e-12)
+
+
+def test_links_of_shards_in_pieces(spark, monkeypatch):
+    """A graph of more nodes than a row may hold, searched by some shards at a time."""
+    from evenledger.llm import hnsw
+
+    rows, save = {}, hnsw.saved
+
+    def seen(df, name):
+        out = save(df, name)
+        if name == "graphs":
+            rows["nodes"] = [r.n for r in out.selectExpr("size(ids) AS n").collect()]
+        rows[name] = rows.get(name, 0) + 1
+        return out
+
+    monkeypatch.setattr(hnsw, "saved", seen)
+    monkeypatch.setattr(hnsw, "MEETS", 30_000, raising=False)
+    rng = np.random.default_rng(6)
+    unit = rng.normal(size=(6500, 24))
+    every = np.concatenate([unit, unit + rng.normal(size=unit.shape) * 0.1])
+    got = {r.vec_id: r for r in near_duplicates(spark.createDataFrame([(k, [float(x) for x in v], 0, 0, "x") for k, v in enumerate(every)], SCHEMA.replace("float", "double")).repartition(4)).collect()}
+    assert sum(rows["nodes"]) == len(every) and max(rows["nodes"]) <= 2048 and rows["links"] == 3
+    normal = every / np.linalg.norm(every, axis=1, keepdims=True)
+    exact = (normal @ normal.T >= 0.95).sum(axis=1) - 1
+    links = np.array([got[k].n_links for k in range(len(every))])
+    assert (links <= exact).all() and links.sum() >= 0.99 * exact.sum() and exact.sum() > 10_000
